@@ -35,10 +35,105 @@ def sentences(spark, sf_dir):
     return chunking.sentences(_records(spark, sf_dir))
 
 
+_CHUNK_QUERIES = {
+    "chunks_default": chunks_default,
+    "chunks_no_overlap": chunks_no_overlap,
+    "chunks_overlap5": chunks_overlap5,
+    "sentences": sentences,
+}
+
+
+# ---------------------------------------------------------------- pages, links
+from pyspark.sql import functions as F  # noqa: E402
+
+from corpusmill.functions.web import UrlPolicy, content_kind as _content_kind  # noqa: E402
+from corpusmill.operators import blocks as _blocks, links as _links  # noqa: E402
+
+# Fixed test policy for the driver tables.
+TEST_POLICY = UrlPolicy(deny_substrings=("cheap-pills", "spam-farm"),
+                        deny_patterns=("example.com/fr",), require_pattern="example")
+# Fixed stand-in content types, assigned by page_id % 4.
+TEST_CONTENT_TYPES = ("text/html", "text/html; charset=utf-8", "application/pdf", None)
+
+
+def _pages(spark, sf_dir):
+    return read_table(spark, sf_dir, "pages")
+
+
+def _typed_pages(spark, sf_dir):
+    p = _pages(spark, sf_dir)
+    m = F.col("page_id") % 4
+    ct = F.when(m == 0, TEST_CONTENT_TYPES[0]).when(m == 1, TEST_CONTENT_TYPES[1]) \
+          .when(m == 2, TEST_CONTENT_TYPES[2]).otherwise(F.lit(None).cast("string"))
+    return p.withColumn("content_type", ct)
+
+
+def content_kind(spark, sf_dir):
+    p = _typed_pages(spark, sf_dir)
+    return p.select("page_id", "content_type", _content_kind("content_type").alias("kind"))
+
+
+def blocks_leaf(spark, sf_dir):
+    return _blocks.extract_blocks(_pages(spark, sf_dir), mode="leaf")
+
+
+def blocks_nested(spark, sf_dir):
+    return _blocks.extract_blocks(_pages(spark, sf_dir), mode="nested")
+
+
+def page_text_leaf(spark, sf_dir):
+    return _blocks.page_texts(_pages(spark, sf_dir), mode="leaf")
+
+
+def page_text_nested(spark, sf_dir):
+    return _blocks.page_texts(_pages(spark, sf_dir), mode="nested")
+
+
+def page_concat(spark, sf_dir):
+    conv = read_table(spark, sf_dir, "conversations")
+    return _blocks.concat_page_text(conv, key="conv_id", page_no="turn", text="text")
+
+
+def links(spark, sf_dir):
+    return _links.extract_links(_pages(spark, sf_dir))
+
+
+def links_concat(spark, sf_dir):
+    return _links.absolute_links(_links.extract_links(_pages(spark, sf_dir)), mode="concat")
+
+
+def links_resolved(spark, sf_dir):
+    return _links.absolute_links(_links.extract_links(_pages(spark, sf_dir)), mode="resolve")
+
+
+def links_allowed(spark, sf_dir):
+    return _links.classify_links(links_resolved(spark, sf_dir), TEST_POLICY) \
+        .select("src", "pos", "dst", "allowed")
+
+
+def link_stats(spark, sf_dir):
+    return _links.link_stats(_links.classify_links(links_resolved(spark, sf_dir), TEST_POLICY))
+
+
+def links_distinct(spark, sf_dir):
+    return _links.distinct_links(links_resolved(spark, sf_dir))
+
+
+_PAGE_QUERIES = {
+    "content_kind": content_kind,
+    "blocks_leaf": blocks_leaf,
+    "blocks_nested": blocks_nested,
+    "page_text_leaf": page_text_leaf,
+    "page_text_nested": page_text_nested,
+    "page_concat": page_concat,
+    "links": links,
+    "links_concat": links_concat,
+    "links_resolved": links_resolved,
+    "links_allowed": links_allowed,
+    "link_stats": link_stats,
+    "links_distinct": links_distinct,
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {
-        "chunks_default": chunks_default,
-        "chunks_no_overlap": chunks_no_overlap,
-        "chunks_overlap5": chunks_overlap5,
-        "sentences": sentences,
-    }
+    return {**_CHUNK_QUERIES, **_PAGE_QUERIES}
