@@ -135,5 +135,196 @@ _PAGE_QUERIES = {
 }
 
 
+
+# ------------------------------------------------------ text functions, export
+from corpusmill.functions import text as _text  # noqa: E402
+from corpusmill.sources import export as _export  # noqa: E402
+
+
+def preview(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents")
+    return d.select("doc_id", _text.preview("text", 60).alias("preview"))
+
+
+def quotes(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents")
+    curly = F.replace(F.replace(F.col("text"), F.lit(","), F.lit("\u2019")),
+                      F.lit("\u00e9"), F.lit("\u201c"))
+    return d.select("doc_id", _text.normalize_quotes(curly).alias("text"))
+
+
+def file_key(spark, sf_dir):
+    p = _pages(spark, sf_dir)
+    return p.select("page_id", "url", _text.file_key("url", 50).alias("key50"),
+                    _text.file_key("url", 20).alias("key20"))
+
+
+def export_table(spark, sf_dir):
+    records = _blocks.page_texts(_pages(spark, sf_dir), mode="leaf") \
+        .join(_pages(spark, sf_dir).select("url", F.col("page_id").alias("ord")), "url")
+    return _export.export_table(records, max_len=20)
+
+
+# ------------------------------------------------------------------- crawl
+from corpusmill.operators import crawl as _crawl  # noqa: E402
+
+
+def linked_pages(spark, sf_dir):
+    """Pages whose bodies also link page p to pages 2p+1, 3p+1 and p div 2."""
+    p = _pages(spark, sf_dir)
+    ids = p.select(F.col("page_id").alias("dst_id"), F.col("url").alias("dst_url"))
+    targets = p.select(F.col("page_id").alias("src_id"), F.posexplode(F.array(
+        2 * F.col("page_id") + 1, 3 * F.col("page_id") + 1,
+        F.floor(F.col("page_id") / 2))).alias("k", "dst_id"))
+    anchors = (targets.join(ids, "dst_id")
+               .groupBy("src_id")
+               .agg(F.array_sort(F.collect_list(F.struct(
+                   "k", F.concat(F.lit('<a href="'), "dst_url", F.lit('"></a>')).alias("a"))))
+                   .alias("_a"))
+               .select(F.col("src_id").alias("page_id"),
+                       F.array_join(F.col("_a.a"), "").alias("_extra")))
+    return (p.join(anchors, "page_id", "left")
+            .select("page_id", "url",
+                    F.concat(F.col("html"), F.coalesce(F.col("_extra"), F.lit(""))).alias("html")))
+
+
+def _seed(pages):
+    return pages.orderBy("page_id").limit(1).select("url")
+
+
+def crawl(spark, sf_dir):
+    pages = linked_pages(spark, sf_dir)
+    return _crawl.crawl(_seed(pages), pages, TEST_POLICY, mode="resolve") \
+        .select("url", F.col("depth").cast("bigint").alias("depth"))
+
+
+def crawl_records(spark, sf_dir):
+    pages = linked_pages(spark, sf_dir)
+    visited = _crawl.crawl(_seed(pages), pages, TEST_POLICY, mode="resolve")
+    return _crawl.crawl_records(visited, pages, mode="leaf").select("url", "text")
+
+
+def fetch_pages(spark, sf_dir):
+    frontier = links_resolved(spark, sf_dir).select(F.col("dst").alias("url")).distinct()
+    frontier = frontier.unionByName(_pages(spark, sf_dir).select("url"))
+    fetched = _crawl.fetch_pages(frontier.distinct(), _pages(spark, sf_dir))
+    return fetched.select("url", "found", F.length("html").cast("bigint").alias("n_chars"))
+
+
+def unvisited(spark, sf_dir):
+    edges = _crawl.link_graph(linked_pages(spark, sf_dir), TEST_POLICY)
+    frontier = edges.select(F.col("dst").alias("url"))
+    return _crawl.unvisited(frontier, _pages(spark, sf_dir).select("url"))
+
+
+# ------------------------------------------------------------ batches, splits
+from corpusmill.operators import splits as _splits  # noqa: E402
+
+SPLIT_SEED = 42
+
+
+def batches(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents").select("doc_id")
+    return _splits.assign_batches(d, ["doc_id"], 8)
+
+
+def split_three_way(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents").select("doc_id")
+    return _splits.split_three_way(d, "doc_id", seed=SPLIT_SEED)
+
+
+def split_grouped(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents").select("doc_id", "source")
+    return _splits.split_grouped(d, "source", seed=SPLIT_SEED)
+
+
+# ---------------------------------------------------------------- QA family
+from corpusmill.functions import prompts as _prompts  # noqa: E402
+from corpusmill.operators import qa as _qa  # noqa: E402
+
+
+def _work(spark, sf_dir):
+    chunks = chunking.chunk_records(_records(spark, sf_dir))
+    return _qa.expand_questions(_qa.lookback_context(chunks, 0), 2)
+
+
+def prompts_question(spark, sf_dir):
+    w = _work(spark, sf_dir).withColumn("m", _prompts.question_messages(F.col("context")))
+    return w.select("ord", "chunk_no", "question_no",
+                    F.col("m")[0]["content"].alias("system"), F.col("m")[1]["content"].alias("user"))
+
+
+def prompts_answer(spark, sf_dir):
+    qa = _qa.generate_qa(_work(spark, sf_dir))
+    w = qa.withColumn("m", _prompts.answer_messages(F.col("question"), F.col("context")))
+    return w.select("ord", "chunk_no", "question_no",
+                    F.col("m")[0]["content"].alias("system"), F.col("m")[1]["content"].alias("user"))
+
+
+def qa_stub(spark, sf_dir):
+    return _qa.generate_qa(_work(spark, sf_dir)).select(*_qa.WORK_KEYS, "question", "answer")
+
+
+def chat_examples(spark, sf_dir):
+    ex = _qa.to_examples(_qa.generate_qa(_work(spark, sf_dir)))
+    m = F.col("messages")
+    return ex.select(*_qa.WORK_KEYS, m[0]["content"].alias("system"),
+                     m[1]["content"].alias("user"), m[2]["content"].alias("assistant"))
+
+
+def _done(work):
+    """Stand-in progress: examples of every third document are written."""
+    return work.where(F.col("ord") % 3 == 0).select(*_qa.WORK_KEYS)
+
+
+def pending(spark, sf_dir):
+    w = _work(spark, sf_dir).select(*_qa.WORK_KEYS)
+    return _qa.pending(w, _done(w))
+
+
+def resume_status(spark, sf_dir):
+    w = _work(spark, sf_dir).select(*_qa.WORK_KEYS)
+    return _qa.resume_status(w, _done(w))
+
+
+def _turns(spark, sf_dir):
+    conv = read_table(spark, sf_dir, "conversations")
+    return conv.select(F.col("conv_id").alias("ord"), F.col("turn").alias("chunk_no"),
+                       F.col("text").alias("data"))
+
+
+def lookback(spark, sf_dir):
+    ctx = _qa.lookback_context(_turns(spark, sf_dir), k=2)
+    return ctx.select(F.col("ord").alias("conv_id"), F.col("chunk_no").alias("turn"), "context")
+
+
+def lookback_within(spark, sf_dir):
+    ctx = _qa.lookback_context(_turns(spark, sf_dir), k=2, within="ord")
+    return ctx.select(F.col("ord").alias("conv_id"), F.col("chunk_no").alias("turn"), "context")
+
+
+_MORE_QUERIES = {
+    "preview": preview,
+    "quotes": quotes,
+    "file_key": file_key,
+    "export_table": export_table,
+    "crawl": crawl,
+    "crawl_records": crawl_records,
+    "fetch_pages": fetch_pages,
+    "unvisited": unvisited,
+    "batches": batches,
+    "split_three_way": split_three_way,
+    "split_grouped": split_grouped,
+    "prompts_question": prompts_question,
+    "prompts_answer": prompts_answer,
+    "qa_stub": qa_stub,
+    "chat_examples": chat_examples,
+    "pending": pending,
+    "resume_status": resume_status,
+    "lookback": lookback,
+    "lookback_within": lookback_within,
+}
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {**_CHUNK_QUERIES, **_PAGE_QUERIES}
+    return {**_CHUNK_QUERIES, **_PAGE_QUERIES, **_MORE_QUERIES}
