@@ -328,3 +328,16 @@ _MORE_QUERIES = {
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {**_CHUNK_QUERIES, **_PAGE_QUERIES, **_MORE_QUERIES}
+
+
+# ---------------------------------------------------------------- G2 prepare
+def prepare(spark, sf_dir):
+    from corpusmill.plans import workflows
+    cfg = workflows.PrepareConfig(seed=SPLIT_SEED)
+    out = workflows.prepare(_records(spark, sf_dir), cfg)
+    m = F.col("messages")
+    return out.select(*_qa.WORK_KEYS, "split", m[1]["content"].alias("user"),
+                      m[2]["content"].alias("assistant"))
+
+
+_MORE_QUERIES["prepare"] = prepare
