@@ -21,7 +21,7 @@ RAW_TEXT = (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
 BLOCK_OPEN = r"(?i)<(p|h[1-6])(?:\s[^>]*)?>"
 BLOCK_CLOSE = r"(?i)</(?:p|h[1-6])\s*>"
 ANY_TAG = r"<[/!?]?[A-Za-z][^>]*>"
-HREF = r"""(?is)<a\s[^>]*?href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
+HREF = r"""(?is)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
 # Named and numeric references decoded by the leaf form; &amp; goes last so
 # that text is decoded once.
 ENTITIES = (
@@ -80,14 +80,17 @@ def page_text_from_blocks(blocks: Column, phrases: tuple[str, ...] = BOILERPLATE
                      F.lit("\n"), F.lit(" "))
 
 
+def _unquote(v: Column) -> Column:
+    quoted = v.startswith('"') | v.startswith("'")
+    return F.when(quoted, F.substring(v, 2, F.length(v) - 2)).otherwise(v)
+
+
 def hrefs(html: Column | str) -> Column:
     """Href values of anchors outside comments/scripts, entities decoded.
 
-    Double-quoted, single-quoted and bare values; empty values dropped.
+    Double-quoted, single-quoted and bare values; empty values dropped. One
+    regex pass captures the value with its quotes, which are then removed.
     """
     cleaned = F.regexp_replace(_col(html), RAW_TEXT, "")
-    g1 = F.regexp_extract_all(cleaned, F.lit(HREF), 1)
-    g2 = F.regexp_extract_all(cleaned, F.lit(HREF), 2)
-    g3 = F.regexp_extract_all(cleaned, F.lit(HREF), 3)
-    joined = F.transform(g1, lambda v, i: F.concat(v, g2[i], g3[i]))
-    return F.filter(F.transform(joined, decode_entities), lambda v: v != "")
+    raw = F.regexp_extract_all(cleaned, F.lit(HREF), 1)
+    return F.filter(F.transform(raw, lambda v: decode_entities(_unquote(v))), lambda v: v != "")

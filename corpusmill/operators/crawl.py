@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corpusmill.functions.web import UrlPolicy, content_kind
@@ -83,9 +83,12 @@ def crawl(seeds: DataFrame, pages: DataFrame, policy: UrlPolicy, mode: str = "re
         step = (frontier.select(F.col("url").alias("src"))
                 .join(edges, "src")
                 .select(F.col("dst").alias("url")).distinct())
+        found = Observation(f"crawl_round_{depth + 1}")
         new = cut_lineage(step.join(visited.select("url"), "url", "left_anti")
-                          .withColumn("depth", F.lit(depth + 1)))
-        if new.isEmpty():
+                          .withColumn("depth", F.lit(depth + 1))
+                          .observe(found, F.count(F.lit(1)).alias("n")))
+        # the count rides on the checkpoint job: one job per round
+        if not found.get["n"]:
             break
         rounds.append(new)
         frontier = new
