@@ -39,8 +39,9 @@ def _nested_blocks_batches(batches, phrases):
                 poss.append(pos)
                 tags.append(tag)
                 texts.append(raw.strip())
-        yield pd.DataFrame({"url": urls, "pos": pd.array(poss, dtype="int64"),
-                            "tag": tags, "text": texts})
+        if urls:
+            yield pd.DataFrame({"url": urls, "pos": pd.array(poss, dtype="int64"),
+                                "tag": tags, "text": texts})
 
 
 def _nested_page_text_batches(batches, phrases):

@@ -22,8 +22,8 @@ def export_documents(records: DataFrame, out_dir: str, max_len: int = 50,
     """Write ``<out_dir>/file_key=<key>/part-*.txt`` holding the document text.
 
     One folder per key (the partition value is the file name the reference
-    would use); the text is written as is.
+    would use). Spark's text sink ends the text with one newline.
     """
     (export_table(records, max_len, order_col)
      .repartition("file_key")
-     .write.mode("overwrite").option("lineSep", "").partitionBy("file_key").text(out_dir))
+     .write.mode("overwrite").partitionBy("file_key").text(out_dir))
