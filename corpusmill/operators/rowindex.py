@@ -3,8 +3,8 @@
 ``with_row_index`` sorts with a range exchange, cuts lineage with a reliable
 checkpoint (so partition contents and order are fixed), counts rows per
 partition, and adds the exclusive prefix sum of those counts to each row's
-position inside its partition. The only collected/broadcast table has one
-row per partition, so its size is bounded by the partition count, not the data.
+position inside its partition. Only the counts (one row per partition) reach
+the driver, so what is collected is bounded by the partition count.
 
 ``rows_at_ranks`` finds the rows at a few given ranks the same way, but reads
 only the ordering columns and returns the boundary values, so callers can
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.session import cut_lineage
@@ -34,23 +34,36 @@ def _local_pos() -> Column:
     return F.col(_MID) - F.shiftleft(F.col(_PID).cast("long"), 33)
 
 
-def _offsets(tagged: DataFrame, weight: Column | None = None) -> DataFrame:
-    w = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
-    weight = F.lit(1) if weight is None else weight
-    counts = tagged.groupBy(_PID).agg(F.sum(weight).cast("long").alias(_CNT))
-    return counts.select(_PID, _CNT, F.coalesce(F.sum(_CNT).over(w), F.lit(0)).alias(_OFF),
-                         F.sum(_CNT).over(Window.partitionBy()).alias("_rx_total"))
+def _partition_offsets(tagged: DataFrame) -> tuple[list[int], list[int], int]:
+    """Row counts and exclusive prefix sums per partition (one row per partition)."""
+    counts = dict(tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_CNT)).collect())
+    n_parts = max(counts) + 1 if counts else 0
+    sizes = [int(counts.get(p, 0)) for p in range(n_parts)]
+    offsets, acc = [], 0
+    for c in sizes:
+        offsets.append(acc)
+        acc += c
+    return offsets, sizes, acc
 
 
 def with_row_index(df: DataFrame, order_cols: Sequence[str | Column], name: str = "row_index",
                    total_name: str | None = None) -> DataFrame:
-    """0-based position of each row in ``order_cols`` order (make the order total)."""
+    """0-based position of each row in ``order_cols`` order (make the order total).
+
+    The per-partition offsets become an array literal indexed by partition id,
+    so the final projection is narrow: no join, no single-partition stage.
+    """
     tagged = _sorted_tagged(df, order_cols)
-    offsets = F.broadcast(_offsets(tagged))   # one row per partition
-    out = tagged.join(offsets, _PID).withColumn(name, F.col(_OFF) + _local_pos())
-    cols = list(df.columns) + [name] + ([total_name] if total_name else [])
+    offsets, _, total = _partition_offsets(tagged)
+    if not offsets:
+        out = tagged.withColumn(name, F.lit(None).cast("long"))
+    else:
+        base = F.element_at(F.lit(offsets).cast("array<bigint>"), F.col(_PID) + 1)
+        out = tagged.withColumn(name, base + _local_pos())
+    cols = list(df.columns) + [name]
     if total_name:
-        out = out.withColumn(total_name, F.col("_rx_total"))
+        out = out.withColumn(total_name, F.lit(total).cast("bigint"))
+        cols.append(total_name)
     return out.select(*cols)
 
 
@@ -61,12 +74,12 @@ def rows_at_ranks(df: DataFrame, order_cols: Sequence[str], ranks: Sequence[int]
     per requested rank, so it is safe to bring to the driver.
     """
     tagged = _sorted_tagged(df.select(*order_cols), order_cols)
-    offsets = _offsets(tagged).collect()   # one row per partition
+    offsets, sizes, _ = _partition_offsets(tagged)
     wanted = {}
     for r in ranks:
-        for row in offsets:
-            if row[_OFF] <= r < row[_OFF] + row[_CNT]:
-                wanted[r] = (row[_PID], r - row[_OFF])
+        for pid, (off, size) in enumerate(zip(offsets, sizes)):
+            if off <= r < off + size:
+                wanted[r] = (pid, r - off)
     if not wanted:
         return [None] * len(ranks)
     cond = F.lit(False)
@@ -76,4 +89,3 @@ def rows_at_ranks(df: DataFrame, order_cols: Sequence[str], ranks: Sequence[int]
              for r in tagged.where(cond).select(*order_cols, _PID,
                                                 _local_pos().alias("_rx_pos")).collect()}
     return [found.get(wanted[r]) if r in wanted else None for r in ranks]
-
