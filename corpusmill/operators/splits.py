@@ -42,9 +42,13 @@ def _below(h: Column, k: Column, bound: tuple | None) -> Column:
     return (h < F.lit(bh)) | ((h == F.lit(bh)) & (k < F.lit(bk)))
 
 
-def _label(df: DataFrame, h: Column, k: Column, n: int, name: str) -> DataFrame:
+def _label(df: DataFrame, h: Column, k: Column, probe: DataFrame, n: int,
+           name: str) -> DataFrame:
+    """Label rows by comparing (h, k) with the (hash, key) values at the two ranks.
+
+    ``probe`` holds one ``(_sh, _sk)`` row per ranked unit (row or group).
+    """
     n_train, n_test, _ = split_sizes(n)
-    probe = df.select(h.alias("_sh"), k.alias("_sk"))
     b_train, b_test = rows_at_ranks(probe, ["_sh", "_sk"], [n_train, n_train + n_test])
     label = (F.when(_below(h, k, b_train), F.lit("train"))
               .when(_below(h, k, b_test), F.lit("test"))
@@ -57,9 +61,9 @@ def split_three_way(df: DataFrame, key: str, seed: int = 0, name: str = "split")
 
     ``key`` must be unique per row.
     """
-    n = df.count()
-    k = F.col(key).cast("string")
-    return _label(df, split_hash(F.col(key), seed), k, n, name)
+    h, k = split_hash(F.col(key), seed), F.col(key).cast("string")
+    probe = df.select(h.alias("_sh"), k.alias("_sk"))
+    return _label(df, h, k, probe, df.count(), name)
 
 
 def split_exact(df: DataFrame, key: str, seed: int = 0, fraction: float = HOLDOUT_FRACTION,
@@ -79,21 +83,11 @@ def split_grouped(df: DataFrame, group: str, seed: int = 0, name: str = "split")
     Distinct groups come from a partial (map-side) aggregation, so a hot group
     costs one row per task; rows are then labelled by comparison, without a join.
     """
-    groups = df.select(F.col(group).alias(group)).distinct()
-    n = groups.count()
-    return _label_by(df, split_hash(F.col(group), seed), F.col(group).cast("string"),
-                     groups, n, seed, group, name)
-
-
-def _label_by(df, h, k, groups, n, seed, group, name):
-    n_train, n_test, _ = split_sizes(n)
-    probe = groups.select(split_hash(F.col(group), seed).alias("_sh"),
-                          F.col(group).cast("string").alias("_sk"))
-    b_train, b_test = rows_at_ranks(probe, ["_sh", "_sk"], [n_train, n_train + n_test])
-    label = (F.when(_below(h, k, b_train), F.lit("train"))
-              .when(_below(h, k, b_test), F.lit("test"))
-              .otherwise(F.lit("valid")))
-    return df.withColumn(name, label)
+    groups = df.select(F.col(group).alias("_g")).distinct()
+    probe = groups.select(split_hash(F.col("_g"), seed).alias("_sh"),
+                          F.col("_g").cast("string").alias("_sk"))
+    h, k = split_hash(F.col(group), seed), F.col(group).cast("string")
+    return _label(df, h, k, probe, groups.count(), name)
 
 
 def shuffle_order(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
