@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from corpusmill.functions.text import normalize_quotes, split_sentences
+from corpusmill.functions.text import normalize_quotes
 
 # Fixed values.
 QUESTION_SYSTEM = ("Create a question as though you are a user based on the given data. "
@@ -45,11 +45,11 @@ def chat_messages(question: Column, answer: Column) -> Column:
                    _msg("assistant", normalize_quotes(answer)))
 
 
-def stub_question(context: Column) -> Column:
-    """Deterministic extractive stand-in for the model's question."""
-    return F.concat(F.lit(STUB_QUESTION_PREFIX), F.element_at(split_sentences(context), 1))
+def stub_question(first: Column) -> Column:
+    """Deterministic extractive stand-in for the model's question (from the first sentence)."""
+    return F.concat(F.lit(STUB_QUESTION_PREFIX), first)
 
 
-def stub_answer(context: Column) -> Column:
-    """Deterministic extractive stand-in for the model's answer."""
-    return F.element_at(split_sentences(context), 1)
+def stub_answer(first: Column) -> Column:
+    """Deterministic extractive stand-in for the model's answer: the first sentence."""
+    return first

@@ -16,6 +16,7 @@ SENTENCE_BREAK = r"(?<=[.!?]) +"          # cut after . ! ? at runs of U+0020
 DECIMAL_SENTENCE = r"(?U)^\d+\.\d+\n?\z"  # Python re.match(r"^\d+\.\d+$")
 QUOTE_FROM = "’“”"          # right single, left double, right double
 QUOTE_TO = "'\"\""
+FIRST_SENTENCE = r"(?s)^(.*?[.!?]) "    # first element of the D2 split, when it cuts
 FILE_KEY_SCHEME = r"https?://"
 FILE_KEY_UNSAFE = r'[/:*?"<>|]'
 
@@ -34,6 +35,13 @@ def split_sentences(c: Column | str) -> Column:
     return F.split(_col(c), SENTENCE_BREAK, -1)
 
 
+def first_sentence(c: Column | str) -> Column:
+    """First element of ``split_sentences`` without splitting the whole text."""
+    c = _col(c)
+    m = F.regexp_extract(c, FIRST_SENTENCE, 1)
+    return F.when(m == "", c).otherwise(m)
+
+
 def is_decimal(c: Column | str) -> Column:
     """A sentence that is only a decimal number such as ``3.14``."""
     return _col(c).rlike(DECIMAL_SENTENCE)

@@ -73,7 +73,10 @@ def crawl(seeds: DataFrame, pages: DataFrame, policy: UrlPolicy, mode: str = "re
     """
     if edges is None:
         edges = link_graph(pages, policy, mode, url_col, html_col)
-    edges = cut_lineage(edges.repartition("src"))
+    n_parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # an explicit count keeps the hash partitioning by src on the checkpoint,
+    # so each round's join moves only the frontier
+    edges = cut_lineage(edges.repartition(n_parts, "src"))
     frontier = cut_lineage(seeds.select("url").dropDuplicates(["url"])
                            .withColumn("depth", F.lit(0)))
     rounds = [frontier]

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.functions import prompts as P
+from corpusmill.functions.text import first_sentence
 from corpusmill.operators.rowindex import with_row_index
 
 WORK_KEYS = ("ord", "chunk_no", "question_no")
@@ -70,8 +71,9 @@ def generate_qa(df: DataFrame, generator: Callable[[pd.DataFrame], pd.DataFrame]
     so outputs stay keyed by the work keys.
     """
     if generator is None:
-        return df.withColumn("question", P.stub_question(F.col(context))) \
-                 .withColumn("answer", P.stub_answer(F.col(context)))
+        first = df.withColumn("_qa_s1", first_sentence(F.col(context)))
+        return (first.withColumn("question", P.stub_question(F.col("_qa_s1")))
+                .withColumn("answer", P.stub_answer(F.col("_qa_s1"))).drop("_qa_s1"))
     src = df.repartition(partitions) if partitions else df
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
 

@@ -84,3 +84,34 @@ def test_metrics_g5(spark):
     df, obs = workflows.with_metrics(recs, "docs", empty=F.length("text") == 0)
     df.write.format("noop").mode("overwrite").save()
     assert obs.get["rows"] == recs.count() and obs.get["empty"] >= 0
+
+
+def test_write_examples_batches_e8(spark, tmp_dir):
+    recs = catalog._records(spark, SF_SMALL)
+    ex = workflows.generate_examples(workflows.chunk_work(recs, workflows.PrepareConfig()),
+                                     workflows.PrepareConfig())
+    path = os.path.join(tmp_dir, "ex")
+    R.write_examples(ex.coalesce(1), path, mode="overwrite", max_records_per_file=5)
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) == -(-ex.count() // 5)
+    lines = [json.loads(x) for f in files for x in open(os.path.join(path, f)) if x.strip()]
+    assert all(set(d) == {"messages"} for d in lines)
+
+
+def test_shuffle_order_f3(spark):
+    from corpusmill.operators import splits
+    df = spark.range(50).withColumnRenamed("id", "k")
+    a = [r.k for r in splits.shuffle_order(df, "k", seed=2).collect()]
+    b = [r.k for r in splits.shuffle_order(df.repartition(3), "k", seed=2).collect()]
+    assert a == b and sorted(a) == list(range(50)) and a != list(range(50))
+
+
+def test_export_documents_g4(spark, tmp_dir):
+    recs_path = os.path.join(tmp_dir, "recs")
+    df = spark.createDataFrame([("https://a.b/x", "one"), ("https://a.b/y", "two")],
+                               "url string, text string")
+    R.write_records(df, recs_path, "overwrite")
+    out = os.path.join(tmp_dir, "files")
+    workflows.export_documents(spark, recs_path, out)
+    assert sorted(d for d in os.listdir(out) if d.startswith("file_key=")) == \
+        ["file_key=a.b_x", "file_key=a.b_y"]
