@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.functions.web import UrlPolicy, content_kind
+from corpusmill.functions.web import UrlPolicy, content_kind, decode_html
 from corpusmill.operators import blocks as B
 from corpusmill.operators import links as L
 from corpusmill.session import cut_lineage
@@ -109,19 +109,32 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 def crawl_records(visited: DataFrame, pages: DataFrame, mode: str = "nested",
                   content_type_col: str | None = None, pdf_texts: DataFrame | None = None,
                   url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """One record ``url, text, kind`` per visited page that was fetched.
+    """One record ``url, text, kind, status`` per visited page that was fetched.
 
     HTML pages give their page text (B3-B5); PDF pages the concatenation of
     their page texts (B6, from ``pdf_texts``: url, page_no, text), or ``""``
     without it; other content types give ``""`` and are still written.
+    A binary body is decoded as strict UTF-8 for HTML only (B2); a body that
+    does not decode gives ``text=""`` and ``status="decode_error"`` instead of
+    losing the record.
     """
-    p = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html"),
+    body = F.col(html_col)
+    is_binary = dict(pages.dtypes)[html_col] == "binary"
+    p = pages.select(F.col(url_col).alias("url"), body.alias("body"),
                      (F.col(content_type_col) if content_type_col else
                       F.lit("text/html")).alias("content_type"))
     fetched = p.join(visited.select("url"), "url", "left_semi") \
                .withColumn("kind", content_kind("content_type"))
-    html = B.page_texts(fetched.where(F.col("kind") == "html"), mode=mode) \
-            .withColumn("kind", F.lit("html"))
+    html_rows = fetched.where(F.col("kind") == "html")
+    if is_binary:
+        html_rows = html_rows.withColumn("html", decode_html("body"))
+        bad = html_rows.where(F.col("html").isNull() & F.col("body").isNotNull())
+        html_rows = html_rows.where(F.col("html").isNotNull() | F.col("body").isNull())
+    else:
+        html_rows = html_rows.withColumnRenamed("body", "html")
+        bad = None
+    html = B.page_texts(html_rows, mode=mode).withColumn("kind", F.lit("html")) \
+            .withColumn("status", F.lit("ok"))
     pdf = fetched.where(F.col("kind") == "pdf").select("url")
     if pdf_texts is not None:
         joined = B.concat_page_text(pdf_texts.join(pdf, "url", "left_semi"))
@@ -130,5 +143,9 @@ def crawl_records(visited: DataFrame, pages: DataFrame, mode: str = "nested",
     else:
         pdf = pdf.withColumn("text", F.lit(""))
     other = fetched.where(F.col("kind") == "other").select("url", F.lit("").alias("text"))
-    return (html.unionByName(pdf.withColumn("kind", F.lit("pdf")))
-                .unionByName(other.withColumn("kind", F.lit("other"))))
+    out = (html.unionByName(pdf.withColumn("kind", F.lit("pdf")).withColumn("status", F.lit("ok")))
+           .unionByName(other.withColumn("kind", F.lit("other")).withColumn("status", F.lit("ok"))))
+    if bad is not None:
+        out = out.unionByName(bad.select("url", F.lit("").alias("text"), F.lit("html").alias("kind"),
+                                         F.lit("decode_error").alias("status")))
+    return out

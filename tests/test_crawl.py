@@ -69,6 +69,7 @@ def test_crawl_records_kinds(spark):
     got = {r.url: (r.kind, r.text) for r in
            C.crawl_records(visited, pages, content_type_col="ct", pdf_texts=pdf_texts).collect()}
     assert got == {"u1": ("html", "a"), "u2": ("pdf", "ab"), "u3": ("other", "")}
+    assert {r.status for r in C.crawl_records(visited, pages, content_type_col="ct").collect()} == {"ok"}
 
 
 def test_crawl_and_save_g1(spark, tmp_dir):
@@ -83,3 +84,15 @@ def test_crawl_edges_partitioned_once(spark):
     pages = catalog.linked_pages(spark, SF_SMALL)
     edges = C.link_graph(pages, catalog.TEST_POLICY)
     assert edges.where(F.col("src").isNull()).count() == 0
+
+
+def test_crawl_records_binary_bodies_b2(spark):
+    pages = spark.createDataFrame([("u1", bytearray(b"<p>caf\xc3\xa9</p>"), "text/html"),
+                                   ("u2", bytearray(b"<p>\x80</p>"), "text/html"),
+                                   ("u3", bytearray(b"%PDF\xff"), "application/pdf")],
+                                  "url string, body binary, ct string")
+    visited = spark.createDataFrame([("u1",), ("u2",), ("u3",)], "url string")
+    got = {r.url: (r.kind, r.text, r.status) for r in
+           C.crawl_records(visited, pages, html_col="body", content_type_col="ct").collect()}
+    assert got == {"u1": ("html", "café", "ok"), "u2": ("html", "", "decode_error"),
+                   "u3": ("pdf", "", "ok")}
