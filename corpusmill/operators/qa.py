@@ -85,6 +85,27 @@ def generate_qa(df: DataFrame, generator: Callable[[pd.DataFrame], pd.DataFrame]
     return src.mapInPandas(run, f"{schema}, {QA_SCHEMA}")
 
 
+def chat_generator(chat: Callable[[list[dict]], str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """E5 with a chat model: per row, question = chat(E3 prompt), then
+    answer = chat(E4 prompt built from the raw question and the context).
+
+    ``chat`` takes a list of ``{"role", "content"}`` messages and returns the
+    reply text; it is the caller's client (retries and timeouts are its own).
+    """
+    def generate(pdf: pd.DataFrame) -> pd.DataFrame:
+        questions, answers = [], []
+        for ctx in pdf["context"]:
+            q = chat([{"role": "system", "content": P.QUESTION_SYSTEM},
+                      {"role": "user", "content": ctx}])
+            a = chat([{"role": "system", "content": P.ANSWER_SYSTEM},
+                      {"role": "user", "content": f"{q} {ctx}"}])
+            questions.append(q)
+            answers.append(a)
+        return pd.DataFrame({"question": questions, "answer": answers})
+
+    return generate
+
+
 def to_examples(qa: DataFrame) -> DataFrame:
     """Keys + ``messages`` in chat format."""
     keys = [c for c in WORK_KEYS if c in qa.columns]

@@ -81,3 +81,17 @@ def test_plugin_generator(spark):
 def test_expand_questions(spark):
     df = _chunks(spark, [(1, 0, "u", "a")])
     assert [r.question_no for r in qa.expand_questions(df, 3).orderBy("question_no").collect()] == [0, 1, 2]
+
+
+def test_chat_generator_two_dependent_calls(spark):
+    def chat(messages):
+        system, user = messages[0]["content"], messages[1]["content"]
+        if system == P.QUESTION_SYSTEM:
+            return "Q(" + user + ")"
+        assert system == P.ANSWER_SYSTEM
+        return "A(" + user + ")"
+
+    df = spark.createDataFrame([(1, 0, 0, "ctx.")],
+                               "ord long, chunk_no long, question_no long, context string")
+    r = qa.generate_qa(df, qa.chat_generator(chat)).first()
+    assert (r.question, r.answer) == ("Q(ctx.)", "A(Q(ctx.) ctx.)")
