@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions.web import UrlPolicy, content_kind, decode_html
 from corpusmill.operators import blocks as B
 from corpusmill.operators import links as L
-from corpusmill.session import cut_lineage
+from corpusmill.session import checkpoint_partitioned
 
 
 def seed_urls(spark: SparkSession, urls: Iterable[str]) -> DataFrame:
@@ -73,12 +73,14 @@ def crawl(seeds: DataFrame, pages: DataFrame, policy: UrlPolicy, mode: str = "re
     """
     if edges is None:
         edges = link_graph(pages, policy, mode, url_col, html_col)
-    n_parts = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # an explicit count keeps the hash partitioning by src on the checkpoint,
-    # so each round's join moves only the frontier
-    edges = cut_lineage(edges.repartition(n_parts, "src"))
-    frontier = cut_lineage(seeds.select("url").dropDuplicates(["url"])
-                           .withColumn("depth", F.lit(0)))
+    spark = pages.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # edges hash-partitioned by src and every round's frontier by url, both with
+    # n partitions: a round shuffles only the frontier (to meet the edges) and
+    # the candidate links (dedupe), never the edge table or the visited set
+    edges = checkpoint_partitioned(edges, n, "src")
+    frontier = checkpoint_partitioned(
+        seeds.select("url").dropDuplicates(["url"]).withColumn("depth", F.lit(0)), n, "url")
     rounds = [frontier]
     depth = 0
     while max_depth is None or depth < max_depth:
@@ -87,9 +89,10 @@ def crawl(seeds: DataFrame, pages: DataFrame, policy: UrlPolicy, mode: str = "re
                 .join(edges, "src")
                 .select(F.col("dst").alias("url")).distinct())
         found = Observation(f"crawl_round_{depth + 1}")
-        new = cut_lineage(step.join(visited.select("url"), "url", "left_anti")
-                          .withColumn("depth", F.lit(depth + 1))
-                          .observe(found, F.count(F.lit(1)).alias("n")))
+        new = checkpoint_partitioned(
+            step.join(visited.select("url"), "url", "left_anti")
+                .withColumn("depth", F.lit(depth + 1))
+                .observe(found, F.count(F.lit(1)).alias("n")), n, "url")
         # the count rides on the checkpoint job: one job per round
         if not found.get["n"]:
             break

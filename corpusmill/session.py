@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -65,5 +66,33 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+@contextmanager
+def session_conf(spark: SparkSession, conf: dict[str, str]):
+    """Set session options for the duration of a block, then restore them."""
+    old = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
+
+
+def checkpoint_partitioned(df: DataFrame, num_partitions: int, *keys: str) -> DataFrame:
+    """Reliable checkpoint hash-partitioned by ``keys`` that later joins can reuse.
+
+    An adaptive plan reports an unknown partitioning to the checkpoint, so the
+    checkpoint job runs with AQE paused; joins and aggregations on ``keys``
+    with ``num_partitions`` partitions then need no shuffle of this side, and a
+    union of such checkpoints keeps the partitioning too.
+    """
+    with session_conf(df.sparkSession, {"spark.sql.adaptive.enabled": "false"}):
+        return cut_lineage(df.repartition(num_partitions, *keys))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
