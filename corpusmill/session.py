@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
 from contextlib import contextmanager
 
@@ -53,13 +52,6 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     raise RuntimeError("spark.checkpoint.dir must name a folder shared by the cluster")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh folder under the shared checkpoint folder for written tables."""
-    base = ensure_checkpoint_dir(spark)
-    token = os.urandom(6).hex()
-    return f"{base.rstrip('/')}/corpusmill-{name}-{token}"
-
-
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (never a local one): survives executor loss."""
     ensure_checkpoint_dir(df.sparkSession)
