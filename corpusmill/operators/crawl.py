@@ -102,6 +102,46 @@ def crawl(seeds: DataFrame, pages: DataFrame, policy: UrlPolicy, mode: str = "re
     return _union(rounds)
 
 
+def crawl_fetching(seeds: DataFrame, fetch: Callable[[pd.DataFrame], pd.DataFrame],
+                   policy: UrlPolicy, mode: str = "resolve", max_depth: int | None = None,
+                   fetch_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """C4 with live fetching: each round fetches its frontier through ``fetch``.
+
+    ``fetch`` maps a batch of URLs to ``url, content_type, body (binary),
+    status``. Every round's fetched pages are written with a reliable
+    checkpoint before links are read from them, so a recomputation never
+    fetches again. Returns ``(visited: url, depth; fetched pages)``; the
+    fetched pages feed ``crawl_records`` (with ``html_col="body"``).
+    """
+    spark = seeds.sparkSession
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    frontier = checkpoint_partitioned(
+        seeds.select("url").dropDuplicates(["url"]).withColumn("depth", F.lit(0)), n, "url")
+    rounds, fetched_all = [frontier], []
+    depth = 0
+    while True:
+        fetched = checkpoint_partitioned(
+            fetch_pages_with(frontier, fetch, partitions=fetch_partitions or n), n, "url")
+        fetched_all.append(fetched)
+        if max_depth is not None and depth >= max_depth:
+            break
+        html = fetched.where(content_kind("content_type") == "html") \
+                      .select("url", decode_html("body").alias("html")).where(F.col("html").isNotNull())
+        links = L.allowed_links(L.absolute_links(L.extract_links(html), mode), policy)
+        step = links.select(F.col("dst").alias("url")).distinct()
+        found = Observation(f"crawl_fetch_round_{depth + 1}")
+        new = checkpoint_partitioned(
+            step.join(_union(rounds).select("url"), "url", "left_anti")
+                .withColumn("depth", F.lit(depth + 1))
+                .observe(found, F.count(F.lit(1)).alias("n")), n, "url")
+        if not found.get["n"]:
+            break
+        rounds.append(new)
+        frontier = new
+        depth += 1
+    return _union(rounds), _union(fetched_all)
+
+
 def _union(frames: list[DataFrame]) -> DataFrame:
     out = frames[0]
     for f in frames[1:]:

@@ -100,15 +100,27 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
-def crawl_and_save(seeds: DataFrame, pages: DataFrame, policy: UrlPolicy, out_path: str,
+def crawl_and_save(seeds: DataFrame, pages: DataFrame | None, policy: UrlPolicy, out_path: str,
                    mode: str = "resolve", html_mode: str = "nested",
                    max_depth: int | None = None, content_type_col: str | None = None,
-                   pdf_texts: DataFrame | None = None) -> DataFrame:
-    """G1: crawl from the seeds and write one record per fetched page (A2)."""
-    visited = C.crawl(seeds, pages, policy, mode=mode, max_depth=max_depth)
-    recs = C.crawl_records(visited, pages, mode=html_mode, content_type_col=content_type_col,
-                           pdf_texts=pdf_texts)
-    R.write_records(recs, out_path, mode="overwrite")
+                   pdf_texts: DataFrame | None = None,
+                   fetch: Callable[[pd.DataFrame], pd.DataFrame] | None = None) -> DataFrame:
+    """G1: crawl from the seeds and write one record per fetched page (A2).
+
+    With ``pages`` the crawl reads a store of fetched pages; with ``fetch`` it
+    fetches each round's frontier live through the caller's function.
+    """
+    if fetch is not None:
+        visited, fetched = C.crawl_fetching(seeds, fetch, policy, mode=mode, max_depth=max_depth)
+        recs = C.crawl_records(visited, fetched, mode=html_mode, content_type_col="content_type",
+                               pdf_texts=pdf_texts, html_col="body")
+    else:
+        if pages is None:
+            raise ValueError("a crawl needs a page store or a fetch function")
+        visited = C.crawl(seeds, pages, policy, mode=mode, max_depth=max_depth)
+        recs = C.crawl_records(visited, pages, mode=html_mode,
+                               content_type_col=content_type_col, pdf_texts=pdf_texts)
+    R.write_records(recs.select("url", "text"), out_path, mode="overwrite")
     return visited
 
 
@@ -132,6 +144,7 @@ class RunConfig:
     train: bool = True                  # False skips preparation entirely
     seeds: list[str] = field(default_factory=list)
     pages: DataFrame | None = None
+    fetch: Callable[[pd.DataFrame], pd.DataFrame] | None = None
     policy: UrlPolicy = field(default_factory=UrlPolicy)
     prepare: PrepareConfig = field(default_factory=PrepareConfig)
 
@@ -139,9 +152,8 @@ class RunConfig:
 def run(spark: SparkSession, cfg: RunConfig) -> DataFrame | None:
     """Crawl unless a backup is used, then prepare unless training is off."""
     if not cfg.use_backup:
-        if cfg.pages is None:
-            raise ValueError("a crawl needs the fetched pages table")
-        crawl_and_save(C.seed_urls(spark, cfg.seeds), cfg.pages, cfg.policy, cfg.records_path)
+        crawl_and_save(C.seed_urls(spark, cfg.seeds), cfg.pages, cfg.policy, cfg.records_path,
+                       fetch=cfg.fetch)
     if not cfg.train:
         return None
     records = records_with_order(R.read_records(spark, cfg.records_path))

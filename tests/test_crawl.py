@@ -96,3 +96,26 @@ def test_crawl_records_binary_bodies_b2(spark):
            C.crawl_records(visited, pages, html_col="body", content_type_col="ct").collect()}
     assert got == {"u1": ("html", "café", "ok"), "u2": ("html", "", "decode_error"),
                    "u3": ("pdf", "", "ok")}
+
+
+def test_crawl_fetching_live(spark):
+    site = {"https://acme/a": '<a href="/b">b</a><a href="https://acme/c">c</a><p>A</p>',
+            "https://acme/b": '<a href="https://acme/a">a</a><p>B</p>',
+            "https://acme/c": '<a href="https://other/x">x</a>'}
+
+    def fetch(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = [u in site for u in pdf["url"]]
+        return pd.DataFrame({"url": pdf["url"],
+                             "content_type": ["text/html" if f else None for f in found],
+                             "body": [site[u].encode() if u in site else None for u in pdf["url"]],
+                             "status": ["200" if f else "404" for f in found]})
+
+    visited, fetched = C.crawl_fetching(C.seed_urls(spark, ["https://acme/a"]), fetch, POLICY)
+    assert {r.url: r.depth for r in visited.collect()} == {
+        "https://acme/a": 0, "https://acme/b": 1, "https://acme/c": 1}
+    assert fetched.count() == 3
+    recs = {r.url: r.text for r in C.crawl_records(visited, fetched, html_col="body",
+                                                    content_type_col="content_type").collect()}
+    assert recs == {"https://acme/a": "A", "https://acme/b": "B", "https://acme/c": ""}
+    lim, _ = C.crawl_fetching(C.seed_urls(spark, ["https://acme/a"]), fetch, POLICY, max_depth=0)
+    assert lim.count() == 1
