@@ -9,9 +9,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from corpusmill.functions import prompts as _prompts
+from corpusmill.functions import text as _text
+from corpusmill.functions.web import UrlPolicy, content_kind as _content_kind
+from corpusmill.operators import blocks as _blocks, links as _links
 from corpusmill.operators import chunking
+from corpusmill.operators import crawl as _crawl
+from corpusmill.operators import qa as _qa
+from corpusmill.operators import splits as _splits
 from corpusmill.session import read_table
+from corpusmill.sources import export as _export
 from corpusmill.sources.records import records_from_documents
 
 
@@ -44,10 +53,7 @@ _CHUNK_QUERIES = {
 
 
 # ---------------------------------------------------------------- pages, links
-from pyspark.sql import functions as F  # noqa: E402
 
-from corpusmill.functions.web import UrlPolicy, content_kind as _content_kind  # noqa: E402
-from corpusmill.operators import blocks as _blocks, links as _links  # noqa: E402
 
 # Fixed test policy for the driver tables.
 TEST_POLICY = UrlPolicy(deny_substrings=("cheap-pills", "spam-farm"),
@@ -135,10 +141,7 @@ _PAGE_QUERIES = {
 }
 
 
-
 # ------------------------------------------------------ text functions, export
-from corpusmill.functions import text as _text  # noqa: E402
-from corpusmill.sources import export as _export  # noqa: E402
 
 
 def preview(spark, sf_dir):
@@ -166,7 +169,6 @@ def export_table(spark, sf_dir):
 
 
 # ------------------------------------------------------------------- crawl
-from corpusmill.operators import crawl as _crawl  # noqa: E402
 
 
 def linked_pages(spark, sf_dir):
@@ -218,7 +220,6 @@ def unvisited(spark, sf_dir):
 
 
 # ------------------------------------------------------------ batches, splits
-from corpusmill.operators import splits as _splits  # noqa: E402
 
 SPLIT_SEED = 42
 
@@ -239,8 +240,6 @@ def split_grouped(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- QA family
-from corpusmill.functions import prompts as _prompts  # noqa: E402
-from corpusmill.operators import qa as _qa  # noqa: E402
 
 
 def _work(spark, sf_dir):

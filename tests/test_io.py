@@ -115,3 +115,13 @@ def test_export_documents_g4(spark, tmp_dir):
     workflows.export_documents(spark, recs_path, out)
     assert sorted(d for d in os.listdir(out) if d.startswith("file_key=")) == \
         ["file_key=a.b_x", "file_key=a.b_y"]
+
+
+def test_read_records_bad_json_fails_a1(spark, tmp_dir):
+    import pytest
+    path = os.path.join(tmp_dir, "bad")
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.json"), "w") as f:
+        f.write('{"url": "u", "text": "t"}\n\n{"url": broken\n\n')
+    with pytest.raises(Exception):
+        R.read_records(spark, path).collect()
