@@ -5,6 +5,13 @@ with the ``aggregate`` higher-order function inside the projection, so a
 document never leaves its task and no shuffle or Python worker is involved.
 The fold carries only integer positions (start of the current unit list and
 the emitted spans); sentence text is sliced once per emitted chunk.
+
+When the overlap is at least the chunk size (the default), the list is never
+cut below the size after the first emit, so the emit positions have a closed
+form: unit ``size`` (unless it is a decimal) and every unit that ends in
+``.`` and equals the last sentence. A chunk then starts at
+``max(1, previous emit - overlap + 1)``. That path needs one ``filter`` and
+one ``transform`` instead of the fold.
 """
 
 from __future__ import annotations
@@ -58,6 +65,31 @@ def chunk_spans(sentences: Column, size: int = DEFAULT_SIZE,
     return F.when(s.isNotNull() & (n > 0), folded)
 
 
+def closed_form_positions(s: Column, size: int = DEFAULT_SIZE) -> Column:
+    """Emit positions (1-based) for overlap >= size; pass a column reference."""
+    last = F.element_at(s, -1)
+
+    def fires(u: Column) -> Column:
+        x = F.element_at(s, u)
+        return ((u == F.lit(size)) & ~is_decimal(x)) | (x.endswith(".") & (x == last))
+
+    return F.when(s.isNotNull() & (F.size(s) > 0), F.filter(F.sequence(F.lit(1), F.size(s)), fires))
+
+
+def spans_from_positions(e: Column, overlap: int) -> Column:
+    """(st, u) spans from emit positions; pass a column reference to the positions."""
+    def span(u: Column, i: Column) -> Column:
+        prev = F.when(i == 0, F.lit(0)).otherwise(e[i - 1])
+        return F.struct(F.greatest(F.lit(1), prev - F.lit(overlap) + 1).alias("st"), u.alias("u"))
+
+    return F.transform(e, span)
+
+
+def chunks_from_spans(s: Column, spans: Column) -> Column:
+    return F.transform(
+        spans, lambda sp: py_strip(F.array_join(F.slice(s, sp["st"], sp["u"] - sp["st"] + 1), " ")))
+
+
 def chunk_sentences(s: Column, size: int = DEFAULT_SIZE, overlap: int = DEFAULT_OVERLAP,
                     keep_tail: bool = False) -> Column:
     """D3: array of chunk strings from a sentence-array column.
@@ -65,9 +97,7 @@ def chunk_sentences(s: Column, size: int = DEFAULT_SIZE, overlap: int = DEFAULT_
     Pass a column reference, not the split expression itself: the fold reads
     the array once per sentence, so an inline split would be re-run each time.
     """
-    spans = chunk_spans(s, size, overlap, keep_tail)
-    return F.transform(
-        spans, lambda sp: py_strip(F.array_join(F.slice(s, sp["st"], sp["u"] - sp["st"] + 1), " ")))
+    return chunks_from_spans(s, chunk_spans(s, size, overlap, keep_tail))
 
 
 def chunk_records(records: DataFrame, size: int = DEFAULT_SIZE, overlap: int = DEFAULT_OVERLAP,
@@ -84,8 +114,17 @@ def chunk_records(records: DataFrame, size: int = DEFAULT_SIZE, overlap: int = D
     url = F.col(url_col) if url_col in records.columns else F.lit(None).cast("string")
     split = records.select(F.col(order_col).alias("ord"), url.alias("url"),
                            split_sentences(F.col(text_col)).alias("_s"))
-    chunks = split.select("ord", "url", chunk_sentences(F.col("_s"), size, overlap,
-                                                        keep_tail).alias("_chunks"))
+    if overlap >= size and not keep_tail:
+        # each step reads the previous column by reference (never re-evaluates it)
+        pos = split.select("ord", "url", "_s",
+                           closed_form_positions(F.col("_s"), size).alias("_e"))
+        spans = pos.select("ord", "url", "_s",
+                           spans_from_positions(F.col("_e"), overlap).alias("_sp"))
+    else:
+        spans = split.select("ord", "url", "_s",
+                             chunk_spans(F.col("_s"), size, overlap, keep_tail).alias("_sp"))
+    chunks = spans.select("ord", "url",
+                          chunks_from_spans(F.col("_s"), F.col("_sp")).alias("_chunks"))
     # posexplode_outer + filter: a plain posexplode makes the optimizer infer a
     # size(_chunks) > 0 filter below this projection, which re-runs the fold.
     return (chunks.select("ord", F.posexplode_outer("_chunks").alias("chunk_no", "data"), "url")
