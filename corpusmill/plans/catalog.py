@@ -271,21 +271,21 @@ def chat_examples(spark, sf_dir):
                      m[1]["content"].alias("user"), m[2]["content"].alias("assistant"))
 
 
-def _done(spark, sf_dir, work):
+def _done(spark, sf_dir):
     """Stand-in progress: an earlier run wrote the examples of the English documents."""
-    earlier = read_table(spark, sf_dir, "documents").where(F.col("lang") == "en") \
-        .select(F.col("doc_id").alias("ord"))
-    return work.join(earlier, "ord", "left_semi").select(*_qa.WORK_KEYS)
+    english = read_table(spark, sf_dir, "documents").where(F.col("lang") == "en")
+    chunks = chunking.chunk_records(records_from_documents(english))
+    return _qa.expand_questions(chunks, 2).select(*_qa.WORK_KEYS)
 
 
 def pending(spark, sf_dir):
     w = _work(spark, sf_dir).select(*_qa.WORK_KEYS)
-    return _qa.pending(w, _done(spark, sf_dir, w))
+    return _qa.pending(w, _done(spark, sf_dir))
 
 
 def resume_status(spark, sf_dir):
     w = _work(spark, sf_dir).select(*_qa.WORK_KEYS)
-    return _qa.resume_status(w, _done(spark, sf_dir, w))
+    return _qa.resume_status(w, _done(spark, sf_dir))
 
 
 def _turns(spark, sf_dir):
