@@ -86,32 +86,31 @@ def page_texts(pages: DataFrame, mode: str = "nested", url_col: str = "url",
     return src.mapInPandas(lambda it: _nested_page_text_batches(it, phrases), PAGE_TEXT_SCHEMA)
 
 
-def page_text(blocks: DataFrame) -> DataFrame:
+def page_text(blocks: DataFrame, bucket: int = 256) -> DataFrame:
     """B5 over a block table: blocks in ``pos`` order joined by a space.
 
-    Groups by URL; the blocks of one URL come from one page body, so a group
-    is bounded by a single row's size.
+    Inner newlines become spaces (the reference joins with a newline and then
+    replaces every newline). Uses the two-level ordered concatenation, so even
+    a URL with a huge number of blocks spreads over many tasks.
     """
-    return (blocks.groupBy("url")
-            .agg(F.array_sort(F.collect_list(F.struct("pos", "text"))).alias("_b"))
-            .select("url", F.replace(F.array_join(F.col("_b.text"), "\n"),
-                                     F.lit("\n"), F.lit(" ")).alias("text")))
+    flat = blocks.select("url", "pos", F.replace(F.col("text"), F.lit("\n"), F.lit(" ")).alias("text"))
+    return concat_page_text(flat, key="url", page_no="pos", text="text", bucket=bucket, sep=" ")
 
 
 def concat_page_text(pages: DataFrame, key: str = "url", page_no: str = "page_no",
-                     text: str = "text", bucket: int = 256) -> DataFrame:
-    """Page texts of one document joined in page order, no separator.
+                     text: str = "text", bucket: int = 256, sep: str = "") -> DataFrame:
+    """Page texts of one document joined in page order (no separator by default).
 
     Two-level ordered concatenation: runs of ``bucket`` consecutive pages are
     joined first (spread over many tasks even when one document is huge),
-    then the partial strings are joined per key.
+    then the partial strings are joined per key. Each group holds at most
+    ``bucket`` rows in the first level.
     """
     runs = (pages.select(F.col(key).alias("_k"), F.col(page_no).alias("_n"),
                          F.col(text).alias("_t"))
             .groupBy("_k", F.floor(F.col("_n") / bucket).alias("_r"))
             .agg(F.array_sort(F.collect_list(F.struct("_n", "_t"))).alias("_p"))
-            .select("_k", "_r", F.array_join(F.col("_p._t"), "").alias("_s")))
+            .select("_k", "_r", F.array_join(F.col("_p._t"), sep).alias("_s")))
     return (runs.groupBy("_k")
             .agg(F.array_sort(F.collect_list(F.struct("_r", "_s"))).alias("_q"))
-            .select(F.col("_k").alias(key), F.array_join(F.col("_q._s"), "").alias(text)))
-
+            .select(F.col("_k").alias(key), F.array_join(F.col("_q._s"), sep).alias(text)))

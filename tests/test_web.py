@@ -143,3 +143,13 @@ def test_leaf_plan_is_native(spark):
     assert "Python" not in plan and "Exchange" not in plan
     scan = catalog.links(spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
     assert "page_id" not in scan.split("ReadSchema")[-1]   # only url and html are read
+
+
+@pytest.mark.parametrize("case", sorted(HTML))
+def test_block_table_page_text_equals_per_page(spark, case):
+    pages = _pages(spark, HTML[case][0])
+    per_page = {r.url: r.text for r in B.page_texts(pages, "nested").collect()}
+    blocks = B.drop_blocks(B.extract_blocks(pages, "nested"))
+    from_blocks = {r.url: r.text for r in B.page_text(blocks).collect()}
+    # a page without blocks has no row in a block table
+    assert from_blocks == {u: t for u, t in per_page.items() if blocks.count() or t}
