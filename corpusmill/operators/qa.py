@@ -11,13 +11,13 @@ from collections.abc import Callable, Sequence
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from corpusmill.functions import prompts as P
 from corpusmill.functions.text import first_sentence
 from corpusmill.operators.rowindex import with_row_index
 
 WORK_KEYS = ("ord", "chunk_no", "question_no")
-QA_SCHEMA = "question string, answer string"
 
 
 def lookback_context(chunks: DataFrame, k: int = 0, within: str | None = None,
@@ -75,14 +75,15 @@ def generate_qa(df: DataFrame, generator: Callable[[pd.DataFrame], pd.DataFrame]
         return (first.withColumn("question", P.stub_question(F.col("_qa_s1")))
                 .withColumn("answer", P.stub_answer(F.col("_qa_s1"))).drop("_qa_s1"))
     src = df.repartition(partitions) if partitions else df
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    schema = StructType(df.schema.fields + [StructField("question", StringType()),
+                                            StructField("answer", StringType())])
 
     def run(batches):
         for pdf in batches:
             out = generator(pdf)
             yield pdf.assign(question=list(out["question"]), answer=list(out["answer"]))
 
-    return src.mapInPandas(run, f"{schema}, {QA_SCHEMA}")
+    return src.mapInPandas(run, schema)
 
 
 def chat_generator(chat: Callable[[list[dict]], str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
