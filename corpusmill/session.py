@@ -15,6 +15,8 @@ DEFAULT_CONF = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # delete reliable checkpoints once their DataFrame is unreachable
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
