@@ -65,7 +65,7 @@ def link_graph(pages: DataFrame, policy: UrlPolicy, mode: str = "resolve",
 
 def crawl(seeds: DataFrame, pages: DataFrame, policy: UrlPolicy, mode: str = "resolve",
           max_depth: int | None = None, url_col: str = "url", html_col: str = "html",
-          edges: DataFrame | None = None) -> DataFrame:
+          edges: DataFrame | None = None, compact_every: int = 8) -> DataFrame:
     """C4: every URL reachable from the seeds over allowed links: ``url, depth``.
 
     ``depth`` is the breadth-first level (seeds 0). URLs missing from ``pages``
@@ -99,9 +99,21 @@ def crawl(seeds: DataFrame, pages: DataFrame, policy: UrlPolicy, mode: str = "re
         rounds.append(new)
         frontier = new
         depth += 1
+        rounds = _compact(rounds, compact_every, n)
     return _union(rounds)
 
 
+def _compact(rounds: list[DataFrame], every: int, n: int) -> list[DataFrame]:
+    """Merge the round checkpoints into one every ``every`` rounds.
+
+    The union already has the target partitioning, so this is a rewrite
+    without a shuffle; it bounds the files a task opens per round.
+    """
+    if every and len(rounds) > every:
+        return [checkpoint_partitioned(_union(rounds), n, "url")]
+    return rounds
+
+
 def crawl_fetching(seeds: DataFrame, fetch: Callable[[pd.DataFrame], pd.DataFrame],
                    policy: UrlPolicy, mode: str = "resolve", max_depth: int | None = None,
                    fetch_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
@@ -139,6 +151,7 @@ def crawl_fetching(seeds: DataFrame, fetch: Callable[[pd.DataFrame], pd.DataFram
         rounds.append(new)
         frontier = new
         depth += 1
+        rounds = _compact(rounds, 8, n)
     return _union(rounds), _union(fetched_all)
 
 
