@@ -10,6 +10,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from corpusmill.functions import html as H
 from corpusmill.functions.html_tree import read_blocks
@@ -17,7 +18,6 @@ from corpusmill.functions.text import py_strip
 
 MODES = ("nested", "leaf")
 BLOCK_SCHEMA = "url string, pos bigint, tag string, text string"
-PAGE_TEXT_SCHEMA = "url string, text string"
 
 
 def _check(mode: str) -> None:
@@ -51,7 +51,7 @@ def _nested_page_text_batches(batches, phrases):
             kept = [raw.strip() for _, raw in read_blocks(html)
                     if not any(p in raw for p in phrases)]
             out.append("\n".join(kept).replace("\n", " "))
-        yield pd.DataFrame({"url": pdf["url"], "text": out})
+        yield pdf.drop(columns=["html"]).assign(text=out)
 
 
 def extract_blocks(pages: DataFrame, mode: str = "nested", url_col: str = "url",
@@ -75,15 +75,23 @@ def drop_blocks(blocks: DataFrame, phrases: tuple[str, ...] = H.BOILERPLATE) ->
 
 
 def page_texts(pages: DataFrame, mode: str = "nested", url_col: str = "url",
-               html_col: str = "html", phrases: tuple[str, ...] = H.BOILERPLATE) -> DataFrame:
-    """B3-B5 per page: ``url, text``; a page without blocks gives ``""``."""
+               html_col: str = "html", phrases: tuple[str, ...] = H.BOILERPLATE,
+               keep: tuple[str, ...] = ()) -> DataFrame:
+    """B3-B5 per page: ``url, *keep, text``; a page without blocks gives ``""``.
+
+    ``keep`` carries other page columns through, so callers need no join back.
+    """
     _check(mode)
+    extra = [F.col(c) for c in keep]
     if mode == "leaf":
-        marked = _leaf_marked(pages, url_col, html_col)
-        return marked.select("url", H.page_text_from_blocks(H.leaf_blocks(F.col("_m")),
-                                                             phrases).alias("text"))
-    src = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    return src.mapInPandas(lambda it: _nested_page_text_batches(it, phrases), PAGE_TEXT_SCHEMA)
+        marked = pages.select(F.col(url_col).alias("url"), *extra,
+                              H.marked_text(F.col(html_col)).alias("_m"))
+        return marked.select("url", *keep, H.page_text_from_blocks(
+            H.leaf_blocks(F.col("_m")), phrases).alias("text"))
+    src = pages.select(F.col(url_col).alias("url"), *extra, F.col(html_col).alias("html"))
+    schema = StructType([f for f in src.schema.fields if f.name != "html"]
+                        + [StructField("text", StringType())])
+    return src.mapInPandas(lambda it: _nested_page_text_batches(it, phrases), schema)
 
 
 def page_text(blocks: DataFrame, bucket: int = 256) -> DataFrame:

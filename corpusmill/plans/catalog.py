@@ -163,9 +163,8 @@ def file_key(spark, sf_dir):
 
 
 def export_table(spark, sf_dir):
-    records = _blocks.page_texts(_pages(spark, sf_dir), mode="leaf") \
-        .join(_pages(spark, sf_dir).select("url", F.col("page_id").alias("ord")), "url")
-    return _export.export_table(records, max_len=20)
+    records = _blocks.page_texts(_pages(spark, sf_dir), mode="leaf", keep=("page_id",))
+    return _export.export_table(records.withColumnRenamed("page_id", "ord"), max_len=20)
 
 
 # ------------------------------------------------------------------- crawl

@@ -153,3 +153,10 @@ def test_block_table_page_text_equals_per_page(spark, case):
     from_blocks = {r.url: r.text for r in B.page_text(blocks).collect()}
     # a page without blocks has no row in a block table
     assert from_blocks == {u: t for u, t in per_page.items() if blocks.count() or t}
+
+
+@pytest.mark.parametrize("mode", ["leaf", "nested"])
+def test_page_texts_keep_columns(spark, mode):
+    pages = spark.createDataFrame([("u", 7, "<p>x</p>")], "url string, page_id long, html string")
+    r = B.page_texts(pages, mode, keep=("page_id",)).first()
+    assert (r.url, r.page_id, r.text) == ("u", 7, "x")
