@@ -8,6 +8,8 @@ from conftest import SF_SMALL
 from tools.check_oracle import TABLES, digest
 
 SQL = E.oracle_sql()
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "boolean": "BOOLEAN",
+                 "int": "INTEGER", "double": "DOUBLE"}
 
 
 @pytest.fixture(scope="module")
@@ -32,6 +34,9 @@ def test_query_matches_oracle(spark, con, name):
         assert s_n > 0
         return
     res = con.sql(SQL[name])
+    s_types = sorted((f.name, SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString()))
+                     for f in df.schema.fields)
+    assert s_types == sorted(zip(res.columns, [str(t) for t in res.types]))
     d_cols, d_n, d_h, _ = digest(list(res.columns), res.fetchall())
     assert (s_cols, s_n) == (d_cols, d_n)
     assert s_h == d_h
