@@ -38,7 +38,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     The cluster names a shared folder in ``spark.checkpoint.dir``; only a
     local-mode session without one (tests) gets a fresh temporary folder.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server's spark.checkpoint.dir applies
+        return spark.conf.get("spark.checkpoint.dir", None) or ""
     current = sc.getCheckpointDir()
     if current:
         return current
