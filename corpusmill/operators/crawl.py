@@ -65,16 +65,19 @@ def link_graph(pages: DataFrame, policy: UrlPolicy, mode: str = "resolve",
 
 def crawl(seeds: DataFrame, pages: DataFrame, policy: UrlPolicy, mode: str = "resolve",
           max_depth: int | None = None, url_col: str = "url", html_col: str = "html",
-          edges: DataFrame | None = None, compact_every: int = 8) -> DataFrame:
+          edges: DataFrame | None = None, compact_every: int = 8,
+          num_partitions: int | None = None) -> DataFrame:
     """C4: every URL reachable from the seeds over allowed links: ``url, depth``.
 
     ``depth`` is the breadth-first level (seeds 0). URLs missing from ``pages``
     are visited but have no links, as a failed fetch in the reference.
+    ``num_partitions`` (default: ``spark.sql.shuffle.partitions``) partitions
+    the edge table and the visited set; size it to the edge table.
     """
     if edges is None:
         edges = link_graph(pages, policy, mode, url_col, html_col)
     spark = pages.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # edges hash-partitioned by src and every round's frontier by url, both with
     # n partitions: a round shuffles only the frontier (to meet the edges) and
     # the candidate links (dedupe), never the edge table or the visited set
@@ -116,7 +119,8 @@ def _compact(rounds: list[DataFrame], every: int, n: int) -> list[DataFrame]:
 
 def crawl_fetching(seeds: DataFrame, fetch: Callable[[pd.DataFrame], pd.DataFrame],
                    policy: UrlPolicy, mode: str = "resolve", max_depth: int | None = None,
-                   fetch_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+                   fetch_partitions: int | None = None,
+                   num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
     """C4 with live fetching: each round fetches its frontier through ``fetch``.
 
     ``fetch`` maps a batch of URLs to ``url, content_type, body (binary),
@@ -126,7 +130,7 @@ def crawl_fetching(seeds: DataFrame, fetch: Callable[[pd.DataFrame], pd.DataFram
     fetched pages feed ``crawl_records`` (with ``html_col="body"``).
     """
     spark = seeds.sparkSession
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     frontier = checkpoint_partitioned(
         seeds.select("url").dropDuplicates(["url"]).withColumn("depth", F.lit(0)), n, "url")
     rounds, fetched_all = [frontier], []

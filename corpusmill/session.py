@@ -83,13 +83,16 @@ def checkpoint_partitioned(df: DataFrame, num_partitions: int, *keys: str) -> Da
     """Reliable checkpoint hash-partitioned by ``keys`` that later joins can reuse.
 
     An adaptive plan reports an unknown partitioning to the checkpoint, so the
-    checkpoint job runs with AQE paused; joins and aggregations on ``keys``
+    checkpoint job runs with AQE paused (and with ``num_partitions`` as the
+    shuffle partition count, so the job's own exchanges line up); joins and
+    aggregations on ``keys``
     with ``num_partitions`` partitions then need no shuffle of this side, and a
     union of such checkpoints keeps the partitioning too. The pause is a
     session setting: do not run other queries on the same session from other
     driver threads meanwhile.
     """
-    with session_conf(df.sparkSession, {"spark.sql.adaptive.enabled": "false"}):
+    with session_conf(df.sparkSession, {"spark.sql.adaptive.enabled": "false",
+                                        "spark.sql.shuffle.partitions": str(num_partitions)}):
         return cut_lineage(df.repartition(num_partitions, *keys))
 
 

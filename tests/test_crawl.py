@@ -36,7 +36,8 @@ def test_crawl_independent_of_partitions(spark):
     seed = catalog._seed(pages)
     a = sorted(C.crawl(seed, pages, catalog.TEST_POLICY).collect())
     b = sorted(C.crawl(seed, pages.repartition(5), catalog.TEST_POLICY).collect())
-    assert a == b and len(a) > 10
+    c = sorted(C.crawl(seed, pages, catalog.TEST_POLICY, num_partitions=3).collect())
+    assert a == b == c and len(a) > 10
 
 
 def test_unvisited_c1(spark):
