@@ -90,6 +90,19 @@ def split_grouped(df: DataFrame, group: str, seed: int = 0, name: str = "split")
     return _label(df, h, k, probe, groups.count(), name)
 
 
+def hash_split(key: Column, seed: int = 0) -> Column:
+    """Streaming form of F2: train/test/valid by a threshold on md5(seed:key).
+
+    Row-wise, so it runs per micro-batch; the fractions (0.8 / 0.1333 / 0.0667)
+    hold only in expectation, unlike the exact batch split.
+    """
+    u = F.conv(F.substring(split_hash(key, seed), 1, 8), 16, 10).cast("double") / float(2 ** 32)
+    valid_share = HOLDOUT_FRACTION * VALID_FRACTION
+    return (F.when(u < 1 - HOLDOUT_FRACTION, F.lit("train"))
+             .when(u < 1 - valid_share, F.lit("test"))
+             .otherwise(F.lit("valid")))
+
+
 def shuffle_order(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
     """a repeatable random row order."""
     return df.orderBy(split_hash(F.col(key), seed), F.col(key))

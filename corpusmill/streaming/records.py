@@ -19,6 +19,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corpusmill.functions.prompts import chat_messages
 from corpusmill.operators import chunking, qa
+from corpusmill.operators.splits import hash_split
 
 STREAM_RECORD_DDL = "url string, text string, ord bigint"
 
@@ -55,9 +56,16 @@ def example_stream(records: DataFrame, size: int = chunking.DEFAULT_SIZE,
 
 
 def prepare_stream(spark: SparkSession, source_dir: str, sink_dir: str, checkpoint_dir: str,
-                   available_now: bool = True) -> StreamingQuery:
-    """H2: each input record is turned into examples exactly once across restarts."""
+                   available_now: bool = True, split_seed: int | None = None) -> StreamingQuery:
+    """H2: each input record is turned into examples exactly once across restarts.
+
+    With ``split_seed`` each example also gets an approximate ``split``
+    (hash threshold); the exact split needs the whole table and is batch-only.
+    """
     out = example_stream(record_stream(spark, source_dir))
+    if split_seed is not None:
+        key = F.concat_ws(":", *[F.col(k).cast("string") for k in qa.WORK_KEYS])
+        out = out.withColumn("split", hash_split(key, split_seed))
     writer = (out.writeStream.format("parquet")
               .option("checkpointLocation", checkpoint_dir).outputMode("append"))
     if available_now:

@@ -61,3 +61,13 @@ def test_row_index_dense_and_ordered(spark):
     assert sorted((r.v, r.i) for r in idx) == [(v, v) for v in range(1000)]
     assert {r.n for r in idx} == {1000}
     assert rows_at_ranks(df, ["v"], [0, 999, 1000]) == [(0,), (999,), None]
+
+
+def test_hash_split_fractions_and_repeatable(spark):
+    df = spark.range(20000).select(F.col("id").cast("string").alias("k"))
+    got = {r.s: r["count"] for r in df.select(splits.hash_split(F.col("k"), 1).alias("s"))
+           .groupBy("s").count().collect()}
+    assert abs(got["train"] / 20000 - 0.8) < 0.02 and abs(got["valid"] / 20000 - 0.0667) < 0.01
+    a = df.select("k", splits.hash_split(F.col("k"), 1).alias("s")).orderBy("k").collect()
+    b = df.repartition(3).select("k", splits.hash_split(F.col("k"), 1).alias("s")).orderBy("k").collect()
+    assert a == b

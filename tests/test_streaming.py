@@ -37,3 +37,12 @@ def test_h2_examples_once_and_equal_to_batch(spark, tmp_dir):
     batch = S.example_stream(spark.read.schema(S.STREAM_RECORD_DDL).json(src))
     assert sorted(streamed.select("ord", "chunk_no", "question_no").collect()) == \
         sorted(batch.select("ord", "chunk_no", "question_no").collect())
+
+
+def test_h2_streaming_split_by_hash(spark, tmp_dir):
+    src, sink, ck = (os.path.join(tmp_dir, d) for d in ("src", "sink", "ck"))
+    _drop(src, "a.json", [{"url": f"u{i}", "text": "A. B.", "ord": i} for i in range(300)])
+    S.prepare_stream(spark, src, sink, ck, split_seed=4).awaitTermination()
+    got = {r.split: r["count"] for r in spark.read.parquet(sink).groupBy("split").count().collect()}
+    assert set(got) == {"train", "test", "valid"} and sum(got.values()) == 600
+    assert 0.7 < got["train"] / 600 < 0.9
