@@ -13,7 +13,7 @@ label the full table with a comparison instead of carrying it through a sort.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -67,14 +67,19 @@ def with_row_index(df: DataFrame, order_cols: Sequence[str | Column], name: str
     return out.select(*cols)
 
 
-def rows_at_ranks(df: DataFrame, order_cols: Sequence[str], ranks: Sequence[int]) -> list:
+def rows_at_ranks(df: DataFrame, order_cols: Sequence[str],
+                  ranks: Sequence[int] | Callable[[int], Sequence[int]]) -> list:
     """Values of ``order_cols`` at the given 0-based ranks (None past the end).
 
-    Only ``order_cols`` are sorted and checkpointed; the result has one entry
-    per requested rank, so it is safe to bring to the driver.
+    ``ranks`` may be a function of the row count ``n``, which comes from the
+    same pass (no separate count). Only ``order_cols`` are sorted and
+    checkpointed; the result has one entry per requested rank, so it is safe
+    to bring to the driver.
     """
     tagged = _sorted_tagged(df.select(*order_cols), order_cols)
-    offsets, sizes, _ = _partition_offsets(tagged)
+    offsets, sizes, total = _partition_offsets(tagged)
+    if callable(ranks):
+        ranks = list(ranks(total))
     wanted = {}
     for r in ranks:
         for pid, (off, size) in enumerate(zip(offsets, sizes)):

@@ -42,14 +42,18 @@ def _below(h: Column, k: Column, bound: tuple | None) -> Column:
     return (h < F.lit(bh)) | ((h == F.lit(bh)) & (k < F.lit(bk)))
 
 
-def _label(df: DataFrame, h: Column, k: Column, probe: DataFrame, n: int,
-           name: str) -> DataFrame:
+def _boundary_ranks(n: int) -> list[int]:
+    n_train, n_test, _ = split_sizes(n)
+    return [n_train, n_train + n_test]
+
+
+def _label(df: DataFrame, h: Column, k: Column, probe: DataFrame, name: str) -> DataFrame:
     """Label rows by comparing (h, k) with the (hash, key) values at the two ranks.
 
-    ``probe`` holds one ``(_sh, _sk)`` row per ranked unit (row or group).
+    ``probe`` holds one ``(_sh, _sk)`` row per ranked unit (row or group); the
+    unit count comes from the ranking pass itself.
     """
-    n_train, n_test, _ = split_sizes(n)
-    b_train, b_test = rows_at_ranks(probe, ["_sh", "_sk"], [n_train, n_train + n_test])
+    b_train, b_test = rows_at_ranks(probe, ["_sh", "_sk"], _boundary_ranks)
     label = (F.when(_below(h, k, b_train), F.lit("train"))
               .when(_below(h, k, b_test), F.lit("test"))
               .otherwise(F.lit("valid")))
@@ -62,18 +66,15 @@ def split_three_way(df: DataFrame, key: str, seed: int = 0, name: str = "split")
     ``key`` must be unique per row.
     """
     h, k = split_hash(F.col(key), seed), F.col(key).cast("string")
-    probe = df.select(h.alias("_sh"), k.alias("_sk"))
-    return _label(df, h, k, probe, df.count(), name)
+    return _label(df, h, k, df.select(h.alias("_sh"), k.alias("_sk")), name)
 
 
 def split_exact(df: DataFrame, key: str, seed: int = 0, fraction: float = HOLDOUT_FRACTION,
                 name: str = "split") -> DataFrame:
     """two-way split, ``ceil(fraction * n)`` rows in ``test``."""
-    n = df.count()
-    n_train = n - math.ceil(n * fraction)
     h, k = split_hash(F.col(key), seed), F.col(key).cast("string")
     (b_train,) = rows_at_ranks(df.select(h.alias("_sh"), k.alias("_sk")), ["_sh", "_sk"],
-                               [n_train])
+                               lambda n: [n - math.ceil(n * fraction)])
     return df.withColumn(name, F.when(_below(h, k, b_train), "train").otherwise("test"))
 
 
@@ -87,7 +88,7 @@ def split_grouped(df: DataFrame, group: str, seed: int = 0, name: str = "split")
     probe = groups.select(split_hash(F.col("_g"), seed).alias("_sh"),
                           F.col("_g").cast("string").alias("_sk"))
     h, k = split_hash(F.col(group), seed), F.col(group).cast("string")
-    return _label(df, h, k, probe, groups.count(), name)
+    return _label(df, h, k, probe, name)
 
 
 def hash_split(key: Column, seed: int = 0) -> Column:
@@ -117,11 +118,11 @@ def assign_batches(df: DataFrame, order_cols: list[str], num_batches: int,
     """
     if num_batches < 1:
         raise ValueError("num_batches must be >= 1")
-    n = df.count()
-    if n == 0:
-        return df.withColumn(name, F.lit(None).cast("bigint")).limit(0)
-    size = math.ceil(n / num_batches)
-    ranks = list(range(size, n, size))
+
+    def ranks(n: int) -> list[int]:
+        size = math.ceil(n / num_batches) if n else 1
+        return list(range(size, n, size))
+
     bounds = [b for b in rows_at_ranks(df.select(*order_cols), order_cols, ranks) if b]
     batch = F.lit(0)
     key = F.struct(*[F.col(c) for c in order_cols])
@@ -130,4 +131,3 @@ def assign_batches(df: DataFrame, order_cols: list[str], num_batches: int,
                              for c, v in zip(order_cols, b)])
         batch = batch + F.when(key >= lit_key, 1).otherwise(0)
     return df.withColumn(name, batch.cast("bigint"))
-
