@@ -78,43 +78,57 @@ def crawl(seeds: DataFrame, pages: DataFrame, policy: UrlPolicy, mode: str = "re
         edges = link_graph(pages, policy, mode, url_col, html_col)
     spark = pages.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # edges hash-partitioned by src and every round's frontier by url, both with
-    # n partitions: a round shuffles only the frontier (to meet the edges) and
-    # the candidate links (dedupe), never the edge table or the visited set
-    edges = checkpoint_partitioned(edges, n, "src")
+    # Edges hash-partitioned by src and every round's frontier by url, both with
+    # n partitions and sorted within partitions: a round shuffles and sorts only
+    # the candidate links. Visited = one compacted base + the recent rounds,
+    # all partitioned and sorted alike, anti-joined in turn without a shuffle.
+    edges = checkpoint_partitioned(edges, n, "src", sort=True)
     frontier = checkpoint_partitioned(
-        seeds.select("url").dropDuplicates(["url"]).withColumn("depth", F.lit(0)), n, "url")
-    rounds = [frontier]
+        seeds.select("url").dropDuplicates(["url"]).withColumn("depth", F.lit(0)), n, "url",
+        sort=True)
+    visited = _Visited(frontier, n, compact_every)
     depth = 0
     while max_depth is None or depth < max_depth:
-        visited = _union(rounds)
         step = (frontier.select(F.col("url").alias("src"))
                 .join(edges, "src")
                 .select(F.col("dst").alias("url")).distinct())
         found = Observation(f"crawl_round_{depth + 1}")
         new = checkpoint_partitioned(
-            step.join(visited.select("url"), "url", "left_anti")
-                .withColumn("depth", F.lit(depth + 1))
-                .observe(found, F.count(F.lit(1)).alias("n")), n, "url")
+            visited.exclude(step).withColumn("depth", F.lit(depth + 1))
+                   .observe(found, F.count(F.lit(1)).alias("n")), n, "url", sort=True)
         # the count rides on the checkpoint job: one job per round
         if not found.get["n"]:
             break
-        rounds.append(new)
+        visited.add(new)
         frontier = new
         depth += 1
-        rounds = _compact(rounds, compact_every, n)
-    return _union(rounds)
+    return visited.all()
 
 
-def _compact(rounds: list[DataFrame], every: int, n: int) -> list[DataFrame]:
-    """Merge the round checkpoints into one every ``every`` rounds.
+class _Visited:
+    """Visited URLs as a compacted base plus recent round checkpoints.
 
-    The union already has the target partitioning, so this is a rewrite
-    without a shuffle; it bounds the files a task opens per round.
+    Every part is hash-partitioned and sorted by url the same way, so excluding
+    them is a chain of merge anti-joins with no shuffle or sort of the parts.
+    Every ``every`` rounds the parts are merged into a new base, which bounds
+    the files a task opens.
     """
-    if every and len(rounds) > every:
-        return [checkpoint_partitioned(_union(rounds), n, "url")]
-    return rounds
+
+    def __init__(self, first: DataFrame, n: int, every: int) -> None:
+        self.parts, self.n, self.every = [first], n, every
+
+    def exclude(self, urls: DataFrame) -> DataFrame:
+        for part in self.parts:
+            urls = urls.join(part.select("url"), "url", "left_anti")
+        return urls
+
+    def add(self, part: DataFrame) -> None:
+        self.parts.append(part)
+        if self.every and len(self.parts) > self.every:
+            self.parts = [checkpoint_partitioned(self.all(), self.n, "url", sort=True)]
+
+    def all(self) -> DataFrame:
+        return _union(self.parts)
 
 
 def crawl_fetching(seeds: DataFrame, fetch: Callable[[pd.DataFrame], pd.DataFrame],
@@ -132,8 +146,9 @@ def crawl_fetching(seeds: DataFrame, fetch: Callable[[pd.DataFrame], pd.DataFram
     spark = seeds.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     frontier = checkpoint_partitioned(
-        seeds.select("url").dropDuplicates(["url"]).withColumn("depth", F.lit(0)), n, "url")
-    rounds, fetched_all = [frontier], []
+        seeds.select("url").dropDuplicates(["url"]).withColumn("depth", F.lit(0)), n, "url",
+        sort=True)
+    visited, fetched_all = _Visited(frontier, n, 8), []
     depth = 0
     while True:
         fetched = checkpoint_partitioned(
@@ -147,16 +162,14 @@ def crawl_fetching(seeds: DataFrame, fetch: Callable[[pd.DataFrame], pd.DataFram
         step = links.select(F.col("dst").alias("url")).distinct()
         found = Observation(f"crawl_fetch_round_{depth + 1}")
         new = checkpoint_partitioned(
-            step.join(_union(rounds).select("url"), "url", "left_anti")
-                .withColumn("depth", F.lit(depth + 1))
+            visited.exclude(step).withColumn("depth", F.lit(depth + 1))
                 .observe(found, F.count(F.lit(1)).alias("n")), n, "url")
         if not found.get["n"]:
             break
-        rounds.append(new)
+        visited.add(new)
         frontier = new
         depth += 1
-        rounds = _compact(rounds, 8, n)
-    return _union(rounds), _union(fetched_all)
+    return visited.all(), _union(fetched_all)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

@@ -79,7 +79,8 @@ def session_conf(spark: SparkSession, conf: dict[str, str]):
                 spark.conf.set(k, v)
 
 
-def checkpoint_partitioned(df: DataFrame, num_partitions: int, *keys: str) -> DataFrame:
+def checkpoint_partitioned(df: DataFrame, num_partitions: int, *keys: str,
+                           sort: bool = False) -> DataFrame:
     """Reliable checkpoint hash-partitioned by ``keys`` that later joins can reuse.
 
     An adaptive plan reports an unknown partitioning to the checkpoint, so the
@@ -91,9 +92,12 @@ def checkpoint_partitioned(df: DataFrame, num_partitions: int, *keys: str) -> Da
     session setting: do not run other queries on the same session from other
     driver threads meanwhile.
     """
+    out = df.repartition(num_partitions, *keys)
+    if sort:   # also keeps the order within partitions: merge joins skip their sort
+        out = out.sortWithinPartitions(*keys)
     with session_conf(df.sparkSession, {"spark.sql.adaptive.enabled": "false",
                                         "spark.sql.shuffle.partitions": str(num_partitions)}):
-        return cut_lineage(df.repartition(num_partitions, *keys))
+        return cut_lineage(out)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
