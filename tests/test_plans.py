@@ -43,3 +43,26 @@ def test_filter_pushdown_reaches_scan(spark):
     from pyspark.sql import functions as F
     df = spark.read.parquet(f"{SF_SMALL}/pages.parquet").where(F.col("url").startswith("https"))
     assert "StringStartsWith(url,https)" in _plan(df)
+
+
+def test_crawl_round_shuffles_only_candidates(spark):
+    from pyspark.sql import functions as F
+
+    from corpusmill.operators import crawl as C
+    from corpusmill.plans import catalog
+    from corpusmill.session import checkpoint_partitioned, session_conf
+
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):
+        pages = catalog.linked_pages(spark, SF_SMALL)
+        edges = checkpoint_partitioned(C.link_graph(pages, catalog.TEST_POLICY), 8, "src", sort=True)
+        seeds = pages.select("url").withColumn("depth", F.lit(0))
+        front = checkpoint_partitioned(seeds, 8, "url", sort=True)
+        visited = C._Visited(front, 8, 8)
+        visited.add(checkpoint_partitioned(front.withColumn("depth", F.lit(1)), 8, "url", sort=True))
+        step = (front.select(F.col("url").alias("src")).join(edges, "src")
+                .select(F.col("dst").alias("url")).distinct())
+        with session_conf(spark, {"spark.sql.adaptive.enabled": "false",
+                                  "spark.sql.shuffle.partitions": "8"}):
+            plan = _plan(visited.exclude(step))
+    assert plan.count("Exchange") == 1              # the candidate dedupe only
+    assert plan.count("Sort [") == 1                # the candidates only
