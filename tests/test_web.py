@@ -1,7 +1,6 @@
 """B1-B14 goldens (FIXTURES H1-H5, U1-U11, T1-T4) and block/link properties."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
 from corpusmill.functions import text as T
