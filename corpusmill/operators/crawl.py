@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from corpusmill.functions.web import UrlPolicy, content_kind, decode_html
 from corpusmill.operators import blocks as B
 from corpusmill.operators import links as L
-from corpusmill.session import checkpoint_partitioned
+from corpusmill.session import checkpoint_partitioned, cut_lineage
 
 
 def seed_urls(spark: SparkSession, urls: Iterable[str]) -> DataFrame:
@@ -71,13 +71,17 @@ def crawl(seeds: DataFrame, pages: DataFrame, policy: UrlPolicy, mode: str = "re
 
     ``depth`` is the breadth-first level (seeds 0). URLs missing from ``pages``
     are visited but have no links, as a failed fetch in the reference.
-    ``num_partitions`` (default: ``spark.sql.shuffle.partitions``) partitions
-    the edge table and the visited set; size it to the edge table.
+    ``num_partitions`` partitions the edge table and the visited set; by
+    default it is the partition count AQE gives the edge table when sizing its
+    partitions, at least the cluster's parallelism and at most
+    ``spark.sql.shuffle.partitions``.
     """
     if edges is None:
         edges = link_graph(pages, policy, mode, url_col, html_col)
-    spark = pages.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if num_partitions is None:
+        edges = cut_lineage(edges)            # AQE sizes these partitions
+        num_partitions = _round_partitions(pages.sparkSession, edges.rdd.getNumPartitions())
+    n = num_partitions
     # Edges hash-partitioned by src and every round's frontier by url, both with
     # n partitions and sorted within partitions: a round shuffles and sorts only
     # the candidate links. Visited = one compacted base + the recent rounds,
@@ -105,6 +109,15 @@ def crawl(seeds: DataFrame, pages: DataFrame, policy: UrlPolicy, mode: str = "re
     return visited.all()
 
 
+def _round_partitions(spark: SparkSession, sized: int) -> int:
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    try:
+        cores = spark.sparkContext.defaultParallelism
+    except Exception:  # Spark Connect
+        cores = cap
+    return max(1, min(cap, max(sized, cores)))
+
+
 class _Visited:
     """Visited URLs as a compacted base plus recent round checkpoints.
 
