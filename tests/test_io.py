@@ -125,3 +125,21 @@ def test_read_records_bad_json_fails_a1(spark, tmp_dir):
         f.write('{"url": "u", "text": "t"}\n\n{"url": broken\n\n')
     with pytest.raises(Exception):
         R.read_records(spark, path).collect()
+
+
+def test_records_with_order_is_partition_independent(spark):
+    df = spark.createDataFrame([(f"u{i % 7}", f"t{i}") for i in range(40)], "url string, text string")
+    a = sorted((r.url, r.text, r.ord) for r in workflows.records_with_order(df).collect())
+    b = sorted((r.url, r.text, r.ord) for r in workflows.records_with_order(df.repartition(5)).collect())
+    assert a == b and sorted(r[2] for r in a) == list(range(40))
+
+
+def test_session_conf_restores(spark):
+    import pytest
+    from corpusmill.session import session_conf
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with pytest.raises(RuntimeError):
+        with session_conf(spark, {"spark.sql.shuffle.partitions": "3"}):
+            assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
+            raise RuntimeError("boom")
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
