@@ -26,7 +26,9 @@ from pyspark.sql import functions as F
 from corpusmill.llm.bytesets import covered, join_bytes, runs_of
 
 #: Bytes of text that one group, and of pieces that one bucket, holds by default.
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 4 << 20
+#: Pieces hold every byte about three times; time is cheaper than shuffle files.
+_LEVEL = 6
 _BLOB = "bucket int, g int, kind int, z binary"
 _ANSWER = "g int, z binary"
 
@@ -46,7 +48,7 @@ def group_documents(docs: DataFrame, id_col: str, text_col: str, group_bytes: in
     count = max(2 * parts, math.ceil(size / group_bytes), 1)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        press = zstandard.ZstdCompressor(level=3, write_checksum=False)
+        press = zstandard.ZstdCompressor(level=_LEVEL, write_checksum=False)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
@@ -77,7 +79,7 @@ class GroupText:
 
 def pack_blob(arrays: list[np.ndarray]) -> bytes:
     head = np.array([len(arrays)] + [a.nbytes for a in arrays], np.int64).tobytes()
-    return zstandard.ZstdCompressor(level=1, write_checksum=False).compress(head + b"".join(a.tobytes() for a in arrays))
+    return zstandard.ZstdCompressor(level=_LEVEL, write_checksum=False).compress(head + b"".join(a.tobytes() for a in arrays))
 
 
 def open_blob(z: bytes, dtypes: list) -> list[np.ndarray]:
@@ -92,7 +94,7 @@ def open_blob(z: bytes, dtypes: list) -> list[np.ndarray]:
 
 
 PIECES, RUNS = 0, 1
-_RUN_TYPES = [np.uint32, np.int64, np.int64]
+_RUN_TYPES = [np.uint32, np.uint32]
 
 
 def blob_table(buckets: list[int], g: int, blobs: list[bytes], kinds: list[int]) -> pa.Table:
@@ -101,15 +103,15 @@ def blob_table(buckets: list[int], g: int, blobs: list[bytes], kinds: list[int])
                      "kind": pa.array(kinds, pa.int32()), "z": pa.array(blobs, pa.binary())})
 
 
-def run_blob(doc: np.ndarray, start: np.ndarray, end: np.ndarray) -> bytes:
-    """Removed ranges of one group: document position in the group, first and last+1 unit in the document."""
-    return pack_blob([doc.astype(np.uint32), start.astype(np.int64), end.astype(np.int64)])
+def run_blob(start: np.ndarray, end: np.ndarray) -> bytes:
+    """Removed ranges of one group, counted over the group's units (words or bytes)."""
+    return pack_blob([start.astype(np.uint32), end.astype(np.uint32)])
 
 
 def remove_covered(groups: Groups, scatter: Callable, settle: Callable, finish: Callable, out_schema: str) -> DataFrame:
     """``scatter(group text, n buckets)`` gives (bucket, blob) pieces and the ranges settled inside the group;
-    ``settle(blobs, their groups)`` gives (position of the blob's group, doc, start, end) arrays of a bucket;
-    ``finish(group text, doc, start, end)`` gives the result columns of a group."""
+    ``settle(blobs, their groups)`` gives (number of the blob, start, end) arrays of a bucket;
+    ``finish(group text, start, end)`` gives the result columns of a group."""
     count, parts = groups.count, groups.partitions
 
     def scatter_group(table: pa.Table) -> pa.Table:
@@ -126,22 +128,23 @@ def remove_covered(groups: Groups, scatter: Callable, settle: Callable, finish:
         out_z = [z for z, k in zip(zs, kinds) if k == RUNS]
         pieces = sorted((g, z) for g, k, z in zip(gs, kinds, zs) if k == PIECES)
         if len(pieces) > 0:
-            src, doc, start, end = settle([z for _, z in pieces])
+            src, start, end = settle([z for _, z in pieces])
             order = np.argsort(src, kind="stable")
-            src, doc, start, end = src[order], doc[order], start[order], end[order]
+            src, start, end = src[order], start[order], end[order]
             cuts = np.flatnonzero(np.diff(src)) + 1
             lo = np.concatenate(([0], cuts)) if len(src) else []
             hi = np.concatenate((cuts, [len(src)])) if len(src) else []
             for a, b in zip(lo, hi):
                 out_g.append(pieces[src[a]][0])
-                out_z.append(run_blob(doc[a:b], start[a:b], end[a:b]))
+                out_z.append(run_blob(start[a:b], end[a:b]))
         return pa.table({"g": pa.array(out_g, pa.int32()), "z": pa.array(out_z, pa.binary())})
 
     def finish_group(docs: pa.Table, answers: pa.Table) -> pa.Table:
         text = GroupText(docs)
         runs = [open_blob(z, _RUN_TYPES) for z in answers["z"].to_pylist()]
-        doc, start, end = (np.concatenate([r[k] for r in runs]) if runs else np.zeros(0, np.int64) for k in range(3))
-        return finish(text, doc.astype(np.int64), start, end)
+        start, end = (np.concatenate([r[k] for r in runs]).astype(np.int64) if runs else np.zeros(0, np.int64)
+                      for k in range(2))
+        return finish(text, start, end)
 
     blobs = groups.docs.groupBy("g").applyInArrow(scatter_group, _BLOB).repartition(parts, "bucket")
     answers = blobs.groupBy("bucket").applyInArrow(settle_bucket, _ANSWER)
@@ -149,10 +152,7 @@ def remove_covered(groups: Groups, scatter: Callable, settle: Callable, finish:
 
 
 def settled_runs(n: int, offs: np.ndarray, starts: np.ndarray, ends: np.ndarray):
-    """Merge ranges on concatenated units into (document, start, end) runs relative to each document."""
+    """Merge ranges over the group's units into few; runs stop at document borders."""
     if len(starts) == 0:
-        e = np.zeros(0, np.int64)
-        return e, e, e
-    a, b = runs_of(covered(n, starts, ends), offs)
-    doc = np.searchsorted(offs, a, side="right") - 1
-    return doc, a - offs[doc], b - offs[doc]
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return runs_of(covered(n, starts, ends), offs)

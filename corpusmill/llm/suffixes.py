@@ -33,7 +33,8 @@ from corpusmill.llm.bytesets import covered, mix, runs_of, sliding_min, take_ran
 
 _GRAM = 8
 _POS_BITS = 24                                    # anchors: 40 hash bits, then the position
-_PIECE = [np.int64, np.uint32, np.uint32, np.uint8, np.uint8, np.uint8, np.uint8, np.uint8]
+# document id, anchor in the group, shared prefix, bytes right and left of the anchor, new bytes, left bytes
+_PIECE = [np.int64, np.uint32, np.uint8, np.uint8, np.uint8, np.uint8, np.uint8]
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
@@ -110,7 +111,7 @@ def _scatter(text: X.GroupText, buckets: int, span: int):
     none = np.zeros(0, np.int64)
     p, s0, s1, d, loads = _anchors(text, span)
     if len(p) == 0:
-        return [], [], (none, none, none)
+        return [], [], (none, none)
     ll, rl = p - s0, s1 + span - p
     nr, nl = -(-span // 8), -(-(span - _GRAM) // 8)
     right = _masked([loads[p + 64 + 8 * j].byteswap() for j in range(nr)], rl)
@@ -128,24 +129,22 @@ def _scatter(text: X.GroupText, buckets: int, span: int):
     low[order] = np.repeat(ids[order][head], np.diff(np.append(head, len(order))))
     travel = ids == low
     done = X.settled_runs(len(text.data), text.offs, s0[~travel], (s1 + span)[~travel])
-    p, d, ids, ll, rl = p[travel], d[travel], ids[travel], ll[travel], rl[travel]
+    p, ids, ll, rl = p[travel], ids[travel], ll[travel], rl[travel]
     right, left = [w[travel] for w in right], [w[travel] for w in left]
     bucket = (mix(right[0] + np.uint64(3)) % np.uint64(buckets)).astype(np.int64)
     order = np.lexsort([rl, *right[::-1], bucket])
     lcp = _common(right, rl, order)
-    p, d, ids, ll, rl, bucket = p[order], d[order], ids[order], ll[order], rl[order], bucket[order]
+    p, ids, ll, rl, bucket = p[order], ids[order], ll[order], rl[order], bucket[order]
     cut = np.flatnonzero(np.diff(bucket)) + 1
     lcp[cut] = 0
     cuts = np.concatenate(([0], cut, [len(p)]))
     fresh, back = take_ranges(text.data, p + lcp, rl - lcp), take_ranges(text.data, p - ll, ll)
     fe, be = np.concatenate(([0], np.cumsum(rl - lcp))), np.concatenate(([0], np.cumsum(ll)))
-    pos = p - text.offs[d]
     names, blobs = [], []
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         names.append(int(bucket[a]))
-        blobs.append(X.pack_blob([ids[a:b], d[a:b].astype(np.uint32), pos[a:b].astype(np.uint32),
-                                  lcp[a:b].astype(np.uint8), rl[a:b].astype(np.uint8), ll[a:b].astype(np.uint8),
-                                  fresh[fe[a]:fe[b]], back[be[a]:be[b]]]))
+        blobs.append(X.pack_blob([ids[a:b], p[a:b].astype(np.uint32), lcp[a:b].astype(np.uint8), rl[a:b].astype(np.uint8),
+                                  ll[a:b].astype(np.uint8), fresh[fe[a]:fe[b]], back[be[a]:be[b]]]))
     return names, blobs, done
 
 
@@ -254,8 +253,8 @@ def _settle(blobs: list[bytes], span: int):
     none = np.zeros(0, np.int64)
     parts = [X.open_blob(z, _PIECE) for z in blobs]
     src = np.repeat(np.arange(len(parts)), [len(q[0]) for q in parts])
-    ids, doc, pos, lcp, rl, ll = (np.concatenate([q[j] for q in parts]).astype(np.int64) for j in range(6))
-    fresh, back = (np.concatenate([q[j] for q in parts]) for j in (6, 7))
+    ids, pos, lcp, rl, ll = (np.concatenate([q[j] for q in parts]).astype(np.int64) for j in range(5))
+    fresh, back = (np.concatenate([q[j] for q in parts]) for j in (5, 6))
     right, left = _unfold(lcp, rl, ll, fresh, back, span)
     rw, lw = _be_words(right), _be_words(left)
     # a shared string holds `reach` bytes left of the anchor and its gram, or span - reach from the anchor on
@@ -265,20 +264,20 @@ def _settle(blobs: list[bytes], span: int):
     near |= _shared(_fold(_masked(lw, lead) + rw[:1], lead, 4), ids, ll >= reach)
     keep = np.flatnonzero(near)
     if len(keep) < 2:
-        return none, none, none, none
+        return none, none, none
     # the prefix shared with the kept predecessor: the least over the skipped stretch
     lcp = np.minimum.reduceat(lcp[:keep[-1] + 1], np.concatenate(([0], keep[:-1] + 1)))
-    return _classes(src[keep], ids[keep], doc[keep], pos[keep], lcp, rl[keep], ll[keep],
+    return _classes(src[keep], ids[keep], pos[keep], lcp, rl[keep], ll[keep],
                     [w[keep] for w in rw], [w[keep] for w in lw], span)
 
 
-def _classes(src, ids, doc, pos, lcp, rl, ll, rw, lw, span):
+def _classes(src, ids, pos, lcp, rl, ll, rw, lw, span):
     cut = np.flatnonzero(np.diff(src)) + 1
     lcp[np.concatenate(([0], cut)).astype(np.int64)] = 0
     begin, end = [0, *cut.tolist()], [*cut.tolist(), len(src)]
     order, common = merge_runs([w.tolist() for w in rw], rl.tolist(), lcp.tolist(), begin, end)
     order, common = np.array(order), np.array(common)
-    src, ids, doc, pos, rl, ll = src[order], ids[order], doc[order], pos[order], rl[order], ll[order]
+    src, ids, pos, rl, ll = src[order], ids[order], pos[order], rl[order], ll[order]
     lw = [w[order] for w in lw]
     lorder = np.lexsort([ll, *lw[::-1]])
     lcommon = _common(lw, ll, lorder)
@@ -300,11 +299,11 @@ def _classes(src, ids, doc, pos, lcp, rl, ll, rw, lw, span):
         far[hit] = back                                              # back only grows
         near[hit] = np.minimum(near[hit], back)
     hit = np.flatnonzero(far >= 0)
-    return src[hit], doc[hit], pos[hit] - far[hit], pos[hit] - near[hit] + span
+    return src[hit], pos[hit] - far[hit], pos[hit] - near[hit] + span
 
 
-def _finish(text: X.GroupText, doc, start, end) -> pa.Table:
-    gone = covered(len(text.data), text.offs[doc] + start, text.offs[doc] + end)
+def _finish(text: X.GroupText, start, end) -> pa.Table:
+    gone = covered(len(text.data), start, end)
     a, _ = runs_of(gone, text.offs)
     total = np.concatenate(([0], np.cumsum(gone)))
     removed = total[text.offs[1:]] - total[text.offs[:-1]]

@@ -23,7 +23,7 @@ from corpusmill.llm import exchange as X
 from corpusmill.llm.bytesets import covered, mix, range_hash, runs_of, sliding_min, take_ranges, word_bounds
 
 _BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-_PIECE = [np.int64, np.uint32, np.uint32, np.uint32, np.uint8]
+_PIECE = [np.int64, np.uint32, np.uint32, np.uint8]      # document id, first word in the group, bytes, text
 OUT = "doc_id long, n_words long, n_removed long, kept string"
 
 
@@ -51,7 +51,7 @@ def _scatter(text: X.GroupText, buckets: int, k: int, m: int):
     starts, ends, first = word_bounds(text.data, text.offs)
     n = len(starts)
     if n < k:
-        return [], [], (none, none, none)
+        return [], [], (none, none)
     hashes = [_word_hashes(text.data, starts, ends, b) for b in _BASES]
     gram = hashes[0][:n - m + 1].copy()
     for j in range(1, m):
@@ -63,7 +63,7 @@ def _scatter(text: X.GroupText, buckets: int, k: int, m: int):
     new[1:] &= ~ok[:-1] | (least[1:] != least[:-1]) | (doc[1:] != doc[:-1])
     s0 = np.flatnonzero(new)
     if len(s0) == 0:
-        return [], [], (none, none, none)
+        return [], [], (none, none)
     stop = ok.copy()
     stop[:-1] &= ~ok[1:] | new[1:]
     w1 = np.flatnonzero(stop) + k                                   # last word + 1
@@ -72,20 +72,19 @@ def _scatter(text: X.GroupText, buckets: int, k: int, m: int):
     low = _smallest([range_hash(h, s0, w1, b) for h, b in zip(hashes, _BASES)], ids)
     travel = ids == low
     done = X.settled_runs(n, first, s0[~travel], w1[~travel])
-    s0, w1, d, ids = s0[travel], w1[travel], d[travel], ids[travel]
+    s0, w1, ids = s0[travel], w1[travel], ids[travel]
     bucket = (mix(least[s0] + np.uint64(7)) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
-    s0, w1, d, ids, bucket = s0[order], w1[order], d[order], ids[order], bucket[order]
+    s0, w1, ids, bucket = s0[order], w1[order], ids[order], bucket[order]
     size = ends[w1 - 1] - starts[s0]
     raw = take_ranges(text.data, starts[s0], size)
     edge = np.concatenate(([0], np.cumsum(size)))
     cuts = np.concatenate(([0], np.flatnonzero(np.diff(bucket)) + 1, [len(bucket)]))
-    pos = s0 - first[d]
     names, blobs = [], []
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         names.append(int(bucket[a]))
-        blobs.append(X.pack_blob([ids[a:b], d[a:b].astype(np.uint32), pos[a:b].astype(np.uint32),
-                                  size[a:b].astype(np.uint32), raw[edge[a]:edge[b]]]))
+        blobs.append(X.pack_blob([ids[a:b], s0[a:b].astype(np.uint32), size[a:b].astype(np.uint32),
+                                  raw[edge[a]:edge[b]]]))
     return names, blobs, done
 
 
@@ -115,8 +114,7 @@ def _exact_groups(ids: np.ndarray, at: np.ndarray, k: int) -> tuple[np.ndarray,
 def _settle(blobs: list[bytes], k: int):
     parts = [X.open_blob(z, _PIECE) for z in blobs]
     src = np.repeat(np.arange(len(parts)), [len(p[0]) for p in parts])
-    doc_id, doc, pos, size = (np.concatenate([p[j] for p in parts]) for j in range(4))
-    data = np.concatenate([p[4] for p in parts])
+    doc_id, pos, size, data = (np.concatenate([p[j] for p in parts]) for j in range(4))
     offs = np.concatenate(([0], np.cumsum(size.astype(np.int64))))
     starts, ends, first = word_bounds(data, offs)
     length = ends - starts
@@ -138,25 +136,19 @@ def _settle(blobs: list[bytes], k: int):
     a, b = runs_of(hit, np.concatenate(([0], np.cumsum(nwin))))
     p = piece[a] if len(a) else np.zeros(0, np.int64)
     begin = pos[p].astype(np.int64) + rel[a]
-    return src[p], doc[p].astype(np.int64), begin, begin + (b - a) + k - 1
-
-
-def _finish(text: X.GroupText, doc, start, end) -> pa.Table:
-    n_words, n_removed, kept = [], [], []
-    order = np.argsort(doc, kind="stable")
-    doc, start, end = doc[order], start[order], end[order]
-    cut = np.searchsorted(doc, np.arange(len(text.texts) + 1))
-    for i, raw in enumerate(text.texts):
-        words = raw.split()                                         # bytes.split: exactly the ASCII white space
-        a, b = cut[i], cut[i + 1]
-        n_words.append(len(words))
-        if a < b:
-            gone = covered(len(words), start[a:b], end[a:b])
-            words = [words[j] for j in np.flatnonzero(~gone)]
-        n_removed.append(n_words[-1] - len(words))
-        kept.append(b" ".join(words))
-    return pa.table({"doc_id": pa.array(text.ids, pa.int64()), "n_words": pa.array(n_words, pa.int64()),
-                     "n_removed": pa.array(n_removed, pa.int64()),
+    return src[p], begin, begin + (b - a) + k - 1
+
+
+def _finish(text: X.GroupText, start, end) -> pa.Table:
+    words = [raw.split() for raw in text.texts]                     # bytes.split: exactly the ASCII white space
+    first = np.concatenate(([0], np.cumsum([len(w) for w in words]))).astype(np.int64)
+    gone = covered(int(first[-1]), start, end)
+    total = np.concatenate(([0], np.cumsum(gone)))
+    removed = total[first[1:]] - total[first[:-1]]
+    kept = [b" ".join(w if r == 0 else [w[j] for j in np.flatnonzero(~gone[a:b])])
+            for w, r, a, b in zip(words, removed, first[:-1], first[1:])]
+    return pa.table({"doc_id": pa.array(text.ids, pa.int64()), "n_words": pa.array(np.diff(first), pa.int64()),
+                     "n_removed": pa.array(removed, pa.int64()),
                      "kept": pa.array(kept, pa.binary()).cast(pa.string())})
 
 
