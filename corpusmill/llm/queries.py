@@ -7,6 +7,48 @@ from pyspark.sql import functions as F
 from corpusmill.session import read_table
 
 
+#: Documents whose crc32(doc_id) mod 4 is this are held out: no label of theirs is learnt from.
+HELD_OUT = 2
+
+
+def held_out(id_col="doc_id"):
+    return F.coalesce(F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(4)) == HELD_OUT, F.lit(False))
+
+
+def quality_model(spark, docs, sf_dir):
+    from corpusmill.llm.quality import fit
+
+    labels = read_table(spark, sf_dir, "labels").where(~held_out())
+    return fit(docs, labels)
+
+
+def op3_quality(spark, sf_dir):
+    from corpusmill.llm.quality import score
+
+    docs = read_table(spark, sf_dir, "documents")
+    out = score(docs.select("doc_id", "text"), quality_model(spark, docs, sf_dir))
+    return out.select("doc_id", held_out().alias("held_out"), "score",
+                      F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted"))
+
+
+def op4_simhash(spark, sf_dir):
+    from corpusmill.llm.simhash import near_groups
+
+    return near_groups(read_table(spark, sf_dir, "documents"), k=3, distance=2)
+
+
+def vocabulary():
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op5_packing(spark, sf_dir):
+    from corpusmill.llm.packing import pack
+
+    return pack(read_table(spark, sf_dir, "documents"), vocabulary=vocabulary(), capacity=4096, end_id=2)
+
+
 def op6_superkmers(spark, sf_dir):
     from corpusmill.llm.superkmers import dedup_windows
 
@@ -22,7 +64,8 @@ def op9_suffixes(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {"op6_superkmers": op6_superkmers, "op9_suffixes": op9_suffixes}
+    return {"op3_quality": op3_quality, "op4_simhash": op4_simhash, "op5_packing": op5_packing,
+            "op6_superkmers": op6_superkmers, "op9_suffixes": op9_suffixes}
 
 
 def oracle_sql() -> dict[str, str]:
