@@ -63,9 +63,16 @@ def op9_suffixes(spark, sf_dir):
     return out.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op10_mixing(spark, sf_dir):
+    from corpusmill.llm.mixing import mix_sources, taken
+
+    return taken(*mix_sources(read_table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, repeats=2))
+
+
 def queries() -> dict:
     return {"op3_quality": op3_quality, "op4_simhash": op4_simhash, "op5_packing": op5_packing,
-            "op6_superkmers": op6_superkmers, "op9_suffixes": op9_suffixes}
+            "op6_superkmers": op6_superkmers, "op9_suffixes": op9_suffixes,
+            "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
