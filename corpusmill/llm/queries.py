@@ -56,6 +56,14 @@ def op6_superkmers(spark, sf_dir):
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op7_piecewise(spark, sf_dir):
+    from corpusmill.llm.piecewise import compare_with_next
+
+    out = compare_with_next(read_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "fingerprint",
+                      "edited_fingerprint", "near_edited", "near_next")
+
+
 def op9_suffixes(spark, sf_dir):
     from corpusmill.llm.suffixes import dedup_substrings
 
@@ -71,7 +79,7 @@ def op10_mixing(spark, sf_dir):
 
 def queries() -> dict:
     return {"op3_quality": op3_quality, "op4_simhash": op4_simhash, "op5_packing": op5_packing,
-            "op6_superkmers": op6_superkmers, "op9_suffixes": op9_suffixes,
+            "op6_superkmers": op6_superkmers, "op7_piecewise": op7_piecewise, "op9_suffixes": op9_suffixes,
             "op10_mixing": op10_mixing}
 
 
