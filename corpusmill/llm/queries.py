@@ -64,6 +64,12 @@ def op7_piecewise(spark, sf_dir):
                       "edited_fingerprint", "near_edited", "near_next")
 
 
+def op8_topk(spark, sf_dir):
+    from corpusmill.llm.topk import top_k
+
+    return top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20, scale=64)
+
+
 def op9_suffixes(spark, sf_dir):
     from corpusmill.llm.suffixes import dedup_substrings
 
@@ -79,9 +85,11 @@ def op10_mixing(spark, sf_dir):
 
 def queries() -> dict:
     return {"op3_quality": op3_quality, "op4_simhash": op4_simhash, "op5_packing": op5_packing,
-            "op6_superkmers": op6_superkmers, "op7_piecewise": op7_piecewise, "op9_suffixes": op9_suffixes,
+            "op6_superkmers": op6_superkmers, "op7_piecewise": op7_piecewise, "op8_topk": op8_topk, "op9_suffixes": op9_suffixes,
             "op10_mixing": op10_mixing}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from corpusmill.llm import oracle
+
+    return oracle.SQL
