@@ -7,6 +7,12 @@ from pyspark.sql import functions as F
 from corpusmill.session import read_table
 
 
+def op1_html(spark, sf_dir):
+    from corpusmill.llm.htmltext import main_texts
+
+    return main_texts(read_table(spark, sf_dir, "pages"))
+
+
 #: Documents whose crc32(doc_id) mod 4 is this are held out: no label of theirs is learnt from.
 HELD_OUT = 2
 
@@ -84,7 +90,7 @@ def op10_mixing(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {"op3_quality": op3_quality, "op4_simhash": op4_simhash, "op5_packing": op5_packing,
+    return {"op1_html": op1_html, "op3_quality": op3_quality, "op4_simhash": op4_simhash, "op5_packing": op5_packing,
             "op6_superkmers": op6_superkmers, "op7_piecewise": op7_piecewise, "op8_topk": op8_topk, "op9_suffixes": op9_suffixes,
             "op10_mixing": op10_mixing}
 
