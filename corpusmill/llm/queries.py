@@ -13,6 +13,13 @@ def op1_html(spark, sf_dir):
     return main_texts(read_table(spark, sf_dir, "pages"))
 
 
+def op2_lines(spark, sf_dir):
+    from corpusmill.llm.linededup import dedup_lines
+
+    out = dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "text", "n_lines", "n_removed")
+
+
 #: Documents whose crc32(doc_id) mod 4 is this are held out: no label of theirs is learnt from.
 HELD_OUT = 2
 
@@ -90,7 +97,7 @@ def op10_mixing(spark, sf_dir):
 
 
 def queries() -> dict:
-    return {"op1_html": op1_html, "op3_quality": op3_quality, "op4_simhash": op4_simhash, "op5_packing": op5_packing,
+    return {"op1_html": op1_html, "op2_lines": op2_lines, "op3_quality": op3_quality, "op4_simhash": op4_simhash, "op5_packing": op5_packing,
             "op6_superkmers": op6_superkmers, "op7_piecewise": op7_piecewise, "op8_topk": op8_topk, "op9_suffixes": op9_suffixes,
             "op10_mixing": op10_mixing}
 
