@@ -112,6 +112,10 @@ def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def _tie(id_col, text_col):
+    return F.xxhash64(F.col(id_col).cast("long"), F.col(text_col).cast("string"), F.lit(1))
+
+
 def with_sizes(docs: DataFrame, *, id_col: str, text_col: str, source_col: str) -> DataFrame:
     """``doc_id, source, size, tie``: words ``[^\\x20\\x09-\\x0D]+`` of each text, counted on its bytes."""
 
@@ -125,7 +129,7 @@ def with_sizes(docs: DataFrame, *, id_col: str, text_col: str, source_col: str)
 
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"),
                        F.col(text_col).cast("string").alias("text"))
-    return rows.select("*", F.xxhash64("doc_id", "text", F.lit(1)).alias("tie")).mapInArrow(
+    return rows.select("*", _tie("doc_id", "text").alias("tie")).mapInArrow(
         run, "doc_id long, source string, size long, tie long")
 
 
@@ -156,7 +160,7 @@ def positions(sized: DataFrame, sources: list[dict], seed: int) -> DataFrame:
     inside = F.sum("size").over(W.partitionBy("number", "bucket").orderBy("order", "doc_id", "tie").rowsBetween(
         W.unboundedPreceding, -1))
     return keyed.withColumn("_inside", inside).join(before, ["number", "bucket"]).select(
-        "doc_id", "source", "size", "number",
+        "doc_id", "tie", "source", "size", "number",
         (F.coalesce("_before", F.lit(0)) + F.coalesce("_inside", F.lit(0))).alias("start"))
 
 
@@ -187,7 +191,7 @@ def draw(placed: DataFrame, sources: list[dict], *, block_words: int, shard_word
         for batch in batches:
             for at in range(0, batch.num_rows, 2000):
                 part = batch.slice(at, 2000)
-                doc, src, size, num, start = (part.column(c) for c in range(5))
+                doc, src, size, num, start, tie = (part.column(c) for c in range(6))
                 size, num, start = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in (size, num, start))
                 live = np.flatnonzero((size > 0) & (quotas[num] > 0))
                 w = width[num]
@@ -204,16 +208,17 @@ def draw(placed: DataFrame, sources: list[dict], *, block_words: int, shard_word
                     yield pa.RecordBatch.from_arrays(
                         [doc.take(pa.array(r)), src.take(pa.array(r)), pa.array(num[r]), pa.array(rank[use]),
                          pa.array(rank[use] // bin_), pa.array(np.full(len(use), copy, np.int32)),
-                         pa.array(start[r]), pa.array(a[use] - start[r]), pa.array(b[use] - a[use])],
-                        names=["doc_id", "source", "number", "rank", "bin", "copy", "doc_start", "start", "n_words"])
+                         pa.array(start[r]), pa.array(a[use] - start[r]), pa.array(b[use] - a[use]),
+                         tie.take(pa.array(r))],
+                        names=["doc_id", "source", "number", "rank", "bin", "copy", "doc_start", "start", "n_words", "tie"])
 
     tree = spark.range(shards).mapInArrow(expand, "shard long, number long, lo long, hi long, bin long")
-    spans = placed.select("doc_id", "source", "size", F.col("number").cast("long"), "start").mapInArrow(
+    spans = placed.select("doc_id", "source", "size", F.col("number").cast("long"), "start", "tie").mapInArrow(
         cut, "doc_id long, source string, number long, rank long, bin long, copy int, doc_start long, start long, "
-             "n_words long")
+             "n_words long, tie long")
     drawn = spans.join(tree, ["number", "bin"]).where("rank >= lo and rank < hi")
     return drawn.select("shard", F.xxhash64("shard", "number", "rank", F.lit(seed)).alias("place"), "source",
-                        "number", "doc_start", "doc_id", "copy", "start", "n_words")
+                        "number", "doc_start", "doc_id", "tie", "copy", "start", "n_words")
 
 
 def _ramp(counts: np.ndarray) -> np.ndarray:
@@ -254,3 +259,50 @@ def taken(documents: DataFrame, draws: DataFrame) -> DataFrame:
     return documents.join(sums, ["number", "start"], "left").select(
         "doc_id", "size", "source_size", "target",
         F.when(F.col("size") > 0, F.coalesce("_taken", F.lit(0))).otherwise(F.lit(0)).cast("long").alias("taken"))
+
+
+def mixed_documents(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
+                    **options) -> DataFrame:
+    """The mix as documents: one row per drawn document and copy, with the columns of ``docs``.
+
+    A copy drawn whole keeps its text; otherwise its stretches, each as it stands in the
+    text, are joined by line breaks in their order. Rows that repeat id and text count
+    as one document here (sources still weigh every row).
+    """
+    unique = docs.withColumn("_tie", _tie(id_col, text_col)).repartition(id_col, "_tie").dropDuplicates([id_col, "_tie"])
+    _, draws = mix_sources(unique.drop("_tie"), id_col=id_col, text_col=text_col, source_col=source_col, **options)
+    spans = draws.groupBy("doc_id", "tie").agg(
+        F.sort_array(F.collect_list(F.struct("copy", "start", "n_words"))).alias("_spans"))   # a document's own blocks
+    rows = unique.join(spans, (F.col("_tie") == F.col("tie")) & unique[id_col].cast("long").eqNullSafe(spans["doc_id"]))
+    rows = rows.select(*[unique[c] for c in docs.columns], "_spans")
+    at = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 200):
+                part = batch.slice(lo, 200)
+                data, offs = column_bytes(part.column(at))
+                starts, ends, first = word_bounds(data, offs)
+                row, texts = [], []
+                for i, spans in enumerate(part.column(part.num_columns - 1).to_pylist()):
+                    a, z = int(first[i]), int(first[i + 1])
+                    copies: dict[int, list[list[int]]] = {}
+                    for s in spans:
+                        own = copies.setdefault(s["copy"], [])
+                        if own and own[-1][1] == s["start"]:
+                            own[-1][1] += s["n_words"]
+                        else:
+                            own.append([s["start"], s["start"] + s["n_words"]])
+                    for own in copies.values():
+                        row.append(i)
+                        if own == [[0, z - a]]:
+                            texts.append(data[offs[i]:offs[i + 1]].tobytes())
+                        else:
+                            texts.append(b"\n".join(data[starts[a + x]:ends[a + y - 1]].tobytes() for x, y in own))
+                out = part.take(pa.array(row, pa.int64()))
+                cols = [pa.array(texts, pa.binary()).cast(pa.string()) if c == at else out.column(c)
+                        for c in range(part.num_columns - 1)]
+                yield pa.RecordBatch.from_arrays(cols, names=part.schema.names[:-1])
+
+    schema = docs.select(*[F.col(c).cast("string") if c == text_col else F.col(c) for c in docs.columns]).toDF(*docs.columns).schema
+    return rows.mapInArrow(run, schema)
