@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import heapq
 import math
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -28,27 +29,73 @@ PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 OUT = PIECE + ", sequence_id long, offset long"
 
 
-def _token_ids(tokenizer, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Ids of all texts and their offsets; each distinct word is encoded once.
+class WordEncoder:
+    """Ids of whole texts from a tokenizer that drops white space and never joins over it.
 
-    The tokenizer drops white space and never joins over it, so a text's ids are
-    those of its words one after the other.
+    A text's ids are then those of its words one after the other, so each distinct word
+    is encoded once while it is remembered. New words go to the tokenizer many at a
+    time, parted by a character of a single id that none of them has.
     """
-    starts, ends, first = word_bounds(data, offs)
-    length = ends - starts
-    words = pa.Array.from_buffers(
-        pa.large_binary(), len(starts),
-        [None, pa.py_buffer(np.concatenate(([0], np.cumsum(length))).astype(np.int64)),
-         pa.py_buffer(take_ranges(data, starts, length))]).dictionary_encode()
-    kinds = [w.decode("utf-8", "replace") for w in words.dictionary.to_pylist()]
-    coded = [e.ids for e in tokenizer.encode_batch(kinds, add_special_tokens=False)] if kinds else []
-    sizes = np.array([len(c) for c in coded], np.int64)
-    flat = np.fromiter((i for c in coded for i in c), np.uint32, int(sizes.sum()))
-    at = np.concatenate(([0], np.cumsum(sizes)))
-    which = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    ids = take_ranges(flat, at[which], sizes[which])
-    edge = np.concatenate(([0], np.cumsum(sizes[which])))
-    return ids, edge[first]
+
+    _REMEMBERED = 300_000
+    _TOGETHER = 4096
+
+    def __init__(self, vocabulary: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"               # Spark already runs a task per core
+        from tokenizers import Tokenizer
+
+        self._tokenizer = Tokenizer.from_file(vocabulary)
+        self._known: dict[bytes, np.ndarray] = {}
+        self._mark, self._mark_id = "", -1
+        for mark in "\u00a7\u00a3\u20ac\u00a9\u00b6":
+            ids = self._ids([mark])[0]
+            if len(ids) == 1:
+                self._mark, self._mark_id = mark, int(ids[0])
+                break
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _learn(self, words: list[bytes]) -> None:
+        plain, other = [], []
+        for w in words:
+            t = w.decode("utf-8", "replace")
+            (other if not self._mark or self._mark in t else plain).append((w, t))
+        for lo in range(0, len(plain), self._TOGETHER):
+            part = plain[lo:lo + self._TOGETHER]
+            ids = self._ids([f" {self._mark} ".join(t for _, t in part)])[0]
+            cut = np.flatnonzero(ids == self._mark_id)
+            if len(cut) != len(part) - 1:
+                other += part
+                continue
+            for (w, _), own in zip(part, np.split(ids, cut)):
+                self._known[w] = own                                 # all but the first begin with the mark
+            for w, _ in part[1:]:
+                self._known[w] = self._known[w][1:]
+        for lo in range(0, len(other), self._TOGETHER):
+            part = other[lo:lo + self._TOGETHER]
+            self._known.update(zip((w for w, _ in part), self._ids([t for _, t in part])))
+
+    def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, concatenated, and each text's offset in them."""
+        starts, ends, first = word_bounds(data, offs)
+        length = ends - starts
+        words = pa.Array.from_buffers(
+            pa.large_binary(), len(starts),
+            [None, pa.py_buffer(np.concatenate(([0], np.cumsum(length))).astype(np.int64)),
+             pa.py_buffer(take_ranges(data, starts, length))]).dictionary_encode()
+        kinds = words.dictionary.to_pylist()
+        if len(self._known) > self._REMEMBERED:
+            self._known.clear()
+        self._learn([w for w in kinds if w not in self._known])
+        coded = [self._known[w] for w in kinds]
+        sizes = np.array([len(c) for c in coded], np.int64)
+        flat = np.concatenate(coded) if coded else np.zeros(0, np.uint32)
+        at = np.concatenate(([0], np.cumsum(sizes)))
+        which = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = take_ranges(flat, at[which], sizes[which])
+        edge = np.concatenate(([0], np.cumsum(sizes[which])))
+        return ids, edge[first]
 
 
 def piece_lengths(n: int, capacity: int) -> list[int]:
@@ -67,17 +114,15 @@ def pieces(docs: DataFrame, *, vocabulary: str, capacity: int = 4096, end_id: in
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from tokenizers import Tokenizer
-
-        tokenizer = Tokenizer.from_file(vocabulary)
+        encoder = WordEncoder(vocabulary)
         for batch in batches:
             done = 0
             sizes = np.diff(column_bytes(batch.column(1))[1])
-            while done < batch.num_rows:                             # about 4 MB of text at a time
-                take = int(np.searchsorted(np.cumsum(sizes[done:]), 4 << 20)) + 1
+            while done < batch.num_rows:                             # about 2 MB of text at a time
+                take = int(np.searchsorted(np.cumsum(sizes[done:]), 2 << 20)) + 1
                 part = batch.slice(done, take)
                 done += part.num_rows
-                ids, edge = _token_ids(tokenizer, *column_bytes(part.column(1)))
+                ids, edge = encoder.encode(*column_bytes(part.column(1)))
                 rows = []
                 for doc, a, b in zip(part.column(0).to_pylist(), edge[:-1].tolist(), edge[1:].tolist()):
                     own = np.append(ids[a:b], np.uint32(end_id)).astype("<u4")
