@@ -162,7 +162,7 @@ def dedup_lines(docs: DataFrame, *, min_words: int = 10, id_col: str = "doc_id",
     cols = [new if c == text_col else F.col("cell").getField(c).alias(c) for c in docs.columns
             if not counts or c not in ("n_lines", "n_removed")]
     if counts:
-        n_lines = F.coalesce(F.size("lines"), F.lit(0)).cast("long")
-        n_lines = F.when(F.col("lines").isNull(), F.lit(0)).otherwise(n_lines)
-        cols += [n_lines.cast("long").alias("n_lines"), (n_lines - F.size("left")).cast("long").alias("n_removed")]
+        some = F.col("lines").isNotNull()
+        cols += [F.when(some, F.size("lines")).otherwise(0).cast("long").alias("n_lines"),
+                 F.when(some, F.size("lines") - F.size("left")).otherwise(0).cast("long").alias("n_removed")]
     return out.select(*cols)

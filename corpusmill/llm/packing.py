@@ -29,10 +29,14 @@ PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 OUT = PIECE + ", sequence_id long, offset long"
 
 
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[ord("A"):ord("Z") + 1] += 32
+
+
 class WordEncoder:
     """Ids of whole texts from a tokenizer that drops white space and never joins over it.
 
-    A text's ids are then those of its words one after the other, so each distinct word
+    The tokenizer lower-cases, too. A text's ids are then those of its words in turn, so each distinct word
     is encoded once while it is remembered. New words go to the tokenizer many at a
     time, parted by a character of a single id that none of them has.
     """
@@ -79,6 +83,8 @@ class WordEncoder:
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, concatenated, and each text's offset in them."""
         starts, ends, first = word_bounds(data, offs)
+        if b"<|" not in data.tobytes():                              # no special token, whose case would matter
+            data = _LOWER[data]                                      # the tokenizer lower-cases: fewer words
         length = ends - starts
         words = pa.Array.from_buffers(
             pa.large_binary(), len(starts),

@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from corpusmill.session import cut_lineage
+
 
 @dataclass(frozen=True)
 class FitLimits:
@@ -121,16 +123,17 @@ def fit(docs: DataFrame, labels: DataFrame, *, limits: FitLimits = FitLimits(),
     named = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).where(
         "y in (0, 1)").distinct()
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where(
-        "text is not null and text <> ''")
-    rows, totals = [], []
-    for y in (0, 1):
-        # the labels side is ids only; texts are cut to the sample bound before they are ordered
-        own = text.join(named.where(F.col("y") == y).select("id"), "id").select(
-            F.xxhash64("text").alias("h"), "id",
-            F.expr(f"substring(cast(text as binary), 1, {limits.sample_bytes})").alias("t"))
-        totals.append(own.count())
-        rows += [(bytes(r["t"]), y) for r in own.orderBy("h", "id").limit(limits.rows_per_class).collect()]
-    return fit_sample(rows, (totals[0], totals[1]), limits)
+        "text is not null and text <> ''").withColumn("h", F.xxhash64("text"))
+    # who is in the sample is settled on ids and hashes; only the texts of the sample are read for it
+    labelled = cut_lineage(text.select("id", "h").join(named, "id"))
+    totals = {r["y"]: r["count"] for r in labelled.groupBy("y").count().collect()}
+    chosen = [r for y in (0, 1) for r in
+              labelled.where(F.col("y") == y).orderBy("h", "id").limit(limits.rows_per_class).collect()]
+    sample = docs.sparkSession.createDataFrame([(r["id"], r["h"], r["y"]) for r in chosen], "id long, h long, y int")
+    rows = text.join(F.broadcast(sample), ["id", "h"]).select(
+        "h", "id", "y", F.expr(f"substring(cast(text as binary), 1, {limits.sample_bytes})").alias("t")).collect()
+    rows = sorted((r["y"], r["h"], r["id"], bytes(r["t"])) for r in rows)
+    return fit_sample([(t, y) for y, _, _, t in rows], (totals.get(0, 0), totals.get(1, 0)), limits)
 
 
 def fit_sample(rows: list[tuple[bytes, int]], totals: tuple[int, int], limits: FitLimits) -> QualityModel:
