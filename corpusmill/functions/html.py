@@ -2,12 +2,16 @@
 
 Leaf form of the block extractor: comments and script/style/template bodies
 are cut, block start tags become U+0001 (tag name, U+0003), block end tags
-U+0002, other tags vanish, entities are decoded, then the string is split.
+U+0002, other tags vanish, then the string is split and references are decoded.
+Characters U+0001-U+0004 of the page itself are escaped first and put back in
+the pieces, so they never act as marks. Quoted attribute values may hold ">".
 A block ends at its end tag or at the next block start, so no text repeats.
 """
 
 from __future__ import annotations
 
+from html.entities import html5
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -18,18 +22,26 @@ BLOCK_TAGS = ("p", "h1", "h2", "h3", "h4", "h5", "h6")
 BOILERPLATE = ("Sorry, Internet Explorer is not supported",)
 RAW_TEXT = (r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
             r"|<template\b.*?</template\s*>")
-BLOCK_OPEN = r"(?i)<(p|h[1-6])(?:\s[^>]*)?>"
+# what follows a tag's name: values quoted after "=" may hold ">"; an unclosed quote ends at ">"
+_REST = r"""(?:(?:[^>=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+)*+>|[^>]*+>)"""
+BLOCK_OPEN = rf"(?i)<(p|h[1-6])(?:>|(?=\s){_REST})"
 BLOCK_CLOSE = r"(?i)</(?:p|h[1-6])\s*>"
-ANY_TAG = r"<[/!?]?[A-Za-z][^>]*>"
-HREF = r"""(?is)<a\s[^>]*?href\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)"""
-# Named and numeric references decoded by the leaf form; &amp; goes last so
-# that text is decoded once.
+ANY_TAG = rf"<[/!?]?[A-Za-z]{_REST}"
+# links: anchors inside templates count, and the attribute is the one named href
+RAW_LINKS = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>"
+HREF = (r"""(?is)<a(?:[\s/]++(?!href[\s=])[^\s"'>/=]++(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s"'>]++))?+)*+"""
+        r"""[\s/]++href\s*+=\s*+("[^"]*"|'[^']*'|[^\s"'>]+)""")
+# The usual references, decoded by plain replacement; &amp; goes last so that
+# text is decoded once. Texts with any other reference take the general way.
 ENTITIES = (
     ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&apos;", "'"),
     ("&nbsp;", "\u00a0"), ("&copy;", "©"), ("&middot;", "·"), ("&reg;", "®"),
     ("&ndash;", "–"), ("&mdash;", "—"), ("&hellip;", "…"), ("&amp;", "&"),
 )
-OPEN_MARK, CLOSE_MARK, NAME_MARK = "\u0001", "\u0002", "\u0003"
+OPEN_MARK, CLOSE_MARK, NAME_MARK, ESCAPE = "\u0001", "\u0002", "\u0003", "\u0004"
+_CONTROL = "[\u0001-\u0004]"
+_USUAL = "|".join(ref[1:] for ref, _ in ENTITIES)
+_REFERENCE = r"^(#[0-9]{1,7};|#[xX][0-9a-fA-F]{1,6};|[A-Za-z][A-Za-z0-9]*;)"
 
 
 def _col(c: Column | str) -> Column:
@@ -37,19 +49,63 @@ def _col(c: Column | str) -> Column:
 
 
 def decode_entities(c: Column | str) -> Column:
-    out = _col(c)
+    """Named and numeric character references, each decoded once."""
+    c = _col(c)
+    usual = c
     for ref, ch in ENTITIES:
-        out = F.replace(out, F.lit(ref), F.lit(ch))
-    return out
+        usual = F.replace(usual, F.lit(ref), F.lit(ch))
+    other = c.rlike(f"&(?!{_USUAL})(?:#[0-9xX]|[A-Za-z][A-Za-z0-9]*;)")
+    return F.when(other, _decode_any(c)).otherwise(usual)
+
+
+def _decode_any(c: Column) -> Column:
+    """Each "&" starts a piece; a known reference at its head becomes its character."""
+    names = F.from_json(F.lit(_names_json()), "map<string,string>")
+
+    def piece(p: Column) -> Column:
+        ref = F.regexp_extract(p, _REFERENCE, 1)
+        digits = F.regexp_extract(ref, r"^#[xX]?([0-9a-fA-F]+);$", 1)
+        hexed = F.when(ref.rlike("^#[xX]"), digits).otherwise(F.conv(digits, 10, 16))
+        code = F.conv(hexed, 16, 10).cast("long")
+        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        number = F.when(valid, F.decode(F.unhex(F.lpad(hexed, 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
+        char = F.when(ref.startswith("#"), number).otherwise(F.try_element_at(names, ref))
+        whole = F.concat(F.lit("&"), p)
+        return F.when((ref == "") | char.isNull(), whole).otherwise(
+            F.concat(char, F.substring(p, F.length(ref) + 1, F.length(p))))
+
+    pieces = F.split(c, "&", -1)
+    return F.concat(F.get(pieces, F.lit(0)), F.array_join(
+        F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(1))), piece), ""))
+
+
+def _names_json() -> str:
+    """Python's table of named references, those that end in a semicolon."""
+    import json
+
+    return json.dumps({k: v for k, v in html5.items() if k.endswith(";")})
+
+
+def _escape(c: Column) -> Column:
+    out = c
+    for ch, name in ((ESCAPE, "d"), (OPEN_MARK, "a"), (CLOSE_MARK, "b"), (NAME_MARK, "c")):
+        out = F.replace(out, F.lit(ch), F.lit(ESCAPE + name))
+    return F.when(c.rlike(_CONTROL), out).otherwise(c)
+
+
+def _unescape(c: Column) -> Column:
+    out = c
+    for ch, name in ((OPEN_MARK, "a"), (CLOSE_MARK, "b"), (NAME_MARK, "c"), (ESCAPE, "d")):
+        out = F.replace(out, F.lit(ESCAPE + name), F.lit(ch))
+    return F.when(c.contains(ESCAPE), out).otherwise(c)
 
 
 def marked_text(html: Column | str) -> Column:
-    """HTML reduced to text with block marks; entities decoded."""
-    h = F.regexp_replace(_col(html), RAW_TEXT, "")
+    """HTML reduced to text with block marks; references are still to be decoded."""
+    h = F.regexp_replace(_escape(_col(html)), RAW_TEXT, "")
     h = F.regexp_replace(h, BLOCK_OPEN, f"{OPEN_MARK}$1{NAME_MARK}")
     h = F.regexp_replace(h, BLOCK_CLOSE, CLOSE_MARK)
-    h = F.regexp_replace(h, ANY_TAG, "")
-    return decode_entities(h)
+    return F.regexp_replace(h, ANY_TAG, "")
 
 
 def leaf_blocks(marked: Column) -> Column:
@@ -61,8 +117,8 @@ def leaf_blocks(marked: Column) -> Column:
     body = F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(1)))
     return F.transform(body, lambda p: F.struct(
         F.lower(F.substring_index(p, NAME_MARK, 1)).alias("tag"),
-        F.substring_index(F.substring(p, F.instr(p, NAME_MARK) + 1, 1 << 30),
-                          CLOSE_MARK, 1).alias("raw")))
+        decode_entities(_unescape(F.substring_index(
+            F.substring(p, F.instr(p, NAME_MARK) + 1, F.length(p)), CLOSE_MARK, 1))).alias("raw")))
 
 
 def keep_block(raw: Column, phrases: tuple[str, ...] = BOILERPLATE) -> Column:
@@ -91,6 +147,6 @@ def hrefs(html: Column | str) -> Column:
     Double-quoted, single-quoted and bare values; empty values dropped. One
     regex pass captures the value with its quotes, which are then removed.
     """
-    cleaned = F.regexp_replace(_col(html), RAW_TEXT, "")
+    cleaned = F.regexp_replace(_col(html), RAW_LINKS, "")
     raw = F.regexp_extract_all(cleaned, F.lit(HREF), 1)
     return F.filter(F.transform(raw, lambda v: decode_entities(_unquote(v))), lambda v: v != "")

@@ -110,12 +110,12 @@ def crawl(seeds: DataFrame, pages: DataFrame, policy: UrlPolicy, mode: str = "re
 
 
 def _round_partitions(spark: SparkSession, sized: int) -> int:
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    """As many as the edge table was sized to, at least one per core; no upper bound."""
     try:
         cores = spark.sparkContext.defaultParallelism
     except Exception:  # Spark Connect
-        cores = cap
-    return max(1, min(cap, max(sized, cores)))
+        cores = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, sized, cores)
 
 
 class _Visited:

@@ -87,9 +87,8 @@ def rows_at_ranks(df: DataFrame, order_cols: Sequence[str],
                 wanted[r] = (pid, r - off)
     if not wanted:
         return [None] * len(ranks)
-    cond = F.lit(False)
-    for pid, pos in wanted.values():
-        cond = cond | ((F.col(_PID) == pid) & (_local_pos() == pos))
+    # monotonically_increasing_id names (partition, position): a set lookup at any number of ranks
+    cond = F.col(_MID).isin([(pid << 33) + pos for pid, pos in wanted.values()])
     found = {(r[_PID], r["_rx_pos"]): tuple(r[c] for c in order_cols)
              for r in tagged.where(cond).select(*order_cols, _PID,
                                                 _local_pos().alias("_rx_pos")).collect()}

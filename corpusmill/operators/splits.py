@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.operators.rowindex import rows_at_ranks
+from corpusmill.operators.rowindex import rows_at_ranks, with_row_index
 
 # The reference's split fractions.
 HOLDOUT_FRACTION = 0.2
@@ -114,7 +114,8 @@ def assign_batches(df: DataFrame, order_cols: list[str], num_batches: int,
     """Contiguous batches of ceil(n / k) rows in order (may give fewer than k).
 
     The k-1 boundary keys are found on the ordering columns alone; each row's
-    batch is the number of boundaries at or below its key.
+    batch is the number of boundaries at or below its key. Rows with equal keys are
+    numbered in their sorted order, so sizes hold with ties as well.
     """
     if num_batches < 1:
         raise ValueError("num_batches must be >= 1")
@@ -123,11 +124,16 @@ def assign_batches(df: DataFrame, order_cols: list[str], num_batches: int,
         size = math.ceil(n / num_batches) if n else 1
         return list(range(size, n, size))
 
+    if df.groupBy(*order_cols).count().where("count > 1").limit(1).count():
+        # equal keys can't be told apart by a boundary: number the rows themselves
+        total = "_batch_total"
+        indexed = with_row_index(df, order_cols, "_batch_row", total)
+        size = F.greatest(F.ceil(F.col(total) / F.lit(num_batches)), F.lit(1))
+        return indexed.withColumn(name, F.floor(F.col("_batch_row") / size).cast("bigint")).drop("_batch_row", total)
     bounds = [b for b in rows_at_ranks(df.select(*order_cols), order_cols, ranks) if b]
-    batch = F.lit(0)
-    key = F.struct(*[F.col(c) for c in order_cols])
-    for b in bounds:
-        lit_key = F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c)
-                             for c, v in zip(order_cols, b)])
-        batch = batch + F.when(key >= lit_key, 1).otherwise(0)
-    return df.withColumn(name, batch.cast("bigint"))
+    if not bounds:
+        return df.withColumn(name, F.lit(0).cast("bigint"))
+    key = F.struct(*[F.col(c).alias(c) for c in order_cols])
+    lits = F.array(*[F.struct(*[F.lit(v).cast(df.schema[c].dataType).alias(c) for c, v in zip(order_cols, b)])
+                     for b in bounds])
+    return df.withColumn(name, F.size(F.filter(lits, lambda b: b <= key)).cast("bigint"))

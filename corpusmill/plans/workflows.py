@@ -72,11 +72,14 @@ def prepare(records: DataFrame, cfg: PrepareConfig | None = None,
     """
     cfg = cfg or PrepareConfig()
     spark = records.sparkSession
+    if not generate and examples_path is None:
+        raise ValueError("generate=False needs examples_path: there are no examples to split")
+    work = chunk_work(records, cfg)
+    schema = generate_examples(work, cfg, None).schema   # a run that died early leaves no file to infer it from
     if generate:
-        work = chunk_work(records, cfg)
         done = None
         if examples_path is not None and _exists(spark, examples_path):
-            done = spark.read.parquet(examples_path).select(*qa.WORK_KEYS)
+            done = spark.read.schema(schema).parquet(examples_path).select(*qa.WORK_KEYS)
         new = generate_examples(work, cfg, done)
         if examples_path is not None:
             writer = new.write.mode("append")
@@ -84,7 +87,7 @@ def prepare(records: DataFrame, cfg: PrepareConfig | None = None,
                 writer = writer.option("maxRecordsPerFile", str(cfg.max_records_per_file))
             writer.parquet(examples_path)
     if examples_path is not None:
-        examples = spark.read.parquet(examples_path)
+        examples = spark.read.schema(schema).parquet(examples_path)
     else:
         examples = cut_lineage(generate_examples(chunk_work(records, cfg), cfg))
     result = split_examples(examples, cfg)

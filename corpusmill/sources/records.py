@@ -58,7 +58,13 @@ SPLITS = ("train", "test", "valid")
 def write_splits(df: DataFrame, out_dir: str, split_col: str = "split") -> None:
     """``train``/``test``/``valid`` folders of JSON lines, overwritten.
 
-    One pass: the split column becomes the folder partition.
+    One pass: the split column becomes the folder partition. A split without rows
+    gets a folder without rows, so readers find all three.
     """
-    (df.select("messages", F.col(split_col).alias("split"))
-       .write.mode("overwrite").partitionBy("split").json(out_dir))
+    rows = df.select("messages", F.col(split_col).alias("split"))
+    rows.write.mode("overwrite").partitionBy("split").json(out_dir)
+    there = {r["split"] for r in df.sparkSession.read.schema(rows.schema).json(out_dir).select("split").distinct().collect()}
+    for split in SPLITS:
+        if split not in there:
+            df.sparkSession.createDataFrame([], rows.drop("split").schema).write.mode("overwrite").json(
+                f"{out_dir.rstrip('/')}/split={split}")
