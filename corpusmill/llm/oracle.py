@@ -16,4 +16,55 @@ WITH v AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 20
 """
 
-SQL = {"op8_topk": OP8}
+_WORDS = "list_filter(regexp_split_to_array({}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '')"
+
+OP2 = f"""
+WITH lines AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS l
+  FROM documents WHERE text IS NOT NULL
+), cut AS (
+  SELECT doc_id, l, line, {_WORDS.format("line")} AS w FROM lines
+), firsts AS (
+  SELECT w, min((doc_id, l)) AS place, len(w) AS n FROM cut WHERE len(w) > 0 GROUP BY w
+), half AS (
+  SELECT place, w, n, unnest([array_to_string(w[1:n // 2], ' ') || '|p', array_to_string(w[n - n // 2 + 1:], ' ') || '|s',
+    array_to_string(w[1:(n + 1) // 2], ' ') || '|p', array_to_string(w[n - (n + 1) // 2 + 1:], ' ') || '|s']) AS k
+  FROM firsts WHERE n >= 10
+), pairs AS (
+  SELECT DISTINCT a.place, a.w AS v, b.w, a.n AS nv, b.n AS nw FROM half a JOIN half b ON a.k = b.k AND b.place < a.place AND abs(a.n - b.n) <= 1
+), run AS (
+  SELECT place, nv, nw,
+    coalesce(list_position(list_transform(range(1, least(nv, nw) + 1), lambda i: v[i] = w[i]), false) - 1, least(nv, nw)) AS p,
+    coalesce(list_position(list_transform(range(1, least(nv, nw) + 1), lambda i: v[nv + 1 - i] = w[nw + 1 - i]), false) - 1, least(nv, nw)) AS s
+  FROM pairs
+), near AS (
+  SELECT DISTINCT place FROM run WHERE p + s >= greatest(nv, nw) - 1
+), kept AS (
+  SELECT c.doc_id, c.l, c.line FROM cut c LEFT JOIN firsts f ON f.w = c.w
+  WHERE len(c.w) = 0 OR (f.place = (c.doc_id, c.l) AND f.place NOT IN (SELECT place FROM near))
+), joined AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY l) AS text, count(*) AS k FROM kept GROUP BY doc_id
+)
+SELECT d.doc_id, CASE WHEN d.text IS NOT NULL THEN coalesce(j.text, '') END AS text,
+  CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines,
+  CAST(coalesce(len(string_split(d.text, chr(10))), 0) - coalesce(j.k, 0) AS BIGINT) AS n_removed
+FROM documents d LEFT JOIN joined j ON j.doc_id = d.doc_id
+"""
+
+OP6 = f"""
+WITH d AS (
+  SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents
+), p AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 12], ' ') AS k FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM d)
+), m AS (
+  SELECT doc_id, i, min(doc_id) OVER (PARTITION BY k) AS f FROM p
+), c AS (
+  SELECT doc_id, list(DISTINCT j) AS gone FROM (SELECT doc_id, unnest(range(i, i + 13)) AS j FROM m WHERE f < doc_id) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+  sha256(coalesce(array_to_string(CASE WHEN gone IS NULL THEN w
+    ELSE list_filter(w, lambda x, i: NOT list_contains(gone, i)) END, ' '), '')) AS kept_sha256
+FROM d LEFT JOIN c ON c.doc_id = d.doc_id
+"""
+
+SQL = {"op2_lines": OP2, "op6_superkmers": OP6, "op8_topk": OP8}
