@@ -6,7 +6,7 @@ Tree rules (the working definition, stated by the goldens):
   opened after it; with no such element it is ignored; unclosed elements end
   with the document, so an unclosed paragraph contains the following ones;
 - void elements never open;
-- text inside script/style/template and comments is not text;
+- text inside script/style/template, ruby readings (rt, rp) and comments is not text;
 - a text run between two markup events that is only ASCII whitespace counts
   as one newline (if it has one) or one space, outside pre/textarea.
 A block's text is all text inside it, joined without separator.
@@ -14,6 +14,7 @@ A block's text is all text inside it, joined without separator.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from html.parser import HTMLParser
 
 # Fixed values.
@@ -22,7 +23,7 @@ VOID_TAGS = frozenset((
     "area", "base", "br", "col", "embed", "hr", "img", "input", "keygen", "link",
     "menuitem", "meta", "param", "source", "track", "wbr", "basefont", "bgsound",
     "command", "frame", "image", "isindex", "nextid", "spacer"))
-HIDDEN_TAGS = frozenset(("script", "style", "template"))
+HIDDEN_TAGS = frozenset(("script", "style", "template", "rt", "rp"))
 PRESERVE_TAGS = frozenset(("pre", "textarea"))
 ASCII_SPACES = " \n\t\f\r"
 
@@ -95,14 +96,23 @@ class _BlockReader(HTMLParser):
             self.size += len(data) - 6
 
 
-def read_blocks(html: str | None) -> list[tuple[str, str]]:
-    """(tag, raw text) of every block in document order."""
+def iter_blocks(html: str | None) -> Iterator[tuple[str, str]]:
+    """(tag, raw text) of every block in document order, one at a time.
+
+    Unclosed blocks hold all that follows, so their texts together can be far
+    longer than the page; the caller decides how many it holds.
+    """
     if html is None:
-        return []
+        return
     reader = _BlockReader()
     reader.feed(html)
     reader.close()
     reader._flush()
     text = "".join(reader.text)
-    return [(tag, text[start:(reader.size if end is None else end)])
-            for tag, start, end in reader.blocks]
+    for tag, start, end in reader.blocks:
+        yield tag, text[start:(reader.size if end is None else end)]
+
+
+def read_blocks(html: str | None) -> list[tuple[str, str]]:
+    """All blocks of a page."""
+    return list(iter_blocks(html))

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from corpusmill.functions import html as H
-from corpusmill.functions.html_tree import read_blocks
+from corpusmill.functions.html_tree import iter_blocks
 from corpusmill.functions.text import py_strip
 
 MODES = ("nested", "leaf")
+OUT_CHARS = 8 << 20     # a nested-mode task holds about this much output text
 BLOCK_SCHEMA = "url string, pos bigint, tag string, text string"
 
 
@@ -30,28 +31,38 @@ def _leaf_marked(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
                         H.marked_text(F.col(html_col)).alias("_m"))
 
 
-def _nested_blocks_batches(batches, phrases):
+def _nested_blocks_batches(batches, flush_chars=OUT_CHARS):
+    """Blocks leave in groups of about ``flush_chars``, also within one page."""
+    def frame(rows):
+        return pd.DataFrame(rows, columns=["url", "pos", "tag", "text"]).astype({"pos": "int64"})
+
     for pdf in batches:
-        urls, poss, tags, texts = [], [], [], []
+        rows, chars = [], 0
         for url, html in zip(pdf["url"], pdf["html"]):
-            for pos, (tag, raw) in enumerate(read_blocks(html)):
-                urls.append(url)
-                poss.append(pos)
-                tags.append(tag)
-                texts.append(raw.strip())
-        if urls:
-            yield pd.DataFrame({"url": urls, "pos": pd.array(poss, dtype="int64"),
-                                "tag": tags, "text": texts})
-
-
-def _nested_page_text_batches(batches, phrases):
+            for pos, (tag, raw) in enumerate(iter_blocks(html)):
+                rows.append((url, pos, tag, raw.strip()))
+                chars += len(raw) + 64
+                if chars >= flush_chars:
+                    yield frame(rows)
+                    rows, chars = [], 0
+        if rows:
+            yield frame(rows)
+
+
+def _nested_page_text_batches(batches, phrases, flush_chars=OUT_CHARS):
+    """Page texts leave in groups of about ``flush_chars``; one page's text is never split."""
     for pdf in batches:
-        out = []
+        rest, out, done, chars = pdf.drop(columns=["html"]), [], 0, 0
         for html in pdf["html"]:
-            kept = [raw.strip() for _, raw in read_blocks(html)
-                    if not any(p in raw for p in phrases)]
+            kept = (raw.strip() for _, raw in iter_blocks(html)
+                    if not any(p in raw for p in phrases))
             out.append("\n".join(kept).replace("\n", " "))
-        yield pdf.drop(columns=["html"]).assign(text=out)
+            chars += len(out[-1]) + 64
+            if chars >= flush_chars:
+                yield rest.iloc[done:done + len(out)].assign(text=out)
+                done, out, chars = done + len(out), [], 0
+        if out:
+            yield rest.iloc[done:].assign(text=out)
 
 
 def extract_blocks(pages: DataFrame, mode: str = "nested", url_col: str = "url",
@@ -66,7 +77,7 @@ def extract_blocks(pages: DataFrame, mode: str = "nested", url_col: str = "url",
                 .select("url", F.col("pos").cast("bigint").alias("pos"),
                         F.col("b.tag").alias("tag"), py_strip(F.col("b.raw")).alias("text")))
     src = pages.select(F.col(url_col).alias("url"), F.col(html_col).alias("html"))
-    return src.mapInPandas(lambda it: _nested_blocks_batches(it, H.BOILERPLATE), BLOCK_SCHEMA)
+    return src.mapInPandas(lambda it: _nested_blocks_batches(it), BLOCK_SCHEMA)
 
 
 def drop_blocks(blocks: DataFrame, phrases: tuple[str, ...] = H.BOILERPLATE) -> DataFrame:

@@ -53,6 +53,7 @@ def test_nested_reader_rules():
     assert read_blocks("<p>a<style>x</style><template><p>t</p></template>b") == [("p", "ab"), ("p", "")]
     assert read_blocks("<p>a <b> </b>\n<i>\t\n</i>c</p>")[0][1] == "a  \n\nc"
     assert read_blocks("<h2>x<![CDATA[y]]></h2>") == [("h2", "xy")]
+    assert read_blocks("<p><ruby>K<rp>(</rp><rt>kan</rt><rp>)</rp></ruby>e</p>") == [("p", "Ke")]
     assert read_blocks(None) == []
 
 
@@ -159,3 +160,19 @@ def test_page_texts_keep_columns(spark, mode):
     pages = spark.createDataFrame([("u", 7, "<p>x</p>")], "url string, page_id long, html string")
     r = B.page_texts(pages, mode, keep=("page_id",)).first()
     assert (r.url, r.page_id, r.text) == ("u", 7, "x")
+
+
+def test_nested_output_leaves_in_bounded_groups():
+    import pandas as pd
+
+    from corpusmill.operators import blocks
+
+    pages = pd.DataFrame({"url": ["a", "b", "c"], "html": ["<p>x" * 40, None, "<p>y</p>"]})
+    groups = list(blocks._nested_blocks_batches([pages], flush_chars=300))
+    whole = list(blocks._nested_blocks_batches([pages]))
+    assert len(groups) > 5 and len(whole) == 1
+    assert pd.concat(groups, ignore_index=True).equals(whole[0])
+    assert list(whole[0]["pos"]) == [*range(40), 0]
+    texts = list(blocks._nested_page_text_batches([pages], (), flush_chars=1))
+    assert len(texts) == 3
+    assert pd.concat(texts).equals(list(blocks._nested_page_text_batches([pages], ()))[0])
