@@ -14,7 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 
 import pandas as pd
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.functions.web import UrlPolicy, content_kind, decode_html
@@ -169,8 +169,8 @@ def crawl_fetching(seeds: DataFrame, fetch: Callable[[pd.DataFrame], pd.DataFram
         fetched_all.append(fetched)
         if max_depth is not None and depth >= max_depth:
             break
-        html = fetched.where(content_kind("content_type") == "html") \
-                      .select("url", decode_html("body").alias("html")).where(F.col("html").isNotNull())
+        # links of every response that decodes, whatever its content type says
+        html = fetched.select("url", decode_html("body").alias("html")).where(F.col("html").isNotNull())
         links = L.allowed_links(L.absolute_links(L.extract_links(html), mode), policy)
         step = links.select(F.col("dst").alias("url")).distinct()
         found = Observation(f"crawl_fetch_round_{depth + 1}")
@@ -194,7 +194,8 @@ def _union(frames: list[DataFrame]) -> DataFrame:
 
 def crawl_records(visited: DataFrame, pages: DataFrame, mode: str = "nested",
                   content_type_col: str | None = None, pdf_texts: DataFrame | None = None,
-                  url_col: str = "url", html_col: str = "html") -> DataFrame:
+                  url_col: str = "url", html_col: str = "html",
+                  version_col: str | None = None) -> DataFrame:
     """One record ``url, text, kind, status`` per visited page that was fetched.
 
     HTML pages give their page text (B3-B5); PDF pages the concatenation of
@@ -202,15 +203,21 @@ def crawl_records(visited: DataFrame, pages: DataFrame, mode: str = "nested",
     without it; other content types give ``""`` and are still written.
     A binary body is decoded as strict UTF-8 for HTML only (B2); a body that
     does not decode gives ``text=""`` and ``status="decode_error"`` instead of
-    losing the record.
+    losing the record. A URL stored several times gives one record: that of its
+    largest ``version_col`` if one is named, of the least body hash otherwise.
     """
     body = F.col(html_col)
     is_binary = dict(pages.dtypes)[html_col] == "binary"
     p = pages.select(F.col(url_col).alias("url"), body.alias("body"),
                      (F.col(content_type_col) if content_type_col else
-                      F.lit("text/html")).alias("content_type"))
+                      F.lit("text/html")).alias("content_type"),
+                     (F.col(version_col) if version_col else F.lit(0)).alias("_version"),
+                     F.xxhash64(body).alias("_h"))
+    # rank 1 is limited before the shuffle too, so a URL stored many times sends one row a task
+    first = Window.partitionBy("url").orderBy(F.col("_version").desc_nulls_last(), "_h", "content_type")
     fetched = p.join(visited.select("url"), "url", "left_semi") \
-               .withColumn("kind", content_kind("content_type"))
+               .withColumn("_rank", F.row_number().over(first)).where("_rank = 1") \
+               .drop("_rank", "_version", "_h").withColumn("kind", content_kind("content_type"))
     html_rows = fetched.where(F.col("kind") == "html")
     if is_binary:
         html_rows = html_rows.withColumn("html", decode_html("body"))

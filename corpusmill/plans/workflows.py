@@ -104,7 +104,7 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def crawl_and_save(seeds: DataFrame, pages: DataFrame | None, policy: UrlPolicy, out_path: str,
-                   mode: str = "resolve", html_mode: str = "nested",
+                   mode: str = "drop", html_mode: str = "nested",
                    max_depth: int | None = None, content_type_col: str | None = None,
                    pdf_texts: DataFrame | None = None,
                    fetch: Callable[[pd.DataFrame], pd.DataFrame] | None = None) -> DataFrame:
@@ -149,6 +149,11 @@ class RunConfig:
     pages: DataFrame | None = None
     fetch: Callable[[pd.DataFrame], pd.DataFrame] | None = None
     policy: UrlPolicy = field(default_factory=UrlPolicy)
+    link_mode: str = "drop"             # B9: the reference keeps absolute links only
+    html_mode: str = "nested"
+    max_depth: int | None = None
+    content_type_col: str | None = None  # of ``pages``; without it every page is HTML
+    pdf_texts: DataFrame | None = None
     prepare: PrepareConfig = field(default_factory=PrepareConfig)
 
 
@@ -156,7 +161,8 @@ def run(spark: SparkSession, cfg: RunConfig) -> DataFrame | None:
     """Crawl unless a backup is used, then prepare unless training is off."""
     if not cfg.use_backup:
         crawl_and_save(C.seed_urls(spark, cfg.seeds), cfg.pages, cfg.policy, cfg.records_path,
-                       fetch=cfg.fetch)
+                       mode=cfg.link_mode, html_mode=cfg.html_mode, max_depth=cfg.max_depth,
+                       content_type_col=cfg.content_type_col, pdf_texts=cfg.pdf_texts, fetch=cfg.fetch)
     if not cfg.train:
         return None
     records = records_with_order(R.read_records(spark, cfg.records_path))

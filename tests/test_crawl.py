@@ -99,6 +99,29 @@ def test_crawl_records_binary_bodies_b2(spark):
                    "u3": ("pdf", "", "ok")}
 
 
+def test_one_record_for_a_url_stored_twice(spark):
+    pages = spark.createDataFrame([("u1", "<p>old</p>", 1), ("u1", "<p>new</p>", 2), ("u2", "<p>x</p>", None),
+                                   ("u2", "<p>x</p>", None)], "url string, html string, ver int")
+    visited = spark.createDataFrame([("u1",), ("u2",)], "url string")
+    got = [tuple(r) for r in C.crawl_records(visited, pages, version_col="ver").select("url", "text").collect()]
+    assert sorted(got) == [("u1", "new"), ("u2", "x")]
+    plain = {tuple(r) for _ in range(2) for r in
+             C.crawl_records(visited, pages.repartition(3)).select("url", "text").collect()}
+    assert len(plain) == 2
+
+
+def test_links_of_responses_without_a_content_type(spark):
+    site = {"https://acme/a": '<a href="https://acme/b">b</a>', "https://acme/b": '<a href="https://acme/c">c</a>',
+            "https://acme/c": "<p>C</p>"}
+
+    def fetch(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"url": pdf["url"], "content_type": [None if u.endswith("b") else "text/html" for u in pdf["url"]],
+                             "body": [site[u].encode() for u in pdf["url"]], "status": "200"})
+
+    visited, _ = C.crawl_fetching(C.seed_urls(spark, ["https://acme/a"]), fetch, POLICY)
+    assert {r.url for r in visited.collect()} == set(site)
+
+
 def test_crawl_fetching_live(spark):
     site = {"https://acme/a": '<a href="/b">b</a><a href="https://acme/c">c</a><p>A</p>',
             "https://acme/b": '<a href="https://acme/a">a</a><p>B</p>',
