@@ -57,7 +57,7 @@ def chunk_spans(sentences: Column, size: int = DEFAULT_SIZE,
     def finish(acc: Column) -> Column:
         if not keep_tail:
             return acc["e"]
-        last_u = F.coalesce(F.element_at(acc["e"], -1)["u"], F.lit(0))
+        last_u = F.coalesce(F.try_element_at(acc["e"], F.lit(-1))["u"], F.lit(0))   # no emit at all: the whole text
         tail = F.array(F.struct(acc["st"].alias("st"), n.alias("u")))
         return F.when(last_u < n, F.concat(acc["e"], tail)).otherwise(acc["e"])
 
