@@ -109,6 +109,12 @@ def shuffle_order(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
     return df.orderBy(split_hash(F.col(key), seed), F.col(key))
 
 
+def shuffle_rank(df: DataFrame, key: str, seed: int = 0, name: str = "rank") -> DataFrame:
+    """F3 as a column: each row's place (from 0) in the order of ``shuffle_order``."""
+    hashed = df.withColumn("_sh", split_hash(F.col(key), seed))
+    return with_row_index(hashed, ["_sh", key], name).drop("_sh")
+
+
 def assign_batches(df: DataFrame, order_cols: list[str], num_batches: int,
                    name: str = "batch") -> DataFrame:
     """Contiguous batches of ceil(n / k) rows in order (may give fewer than k).

@@ -40,11 +40,16 @@ def chunks_overlap5(spark, sf_dir):
     return chunking.chunk_records(_records(spark, sf_dir), overlap=5)
 
 
+def chunks_keep_tail(spark, sf_dir):
+    return chunking.chunk_records(_records(spark, sf_dir), overlap=5, keep_tail=True)
+
+
 def sentences(spark, sf_dir):
     return chunking.sentences(_records(spark, sf_dir))
 
 
 _CHUNK_QUERIES = {
+    "chunks_keep_tail": chunks_keep_tail,
     "chunks_default": chunks_default,
     "chunks_no_overlap": chunks_no_overlap,
     "chunks_overlap5": chunks_overlap5,
@@ -189,6 +194,11 @@ def linked_pages(spark, sf_dir):
                     F.concat(F.col("html"), F.coalesce(F.col("_extra"), F.lit(""))).alias("html")))
 
 
+def links_drop(spark, sf_dir):
+    """The default mode over bodies with absolute and relative links: the scheme filter drops the latter."""
+    return _links.absolute_links(_links.extract_links(linked_pages(spark, sf_dir)), mode="drop")
+
+
 def _seed(pages):
     return pages.orderBy("page_id").limit(1).select("url")
 
@@ -233,6 +243,16 @@ def split_three_way(spark, sf_dir):
     return _splits.split_three_way(d, "doc_id", seed=SPLIT_SEED)
 
 
+def split_exact(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents").select("doc_id")
+    return _splits.split_exact(d, "doc_id", seed=SPLIT_SEED)
+
+
+def shuffle_rank(spark, sf_dir):
+    d = read_table(spark, sf_dir, "documents").select("doc_id")
+    return _splits.shuffle_rank(d, "doc_id", seed=SPLIT_SEED)
+
+
 def split_grouped(spark, sf_dir):
     d = read_table(spark, sf_dir, "documents").select("doc_id", "source")
     return _splits.split_grouped(d, "source", seed=SPLIT_SEED)
@@ -308,6 +328,7 @@ _MORE_QUERIES = {
     "quotes": quotes,
     "file_key": file_key,
     "export_table": export_table,
+    "links_drop": links_drop,
     "crawl": crawl,
     "crawl_records": crawl_records,
     "fetch_pages": fetch_pages,
@@ -315,6 +336,8 @@ _MORE_QUERIES = {
     "batches": batches,
     "split_three_way": split_three_way,
     "split_grouped": split_grouped,
+    "split_exact": split_exact,
+    "shuffle_rank": shuffle_rank,
     "prompts_question": prompts_question,
     "prompts_answer": prompts_answer,
     "qa_stub": qa_stub,
