@@ -94,7 +94,7 @@ def open_blob(z: bytes, dtypes: list) -> list[np.ndarray]:
 
 
 PIECES, RUNS = 0, 1
-_RUN_TYPES = [np.uint32, np.uint32]
+_RUN_TYPES = [np.uint32] * 4                      # start and end; their high halves only where needed
 
 
 def blob_table(buckets: list[int], g: int, blobs: list[bytes], kinds: list[int]) -> pa.Table:
@@ -105,7 +105,13 @@ def blob_table(buckets: list[int], g: int, blobs: list[bytes], kinds: list[int])
 
 def run_blob(start: np.ndarray, end: np.ndarray) -> bytes:
     """Removed ranges of one group, counted over the group's units (words or bytes)."""
-    return pack_blob([start.astype(np.uint32), end.astype(np.uint32)])
+    wide = [start >> 32, end >> 32] if len(end) and end.max() >> 32 else []
+    return pack_blob([x.astype(np.uint32) for x in (start, end, *wide)])
+
+
+def open_runs(z: bytes) -> list[np.ndarray]:
+    start, end, *wide = (x.astype(np.int64) for x in open_blob(z, _RUN_TYPES))
+    return [start + (wide[0] << 32), end + (wide[1] << 32)] if wide else [start, end]
 
 
 def remove_covered(groups: Groups, scatter: Callable, settle: Callable, finish: Callable, out_schema: str) -> DataFrame:
@@ -141,8 +147,8 @@ def remove_covered(groups: Groups, scatter: Callable, settle: Callable, finish:
 
     def finish_group(docs: pa.Table, answers: pa.Table) -> pa.Table:
         text = GroupText(docs)
-        runs = [open_blob(z, _RUN_TYPES) for z in answers["z"].to_pylist()]
-        start, end = (np.concatenate([r[k] for r in runs]).astype(np.int64) if runs else np.zeros(0, np.int64)
+        runs = [open_runs(z) for z in answers["z"].to_pylist()]
+        start, end = (np.concatenate([r[k] for r in runs]) if runs else np.zeros(0, np.int64)
                       for k in range(2))
         return finish(text, start, end)
 

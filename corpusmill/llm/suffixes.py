@@ -29,12 +29,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 
 from corpusmill.llm import exchange as X
-from corpusmill.llm.bytesets import covered, mix, runs_of, sliding_min, take_ranges
+from corpusmill.llm.bytesets import mix, sliding_min, take_ranges
 
 _GRAM = 8
-_POS_BITS = 24                                    # anchors: 40 hash bits, then the position
-# document id, anchor in the group, shared prefix, bytes right and left of the anchor, new bytes, left bytes
-_PIECE = [np.int64, np.uint32, np.uint8, np.uint8, np.uint8, np.uint8, np.uint8]
+_POS_BITS = 24                                    # anchors: 40 hash bits, then the position in the stretch
+_STRETCH = 1 << 20                                # string starts scanned at a time
+# document id, anchor in the group (low 32 bits), shared prefix, bytes right and left of the anchor, new bytes,
+# left bytes, anchor >> 32
+_PIECE = [np.int64, np.uint32, np.uint8, np.uint8, np.uint8, np.uint8, np.uint8, np.uint8]
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary"
 
 
@@ -86,25 +88,45 @@ def _fold(words: list[np.ndarray], extra: np.ndarray, salt: int) -> np.ndarray:
 
 
 def _anchors(text: X.GroupText, span: int):
-    """Anchor, first and last string start of every anchored suffix, with its document."""
+    """Anchor, first and last string start of every anchored suffix, with its document.
+
+    Starts are scanned in stretches that read ``span - 1`` bytes on: an anchor depends on its
+    own string only, so a group has no largest size. A suffix that a stretch's end cuts gives
+    two entries, whose strings are its own.
+    """
     n, none = len(text.data), np.zeros(0, np.int64)
     if n < span:
         return none, none, none, none, None
-    if n >= 1 << _POS_BITS:
-        raise ValueError("a group holds more than 16 MiB of text; lower group_bytes")
     padded = np.concatenate((np.zeros(64, np.uint8), text.data, np.zeros(72, np.uint8)))
     loads = _loads(padded)
     low = np.uint64((1 << _POS_BITS) - 1)
-    key = (mix(loads[64:64 + n - _GRAM + 1]) & ~low) | np.arange(n - _GRAM + 1, dtype=np.uint64)
-    anchor = (sliding_min(key, span - _GRAM + 1) & low).astype(np.int64)    # for each string start
-    doc = np.repeat(np.arange(len(text.offs) - 1), np.diff(text.offs))[:n - span + 1]
-    ok = (np.arange(n - span + 1) + span <= text.offs[doc + 1]) & text.known[doc]
-    new = ok.copy()
-    new[1:] &= ~ok[:-1] | (anchor[1:] != anchor[:-1])
-    s0 = np.flatnonzero(new)
-    stop = ok.copy()
-    stop[:-1] &= ~ok[1:] | new[1:]
-    return anchor[s0], s0, np.flatnonzero(stop), doc[s0], loads
+    found = []
+    for base in range(0, n - span + 1, _STRETCH):
+        m = min(_STRETCH, n - span + 1 - base)                       # string starts of this stretch
+        grams = m + span - _GRAM
+        key = (mix(loads[64 + base:64 + base + grams]) & ~low) | np.arange(grams, dtype=np.uint64)
+        anchor = (sliding_min(key, span - _GRAM + 1) & low).astype(np.int64) + base
+        start = np.arange(base, base + m)
+        doc = np.searchsorted(text.offs, start, "right") - 1
+        ok = (start + span <= text.offs[doc + 1]) & text.known[doc]
+        new = ok.copy()
+        new[1:] &= ~ok[:-1] | (anchor[1:] != anchor[:-1])
+        stop = ok.copy()
+        stop[:-1] &= ~ok[1:] | new[1:]
+        first = np.flatnonzero(new)
+        found.append((anchor[first], start[first], start[stop], doc[first]))
+    return *(np.concatenate(x) for x in zip(*found)), loads
+
+
+def _merged(start: np.ndarray, end: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The maximal runs that ranges cover; each range lies in one text and runs stop at text borders ``offs``."""
+    if len(start) == 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    doc = np.searchsorted(offs, start, "right")
+    head = np.concatenate(([True], (start[1:] > reach[:-1]) | (doc[1:] != doc[:-1])))
+    return start[head], reach[np.append(head[1:], True)]
 
 
 def _scatter(text: X.GroupText, buckets: int, span: int):
@@ -128,7 +150,7 @@ def _scatter(text: X.GroupText, buckets: int, span: int):
     low = np.empty(len(order), np.int64)
     low[order] = np.repeat(ids[order][head], np.diff(np.append(head, len(order))))
     travel = ids == low
-    done = X.settled_runs(len(text.data), text.offs, s0[~travel], (s1 + span)[~travel])
+    done = _merged(s0[~travel], (s1 + span)[~travel], text.offs)
     p, ids, ll, rl = p[travel], ids[travel], ll[travel], rl[travel]
     right, left = [w[travel] for w in right], [w[travel] for w in left]
     bucket = (mix(right[0] + np.uint64(3)) % np.uint64(buckets)).astype(np.int64)
@@ -144,7 +166,8 @@ def _scatter(text: X.GroupText, buckets: int, span: int):
     for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
         names.append(int(bucket[a]))
         blobs.append(X.pack_blob([ids[a:b], p[a:b].astype(np.uint32), lcp[a:b].astype(np.uint8), rl[a:b].astype(np.uint8),
-                                  ll[a:b].astype(np.uint8), fresh[fe[a]:fe[b]], back[be[a]:be[b]]]))
+                                  ll[a:b].astype(np.uint8), fresh[fe[a]:fe[b]], back[be[a]:be[b]],
+                                  (p[a:b] >> 32).astype(np.uint8)]))
     return names, blobs, done
 
 
@@ -254,6 +277,7 @@ def _settle(blobs: list[bytes], span: int):
     parts = [X.open_blob(z, _PIECE) for z in blobs]
     src = np.repeat(np.arange(len(parts)), [len(q[0]) for q in parts])
     ids, pos, lcp, rl, ll = (np.concatenate([q[j] for q in parts]).astype(np.int64) for j in range(5))
+    pos += np.concatenate([q[7] for q in parts]).astype(np.int64) << 32
     fresh, back = (np.concatenate([q[j] for q in parts]) for j in (5, 6))
     right, left = _unfold(lcp, rl, ll, fresh, back, span)
     rw, lw = _be_words(right), _be_words(left)
@@ -303,13 +327,15 @@ def _classes(src, ids, pos, lcp, rl, ll, rw, lw, span):
 
 
 def _finish(text: X.GroupText, start, end) -> pa.Table:
-    gone = covered(len(text.data), start, end)
-    a, _ = runs_of(gone, text.offs)
-    total = np.concatenate(([0], np.cumsum(gone)))
-    removed = total[text.offs[1:]] - total[text.offs[:-1]]
-    spans = np.diff(np.searchsorted(a, text.offs))
-    kept = [raw if r == 0 else text.data[x:y][~gone[x:y]].tobytes()
-            for raw, r, x, y in zip(text.texts, removed, text.offs[:-1], text.offs[1:])]
+    a, b = _merged(start, end, text.offs)
+    at = np.searchsorted(a, text.offs)
+    spans = np.diff(at)
+    total = np.concatenate(([0], np.cumsum(b - a)))
+    removed = total[at[1:]] - total[at[:-1]]
+    kept = []
+    for raw, x, i, j in zip(text.texts, text.offs[:-1].tolist(), at[:-1].tolist(), at[1:].tolist()):
+        cuts = [0, *np.stack((a[i:j], b[i:j]), 1).ravel() - x, len(raw)]
+        kept.append(raw if i == j else b"".join(raw[p:q] for p, q in zip(cuts[::2], cuts[1::2])))
     return pa.table({"doc_id": pa.array(text.ids, pa.int64()), "n_bytes": pa.array(np.diff(text.offs), pa.int64()),
                      "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()),
                      "kept": pa.array(kept, pa.binary())})

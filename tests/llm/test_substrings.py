@@ -4,6 +4,7 @@ import random
 
 import pytest
 
+from corpusmill.llm import suffixes
 from corpusmill.llm.superkmers import dedup_windows
 from corpusmill.llm.suffixes import dedup_substrings, merge_runs
 
@@ -65,6 +66,16 @@ def test_byte_strings(documents, group_bytes):
     assert sorted(map(_key, [tuple(r)[:4] + (bytes(r.kept),) for r in got])) == sorted(map(_key, want))
 
 
+def test_groups_have_no_largest_size(documents, monkeypatch):
+    rng = random.Random(7)
+    shared, long = rng.randbytes(100).hex(), rng.randbytes(17 << 19).hex()       # 17 MiB of text that repeats nothing
+    got = {r.doc_id: tuple(r)[1:4] + (bytes(r.kept).decode() == t,) for r, t in zip(
+        dedup_substrings(documents([(1, shared, "s"), (2, long + shared, "s")])).orderBy("doc_id").collect(), (shared, long))}
+    assert got == {1: (200, 0, 0, True), 2: (len(long) + 200, 200, 1, True)}
+    monkeypatch.setattr(suffixes, "_STRETCH", 64)
+    test_byte_strings(documents, 1 << 20)                            # strings across the borders of stretches
+
+
 def test_empty_tables(documents):
     none = documents([])
     assert dedup_windows(none).collect() == [] and dedup_substrings(none).collect() == []
