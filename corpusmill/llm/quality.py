@@ -3,8 +3,8 @@
 A text is cut into blocks and each block is compressed twice, once with a dictionary
 of good text and once with one of bad text. The size difference, normalised by the
 text's bytes, is calibrated to a probability by a logistic fit on labelled rows that
-went into neither dictionary. Every text is scored whole; only fitting reads a
-bounded sample.
+went into neither dictionary. Every text is scored whole, those of the calibration
+too; only fitting reads a bounded sample of rows.
 """
 
 from __future__ import annotations
@@ -12,10 +12,11 @@ from __future__ import annotations
 import math
 from collections import Counter
 from collections.abc import Iterator
-from dataclasses import astuple, dataclass
+from dataclasses import astuple, dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +30,7 @@ class FitLimits:
     """Bounds of the training sample, the only place where the classifier reads less than everything."""
 
     rows_per_class: int = 3000       # labelled rows per class: the least by hash of the text
-    sample_bytes: int = 16384        # of each such row, enters the sample
+    sample_bytes: int = 16384        # of each such row, spread over all of it, may enter the dictionaries
     dictionary_bytes: int = 800_000  # per class
     piece_bytes: int = 400           # stretch of text put into a dictionary
     calibration_share: float = 0.25  # of the sample, kept out of the dictionaries
@@ -68,18 +69,22 @@ def _difference(texts: list[bytes], model: QualityModel, good=None, bad=None) ->
 
 
 def _dictionary(rows: list[bytes], size: int, piece: int) -> bytes:
-    """Stretches spread evenly over each row, as many per row as fill ``size`` bytes."""
-    out, have = [], 0
-    want = max(1, math.ceil(size / piece / max(1, len(rows))))
-    for text in rows:
-        n = min(want, max(1, len(text) // piece))
+    """Stretches of about ``piece`` bytes at hashed offsets over each whole row, ``size`` bytes in all.
+
+    Every row has an equal share; what short rows leave goes to longer ones. With many rows
+    the stretches get shorter, no row is left out.
+    """
+    out, left = [[] for _ in rows], size
+    for rank, i in enumerate(sorted(range(len(rows)), key=lambda i: len(rows[i]))):
+        text = rows[i]
+        take = min(len(text), left // (len(rows) - rank))
+        left -= take
+        n = max(1, round(take / piece)) if take < len(text) else 1
         for j in range(n):
-            at = j * max(0, len(text) - piece) // max(1, n - 1)
-            out.append(text[at:at + piece])
-            have += len(out[-1])
-        if have >= size:
-            break
-    return b"\n".join(out)
+            lo, hi, width = j * len(text) // n, (j + 1) * len(text) // n, take // n
+            at = lo + xxhash.xxh64_intdigest(text, j) % (hi - lo - width + 1)
+            out[i].append(text[at:at + width])
+    return b"\n".join(x for parts in out for x in parts if x)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, totals: tuple[int, int]) -> tuple[float, float]:
@@ -127,29 +132,56 @@ def fit(docs: DataFrame, labels: DataFrame, *, limits: FitLimits = FitLimits(),
     # who is in the sample is settled on ids and hashes; only the texts of the sample are read for it
     labelled = cut_lineage(text.select("id", "h").join(named, "id"))
     totals = {r["y"]: r["count"] for r in labelled.groupBy("y").count().collect()}
-    chosen = [r for y in (0, 1) for r in
-              labelled.where(F.col("y") == y).orderBy("h", "id").limit(limits.rows_per_class).collect()]
-    sample = docs.sparkSession.createDataFrame([(r["id"], r["h"], r["y"]) for r in chosen], "id long, h long, y int")
-    rows = text.join(F.broadcast(sample), ["id", "h"]).select(
-        "h", "id", "y", F.expr(f"substring(cast(text as binary), 1, {limits.sample_bytes})").alias("t")).collect()
-    rows = sorted((r["y"], r["h"], r["id"], bytes(r["t"])) for r in rows)
-    return fit_sample([(t, y) for y, _, _, t in rows], (totals.get(0, 0), totals.get(1, 0)), limits)
-
-
-def fit_sample(rows: list[tuple[bytes, int]], totals: tuple[int, int], limits: FitLimits) -> QualityModel:
-    """Fit on sample rows (text, label) in their fixed order; ``totals`` count all labelled rows of each class."""
-    rows = list(dict.fromkeys(rows))                                 # copies of a text count once per class
-    texts = {y: [t for t, q in rows if q == y] for y in (0, 1)}
-    cut = {y: math.ceil((1 - limits.calibration_share) * len(texts[y])) for y in (0, 1)}
+    chosen = []
+    for y in (0, 1):
+        least = labelled.where(F.col("y") == y).orderBy("h", "id").limit(limits.rows_per_class).collect()
+        once = list({r["h"]: r["id"] for r in reversed(least)}.items())[::-1]    # copies of a text count once per class
+        cut = math.ceil((1 - limits.calibration_share) * len(once))
+        chosen += [(i, h, y, k >= cut) for k, (h, i) in enumerate(once)]
+    sample = docs.sparkSession.createDataFrame(chosen, "id long, h long, y int, held boolean")
+    rows = cut_lineage(text.join(F.broadcast(sample), ["id", "h"]))
+    pieces = rows.where("not held").select("y", "h", _stretches(limits).alias("t")).collect()
+    texts = {y: list({r["h"]: [bytes(x) for x in r["t"]] for r in sorted(pieces, key=lambda r: r["h"])
+                      if r["y"] == y}.values()) for y in (0, 1)}
+    model = _dictionaries(texts, limits)
+    found = sorted({(r["y"], r["h"], r["x"]) for r in _differences(rows.where("held"), model).collect()})
+    slope, intercept = _logistic(np.array([x for _, _, x in found]), np.array([y for y, _, _ in found], float),
+                                 (totals.get(0, 0), totals.get(1, 0)))
+    return replace(model, slope=slope, intercept=intercept)
+
+
+def _stretches(limits: FitLimits):
+    """A text as one stretch, or about ``sample_bytes`` of a longer one: stretches at hashed offsets over all of it."""
+    count, width = max(1, limits.sample_bytes // limits.piece_bytes), limits.piece_bytes
+    return F.expr(f"""if(octet_length(text) <= {max(limits.sample_bytes, count * width)}, array(cast(text as binary)),
+        transform(sequence(0, {count - 1}), i -> substring(cast(text as binary), cast(1 + i * octet_length(text) div {count}
+            + pmod(xxhash64(h, i), octet_length(text) div {count} - {width} + 1) as int), {width})))""")
+
+
+def _dictionaries(texts: dict[int, list[list[bytes]]], limits: FitLimits) -> QualityModel:
+    """The model without its calibration, from the stretches of each training row of class 0 and 1."""
+    lines = {y: [[x for part in t for x in part.split(b"\n")] for t in texts[y]] for y in (0, 1)}
     # lines that several sample rows hold would tell rows apart, not quality
-    seen = Counter(x for y in (0, 1) for t in texts[y][:cut[y]] for x in set(t.split(b"\n")))
-    own = {y: [b"\n".join(x for x in t.split(b"\n") if seen[x] == 1) for t in texts[y][:cut[y]]] for y in (0, 1)}
+    seen = Counter(x for y in (0, 1) for t in lines[y] for x in set(t))
+    own = {y: [b"\n".join(x for x in t if seen[x] == 1) for t in lines[y]] for y in (0, 1)}
     size = min([limits.dictionary_bytes, *(sum(map(len, own[y])) for y in (0, 1))])   # both alike: the larger one would win
     good, bad = (_dictionary(own[y], size, limits.piece_bytes) for y in (1, 0))
-    model = QualityModel(good, bad, 0.0, 0.0)
-    rest = [(t, y) for y in (0, 1) for t in texts[y][cut[y]:]]
-    slope, intercept = _logistic(_difference([t for t, _ in rest], model), np.array([y for _, y in rest], float), totals)
-    return QualityModel(good, bad, slope, intercept)
+    return QualityModel(good, bad, 0.0, 0.0)
+
+
+def _differences(rows: DataFrame, model: QualityModel) -> DataFrame:
+    """``y, h`` and the difference ``x`` of each whole text of the calibration rows."""
+    held = rows.sparkSession.sparkContext.broadcast(astuple(model))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = QualityModel(*held.value)
+        good, bad = _compressor(m.good, m.level), _compressor(m.bad, m.level)
+        for batch in batches:
+            texts = batch.column(2).cast(pa.binary()).to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(_difference(texts, m, good, bad))],
+                                             names=["y", "h", "x"])
+
+    return rows.select("y", "h", "text").mapInArrow(run, "y int, h long, x double")
 
 
 def score(docs: DataFrame, model: QualityModel, *, id_col: str = "doc_id", text_col: str = "text",

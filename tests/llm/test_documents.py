@@ -159,6 +159,22 @@ def test_quality_separates_and_handles_empty(spark, documents):
     assert quality.score(documents([]), quality.fit(docs, labels.limit(0))).collect() == []
 
 
+def test_quality_dictionaries_read_past_openings(spark, documents):
+    rng = random.Random(4)
+    rows = [rng.randbytes(1500).hex().encode() for _ in range(200)]
+    held = quality._dictionary(rows, 20_000, 400)                    # under one piece a row
+    at = [next(k for k in range(len(t)) if t[k:k + 90] in held) for t in rows]   # each row has its part
+    assert 19_000 < len(held) < 21_000 and min(at) < 500 and max(at) > 2000 and len(set(at)) > 150
+    # junk that stands only behind 20,000 bytes of ordinary text
+    words = [f"word{k}" for k in range(3000)]
+    plain = [" ".join(rng.choices(words, k=2500)) for _ in range(120)]
+    junk = [" ".join(f"$$##{rng.randrange(300)}!!" for _ in range(2500)) for _ in range(40)]
+    docs = documents([(k, t + " " + (junk[k - 40] if k >= 40 else plain[80 + k]), "s") for k, t in enumerate(plain[:80])])
+    labels = spark.createDataFrame([(k, int(k < 40)) for k in range(80)], "doc_id long, quality int")
+    scores = {r.doc_id: r.score for r in quality.score(docs, quality.fit(docs, labels)).collect()}
+    assert min(scores[k] for k in range(40)) > 0.7 > max(scores[k] for k in range(40, 80))
+
+
 def test_held_out_accuracy_and_pipeline(spark):
     rows = queries.op3_quality(spark, "/root/testdata/sf0.1").where("held_out").select("doc_id", "predicted")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
