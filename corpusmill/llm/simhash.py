@@ -14,11 +14,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusmill.llm.bytesets import join_bytes, take_ranges, word_bounds
 from corpusmill.llm.components import connected_components
+from corpusmill.session import cut_lineage
 
 _SLICE = 2000
 
@@ -56,8 +57,11 @@ def _fingerprints(texts: list[bytes], k: int) -> np.ndarray:
     return out
 
 
-def fingerprints(docs: DataFrame, *, k: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fp`` (64 bits as a signed long) per row; null and wordless texts have 0."""
+def fingerprints(docs: DataFrame, *, k: int = 3, id_col: str = "doc_id", text_col: str = "text",
+                 also: dict[str, Column] | None = None) -> DataFrame:
+    """``doc_id, fp`` (64 bits as a signed long) and the long columns ``also`` per row; null and wordless texts have 0."""
+    also = also or {}
+    names = ["doc_id", "fp", *also]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -67,11 +71,13 @@ def fingerprints(docs: DataFrame, *, k: int = 3, id_col: str = "doc_id", text_co
                 take = int(np.searchsorted(np.cumsum(sizes[at:at + _SLICE]), 2 << 20)) + 1
                 part = batch.slice(at, min(take, _SLICE))
                 fps = _fingerprints([t or b"" for t in part.column(1).cast(pa.binary()).to_pylist()], k)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fps.view(np.int64)), *part.columns[2:]],
+                                                 names=names)
                 at += part.num_rows
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, fp long")
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
+                       *[c.alias(name) for name, c in also.items()])
+    return rows.mapInArrow(run, ", ".join(f"{name} long" for name in names))
 
 
 def _ball(radius: int) -> list[int]:
@@ -112,25 +118,53 @@ def near_groups(docs: DataFrame, *, k: int = 3, distance: int = 2, id_col: str =
     table gives an empty result; other columns are not read and not returned.
     """
     prints = fingerprints(docs, k=k, id_col=id_col, text_col=text_col)
-    from corpusmill.session import cut_lineage
-
     prints = cut_lineage(prints)                                     # 16 bytes a row; texts are hashed once
     kinds = cut_lineage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")))
-    roots = connected_components(near_links(kinds, distance=distance))
-    labels = kinds.join(roots, kinds["fp"] == roots["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root"))
+    labels = _with_roots(kinds, distance)
     least = labels.groupBy("root").agg(F.min("least").alias("component_id"))
     named = labels.join(least, "root").select("fp", "component_id")
     return prints.join(named, "fp").select(
         "doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def _with_roots(kinds: DataFrame, distance: int) -> DataFrame:
+    roots = connected_components(near_links(kinds, distance=distance))
+    return kinds.join(roots, kinds["fp"] == roots["node"], "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root"))
+
+
+#: Exact repeats of a kept row are looked up by broadcast up to this many kinds (32 bytes each).
+_BROADCAST_REPEATS = 50_000
+
+
 def keep_one(docs: DataFrame, *, k: int = 3, distance: int = 2, id_col: str = "doc_id",
              text_col: str = "text") -> DataFrame:
-    """The input rows of each near-duplicate group's smallest id; all columns stay.
+    """Exactly one input row of each near-duplicate group, with all its columns.
 
-    Rows with a null id are kept: nothing names which of them would stand for a group.
+    It is the row of the smallest id, null ids last, then of the least hash of the text and
+    of the other columns. Rows are told apart by these three, so rows that repeat an id are
+    judged one by one, and of rows that repeat all columns one stays.
     """
-    groups = near_groups(docs.select(id_col, text_col), k=k, distance=distance, id_col=id_col, text_col=text_col)
-    gone = groups.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone_id")).distinct()
-    return docs.join(gone, docs[id_col].cast("long") == gone["_gone_id"], "left_anti")
+    others = [c for c in docs.columns if c not in (id_col, text_col)]
+    hashes = {"t": F.xxhash64(F.col(f"`{text_col}`").cast("string")),
+              "r": F.xxhash64(F.to_json(F.struct(*[F.col(f"`{c}`") for c in others]))) if others else F.lit(0).cast("long")}
+    prints = cut_lineage(fingerprints(docs, k=k, id_col=id_col, text_col=text_col, also=hashes))
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "t", "r")
+    kinds = cut_lineage(prints.groupBy("fp").agg(F.min(place).alias("least")))
+    labels = _with_roots(kinds, distance)
+    first = labels.groupBy("root").agg(F.min("least").alias("first"))
+    first = labels.join(first, "root").select("fp", "first")
+    rows = prints.groupBy("fp", "doc_id", "t", "r").count().join(first, "fp")
+    marked = cut_lineage(rows.select("doc_id", "t", "r", (place == F.col("first")).alias("kept"), "count").where(
+        "not kept or count > 1"))
+    marked = marked.select(*[F.col(c).alias(f"_mark_{c}") for c in marked.columns])   # docs may have such columns
+    mine = F.col(f"`{id_col}`").cast("long").eqNullSafe(F.col("_mark_doc_id")) & (hashes["t"] == F.col("_mark_t")) & (
+        hashes["r"] == F.col("_mark_r"))
+    single = docs.join(marked, mine, "left_anti")
+    repeated = marked.where("_mark_kept")
+    many = repeated.count()
+    if many == 0:
+        return single
+    repeated = docs.join(F.broadcast(repeated) if many <= _BROADCAST_REPEATS else repeated, mine)
+    one = repeated.dropDuplicates(["_mark_doc_id", "_mark_t", "_mark_r"])            # equal in all columns
+    return single.union(one.select(*[F.col(f"`{c}`") for c in docs.columns]))

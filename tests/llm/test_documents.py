@@ -48,6 +48,18 @@ def test_simhash_components(documents):
     assert simhash.near_groups(documents([])).collect() == []
 
 
+def test_keep_one_judges_rows(documents):
+    a, b, c, d = (" ".join(f"{x}{k}" for k in range(90)) for x in "abcd")
+    rows = [(3, a, "s"), (8, a.upper(), "s"), (8, b, "s"), (None, b, "s"), (None, c, "s"), (None, c, "s"), (None, c.upper(), "s"),
+            (9, d, "s"), (9, d, "s"), (9, d, None), (9, d.upper(), "s"), (None, None, "s"), (12, "", "t"), (12, "", "t")]
+    got = simhash.keep_one(documents(rows)).collect()
+    assert len(got) == 5 and all(r.g == 1 and r.kept == "x" for r in got)
+    assert {(r.doc_id, (r.text or "").lower()) for r in got} == {(3, a), (8, b), (None, c), (9, d), (12, "")}
+    again = simhash.keep_one(documents(rows[::-1])).collect()        # the order of the rows doesn't matter
+    assert sorted(map(str, again)) == sorted(map(str, got))
+    assert simhash.keep_one(documents([])).collect() == []
+
+
 def test_line_dedup(documents):
     a = [f"a{k}" for k in range(12)]
     line = " ".join(a)
