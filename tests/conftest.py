@@ -8,10 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from corpusmill.session import build_session, ensure_checkpoint_dir  # noqa: E402
 
-SF_SMALL = "/root/testdata/sf0.001"
-SF_ORACLE = "/root/testdata/sf0.01"
-
-
 @pytest.fixture(scope="session")
 def spark():
     s = build_session("local[4]", app="corpusmill-tests",
@@ -24,7 +20,3 @@ def spark():
 @pytest.fixture()
 def tmp_dir():
     return tempfile.mkdtemp(prefix="corpusmill-test-")
-
-
-def sentences_text(a, b):
-    return " ".join(f"S{i}." for i in range(a, b + 1))

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL, sentences_text as S
+from helpers import SF_SMALL, sentences_text as S
 from corpusmill.operators import chunking
 from corpusmill.plans import catalog
 

@@ -5,7 +5,7 @@ import os
 
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from corpusmill.plans import catalog, workflows
 from corpusmill.sources import export, records as R
 

@@ -4,7 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from tools.check_oracle import TABLES, digest
 
 SQL = E.oracle_sql()

@@ -3,7 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 
 NATIVE = ["chunks_default", "chunks_no_overlap", "sentences", "blocks_leaf", "page_text_leaf",
           "links", "links_allowed", "preview", "quotes", "file_key", "content_kind",

@@ -3,7 +3,7 @@
 import pandas as pd
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from corpusmill.functions import prompts as P
 from corpusmill.operators import qa
 from corpusmill.plans import catalog

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from corpusmill.operators import splits
 from corpusmill.operators.rowindex import rows_at_ranks, with_row_index
 

@@ -2,7 +2,7 @@
 
 import pytest
 
-from conftest import SF_SMALL
+from helpers import SF_SMALL
 from corpusmill.functions import text as T
 from corpusmill.functions.html_tree import read_blocks
 from corpusmill.functions.web import UrlPolicy, absolutize, content_kind, decode_html, is_http_href, url_allowed
