@@ -67,4 +67,56 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0)
 FROM d LEFT JOIN c ON c.doc_id = d.doc_id
 """
 
-SQL = {"op2_lines": OP2, "op6_superkmers": OP6, "op8_topk": OP8}
+def _field(value: str) -> str:
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen(CAST({value} AS VARCHAR)) || ':' || CAST({value} AS VARCHAR) END"
+
+
+def _leaf(n_chars: str) -> str:
+    return f"sha256({' || '.join(_field(v) for v in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+# a byte of the decimal id enters the register, then eight shifts
+_CRC = """xor(4294967295, list_reduce(flatten(list_transform(range(1, len(CAST(doc_id AS VARCHAR)) + 1),
+  lambda i: [CAST(ascii(substr(CAST(doc_id AS VARCHAR), CAST(i AS INTEGER), 1)) AS BIGINT), 0, 0, 0, 0, 0, 0, 0])),
+  lambda c, b: xor(xor(c, b) >> 1, (xor(c, b) & 1) * 3988292384), CAST(4294967295 AS BIGINT)))"""
+
+OP13 = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, lang, {_leaf('n_chars')} AS leaf,
+    CASE WHEN {_CRC} % 7 = 0 THEN {_leaf('(n_chars + 1)')} ELSE {_leaf('n_chars')} END AS tried
+  FROM documents
+), langs AS (
+  SELECT lang, count(*) AS n, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS t, count(*) OVER () AS trees FROM leaves GROUP BY lang
+), ranked AS (
+  SELECT l.doc_id, g.t, g.n, g.trees, leaf, tried,
+    row_number() OVER (PARTITION BY g.t ORDER BY l.doc_id NULLS FIRST, leaf, tried) - 1 AS r
+  FROM leaves l JOIN langs g ON l.lang IS NOT DISTINCT FROM g.lang
+), up AS (
+  SELECT t, 0 AS lvl, r AS i, leaf AS h, n FROM ranked
+  UNION ALL
+  SELECT t, lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 1) // 2) FROM up WHERE n > 1 GROUP BY t, lvl, i // 2
+), over AS (
+  SELECT 0 AS lvl, up.t AS i, h, trees AS n FROM up JOIN langs ON up.t = langs.t WHERE up.n = 1
+  UNION ALL
+  SELECT lvl + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 1) // 2) FROM over WHERE n > 1 GROUP BY lvl, i // 2
+), steps AS (
+  SELECT d.t, d.r, a.lvl, CASE WHEN b.h IS NULL THEN '-' WHEN b.i < a.i THEN 'L' || b.h ELSE 'R' || b.h END AS s
+  FROM ranked d JOIN up a ON a.t = d.t AND a.n > 1 AND a.i = d.r >> a.lvl LEFT JOIN up b ON b.t = a.t AND b.lvl = a.lvl AND b.i = xor(a.i, 1)
+  UNION ALL
+  SELECT d.t, d.r, 100 + a.lvl, CASE WHEN b.h IS NULL THEN '-' WHEN b.i < a.i THEN 'L' || b.h ELSE 'R' || b.h END
+  FROM ranked d JOIN over a ON a.n > 1 AND a.i = d.t >> a.lvl LEFT JOIN over b ON b.lvl = a.lvl AND b.i = xor(a.i, 1)
+), proofs AS (
+  SELECT t, r, list(s ORDER BY lvl) AS s FROM steps GROUP BY t, r
+), folded AS (
+  SELECT d.doc_id, d.leaf, o.h AS subroot, (SELECT h FROM over WHERE n = 1) AS root, coalesce(s, CAST([] AS VARCHAR[])) AS s, tried
+  FROM ranked d JOIN over o ON o.lvl = 0 AND o.i = d.t LEFT JOIN proofs p ON p.t = d.t AND p.r = d.r
+), done AS (
+  SELECT *, list_reduce(s, lambda h, x: CASE left(x, 1) WHEN 'L' THEN sha256(substr(x, 2) || h) WHEN 'R' THEN sha256(h || substr(x, 2))
+    ELSE sha256(h) END, tried) AS folded_root FROM folded
+)
+SELECT doc_id, leaf, subroot, root, sha256(array_to_string(list_transform(s, lambda x: substr(x, 2)), '')) AS proof_sha256,
+  folded_root, folded_root = root AS verified
+FROM done
+"""
+
+SQL = {"op2_lines": OP2, "op6_superkmers": OP6, "op8_topk": OP8, "op13_merkle": OP13}

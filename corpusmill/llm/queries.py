@@ -96,10 +96,19 @@ def op10_mixing(spark, sf_dir):
     return taken(*mix_sources(read_table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, repeats=2))
 
 
+def op13_merkle(spark, sf_dir):
+    from corpusmill.llm.merkle import manifest
+
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    out = manifest(read_table(spark, sf_dir, "documents"), fields=("doc_id", "source", "lang", "n_chars", "text"), part_col="lang",
+                   changed={"n_chars": F.when(chosen, F.col("n_chars") + 1).otherwise(F.col("n_chars"))})
+    return out.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def queries() -> dict:
     return {"op1_html": op1_html, "op2_lines": op2_lines, "op3_quality": op3_quality, "op4_simhash": op4_simhash, "op5_packing": op5_packing,
             "op6_superkmers": op6_superkmers, "op7_piecewise": op7_piecewise, "op8_topk": op8_topk, "op9_suffixes": op9_suffixes,
-            "op10_mixing": op10_mixing}
+            "op10_mixing": op10_mixing, "op13_merkle": op13_merkle}
 
 
 def oracle_sql() -> dict[str, str]:
