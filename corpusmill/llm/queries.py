@@ -96,6 +96,26 @@ def op10_mixing(spark, sf_dir):
     return taken(*mix_sources(read_table(spark, sf_dir, "documents"), weights=(5, 2, 1), share=1.5, repeats=2))
 
 
+def op11_toxicity(spark, sf_dir):
+    from corpusmill.llm.toxicity import fit, score
+
+    docs = read_table(spark, sf_dir, "documents")
+    model = fit(docs, read_table(spark, sf_dir, "labels").where(~held_out()))
+    out = score(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out().alias("held_out"), "score",
+                      F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+
+
+def op12_crosstoken(spark, sf_dir):
+    import public_tokenizers
+
+    from corpusmill.llm.crosstoken import cross_align
+
+    out = cross_align(read_table(spark, sf_dir, "documents"), path_a=public_tokenizers.path("byte_bpe_50k.json"),
+                      path_b=public_tokenizers.path("piece_bpe_32k.model"), digest=True)
+    return out.withColumnRenamed("groups", "groups_sha256")
+
+
 def op13_merkle(spark, sf_dir):
     from corpusmill.llm.merkle import manifest
 
@@ -108,7 +128,8 @@ def op13_merkle(spark, sf_dir):
 def queries() -> dict:
     return {"op1_html": op1_html, "op2_lines": op2_lines, "op3_quality": op3_quality, "op4_simhash": op4_simhash, "op5_packing": op5_packing,
             "op6_superkmers": op6_superkmers, "op7_piecewise": op7_piecewise, "op8_topk": op8_topk, "op9_suffixes": op9_suffixes,
-            "op10_mixing": op10_mixing, "op13_merkle": op13_merkle}
+            "op10_mixing": op10_mixing, "op11_toxicity": op11_toxicity, "op12_crosstoken": op12_crosstoken,
+            "op13_merkle": op13_merkle}
 
 
 def oracle_sql() -> dict[str, str]:
