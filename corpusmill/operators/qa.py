@@ -61,7 +61,8 @@ def expand_questions(df: DataFrame, n: int = 2) -> DataFrame:
 
 
 def generate_qa(df: DataFrame, generator: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
-                context: str = "context", partitions: int | None = None) -> DataFrame:
+                context: str = "context", partitions: int | None = None, on_error: str = "raise",
+                call_rows: int = 1) -> DataFrame:
     """E5: add ``question`` and ``answer``.
 
     Without a generator, the deterministic extractive stub runs as column
@@ -69,23 +70,53 @@ def generate_qa(df: DataFrame, generator: Callable[[pd.DataFrame], pd.DataFrame]
     returns ``question, answer`` per row in order; it runs in
     ``mapInPandas`` over ``partitions`` tasks. Calls may repeat on task retry,
     so outputs stay keyed by the work keys.
+
+    ``on_error="raise"``: a call that raises fails the job. ``on_error="row"``: the
+    generator gets ``call_rows`` rows a call, and rows of a call that raised, or that
+    came back without question or answer, carry ``status="failed"`` and the reason in
+    ``error`` (others ``status="ok"``), with question and answer null.
     """
+    if on_error not in ("raise", "row"):
+        raise ValueError("on_error must be 'raise' or 'row'")
     if generator is None:
         first = df.withColumn("_qa_s1", first_sentence(F.col(context)))
-        return (first.withColumn("question", P.stub_question(F.col("_qa_s1")))
-                .withColumn("answer", P.stub_answer(F.col("_qa_s1"))).drop("_qa_s1"))
+        out = (first.withColumn("question", P.stub_question(F.col("_qa_s1")))
+               .withColumn("answer", P.stub_answer(F.col("_qa_s1"))).drop("_qa_s1"))
+        if on_error == "row":
+            out = out.withColumn("status", F.lit("ok")).withColumn("error", F.lit(None).cast("string"))
+        return out
     src = df.repartition(partitions) if partitions else df
-    schema = StructType(df.schema.fields + [StructField("question", StringType()),
-                                            StructField("answer", StringType())])
+    added = ["question", "answer"] + (["status", "error"] if on_error == "row" else [])
+    schema = StructType(df.schema.fields + [StructField(c, StringType()) for c in added])
 
     def run(batches):
         for pdf in batches:
-            out = generator(pdf)
-            yield pdf.assign(question=list(out["question"]), answer=list(out["answer"]))
+            if on_error == "raise":
+                out = generator(pdf)
+                yield pdf.assign(question=list(out["question"]), answer=list(out["answer"]))
+            else:
+                for at in range(0, len(pdf), call_rows):
+                    part = pdf.iloc[at:at + call_rows]
+                    yield part.assign(**_call(generator, part))
 
     return src.mapInPandas(run, schema)
 
 
+def _call(generator: Callable[[pd.DataFrame], pd.DataFrame], part: pd.DataFrame) -> dict[str, list]:
+    """One call's columns; an exception or a missing reply becomes a failed row."""
+    n = len(part)
+    try:
+        out = generator(part)
+        question, answer = list(out["question"]), list(out["answer"])
+        if len(question) != n or len(answer) != n:
+            raise ValueError(f"{len(question)} questions and {len(answer)} answers for {n} rows")
+    except Exception as e:  # the caller's function: whatever it raises is that call's failure
+        return {"question": [None] * n, "answer": [None] * n, "status": ["failed"] * n, "error": [repr(e)] * n}
+    ok = [isinstance(q, str) and isinstance(a, str) for q, a in zip(question, answer)]
+    return {"question": [q if o else None for q, o in zip(question, ok)], "answer": [a if o else None for a, o in zip(answer, ok)],
+            "status": ["ok" if o else "failed" for o in ok], "error": [None if o else "no reply" for o in ok]}
+
+
 def chat_generator(chat: Callable[[list[dict]], str]) -> Callable[[pd.DataFrame], pd.DataFrame]:
     """E5 with a chat model: per row, question = chat(E3 prompt), then
     answer = chat(E4 prompt built from the raw question and the context).

@@ -14,7 +14,9 @@ from corpusmill.functions.web import UrlPolicy
 from corpusmill.operators import chunking, crawl as C, qa, splits
 from corpusmill.operators.rowindex import with_row_index
 from corpusmill.session import cut_lineage
+from corpusmill.schemas import MESSAGES_TYPE
 from corpusmill.sources import export, records as R
+from corpusmill.sources.slices import SliceStore, commit_in_slices
 
 
 @dataclass
@@ -30,6 +32,57 @@ class PrepareConfig:
     generator: Callable[[pd.DataFrame], pd.DataFrame] | None = None
     generator_partitions: int | None = None
     max_records_per_file: int | None = None
+    slices: int = 8                     # E8: commits that the pending work of a run is cut into
+    on_error: str = "raise"             # E5: "row" keeps failed calls pending instead of ending the run
+
+
+EXAMPLE_PARTS = {
+    "examples": f"ord bigint, chunk_no bigint, question_no bigint, url string, messages {MESSAGES_TYPE}",
+    "keys": "ord bigint, chunk_no bigint, question_no bigint",
+    "failed": "ord bigint, chunk_no bigint, question_no bigint, url string, context string, error string",
+}
+
+
+def example_store(spark: SparkSession, path: str, max_records_per_file: int | None = None) -> SliceStore:
+    """The committed examples of all runs: JSON lines (A5, with their keys), keys alone, and failed calls."""
+    options = {"maxRecordsPerFile": str(max_records_per_file)} if max_records_per_file else {}
+    return SliceStore(spark, path, EXAMPLE_PARTS, {"examples": "json"}, options)
+
+
+def example_parts(work: DataFrame, cfg: PrepareConfig) -> dict[str, DataFrame]:
+    """E5 + E6 over a slice of work: the parts of ``example_store``. Every call is made once."""
+    rows = qa.generate_qa(work, cfg.generator, partitions=cfg.generator_partitions, on_error=cfg.on_error)
+    if cfg.on_error == "raise":
+        rows = rows.withColumn("status", F.lit("ok")).withColumn("error", F.lit(None).cast("string"))
+    rows = cut_lineage(rows.select(*qa.WORK_KEYS, "url", "context", "question", "answer", "status", "error"))
+    ok = rows.where(F.col("status") == "ok")
+    return {"examples": ok.withColumn("messages", chat_messages(F.col("question"), F.col("answer"))),
+            "keys": ok, "failed": rows.where(F.col("status") != "ok")}
+
+
+def generate_in_slices(records: DataFrame, store: SliceStore, cfg: PrepareConfig,
+                       stop_after: int | None = None) -> list[str]:
+    """E7 + E8: make the examples still pending, committing slice by slice; returns the slices committed.
+
+    A run that ended early, by ``stop_after`` or by a crash, goes on where it ended; keys
+    that are committed are never generated again, failed ones are pending again.
+    """
+    def todo() -> DataFrame:
+        work = chunk_work(records, cfg).select(*qa.WORK_KEYS, "url", "context")
+        return qa.pending(work, store.read("keys"))
+
+    return commit_in_slices(store, todo, qa.WORK_KEYS, cfg.slices, lambda work: example_parts(work, cfg), stop_after)
+
+
+def failed_calls(store: SliceStore) -> DataFrame:
+    """Work whose calls failed and that no later run has done: one row per key."""
+    return qa.pending(store.read("failed").drop("slice").dropDuplicates(list(qa.WORK_KEYS)), store.read("keys"))
+
+
+def retry_failed(store: SliceStore, cfg: PrepareConfig, stop_after: int | None = None) -> list[str]:
+    """Call the generator again for failed work alone, from the stored contexts."""
+    return commit_in_slices(store, lambda: failed_calls(store).drop("error"), qa.WORK_KEYS, cfg.slices,
+                            lambda work: example_parts(work, cfg), stop_after)
 
 
 def example_key() -> F.Column:
@@ -65,8 +118,8 @@ def prepare(records: DataFrame, cfg: PrepareConfig | None = None,
             generate: bool = True) -> DataFrame:
     """Records -> chunks -> examples -> train/test/valid.
 
-    With ``examples_path`` the examples are appended there (resuming: keys
-    already present are skipped) and the split reads that table back, as the
+    With ``examples_path`` the examples are committed there in ``cfg.slices`` slices
+    (E8; keys already committed are skipped) and the split reads them back, as the
     reference does; otherwise they are checkpointed. ``generate=False`` only
     re-splits the existing examples. With ``out_dir`` the splits are written.
     """
@@ -74,20 +127,11 @@ def prepare(records: DataFrame, cfg: PrepareConfig | None = None,
     spark = records.sparkSession
     if not generate and examples_path is None:
         raise ValueError("generate=False needs examples_path: there are no examples to split")
-    work = chunk_work(records, cfg)
-    schema = generate_examples(work, cfg, None).schema   # a run that died early leaves no file to infer it from
-    if generate:
-        done = None
-        if examples_path is not None and _exists(spark, examples_path):
-            done = spark.read.schema(schema).parquet(examples_path).select(*qa.WORK_KEYS)
-        new = generate_examples(work, cfg, done)
-        if examples_path is not None:
-            writer = new.write.mode("append")
-            if cfg.max_records_per_file:
-                writer = writer.option("maxRecordsPerFile", str(cfg.max_records_per_file))
-            writer.parquet(examples_path)
     if examples_path is not None:
-        examples = spark.read.schema(schema).parquet(examples_path)
+        store = example_store(spark, examples_path, cfg.max_records_per_file)
+        if generate:
+            generate_in_slices(records, store, cfg)
+        examples = store.read("examples").drop("slice")
     else:
         examples = cut_lineage(generate_examples(chunk_work(records, cfg), cfg))
     result = split_examples(examples, cfg)
@@ -96,13 +140,6 @@ def prepare(records: DataFrame, cfg: PrepareConfig | None = None,
     return result
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(hpath)
-
-
 def crawl_and_save(seeds: DataFrame, pages: DataFrame | None, policy: UrlPolicy, out_path: str,
                    mode: str = "drop", html_mode: str = "nested",
                    max_depth: int | None = None, content_type_col: str | None = None,

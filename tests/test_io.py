@@ -46,7 +46,7 @@ def test_prepare_resume_by_key(spark, tmp_dir):
     ex_path = os.path.join(tmp_dir, "examples")
     first_half = recs.where(F.col("ord") % 2 == 0)
     workflows.prepare(first_half, cfg, examples_path=ex_path)
-    once = spark.read.parquet(ex_path).count()
+    once = workflows.example_store(spark, ex_path).read("examples").count()
     full = workflows.prepare(recs, cfg, examples_path=ex_path)         # resumes
     keys = full.select("ord", "chunk_no", "question_no")
     assert keys.count() == keys.distinct().count() > once
