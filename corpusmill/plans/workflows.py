@@ -202,14 +202,14 @@ def run(spark: SparkSession, cfg: RunConfig) -> DataFrame | None:
                        content_type_col=cfg.content_type_col, pdf_texts=cfg.pdf_texts, fetch=cfg.fetch)
     if not cfg.train:
         return None
-    records = records_with_order(R.read_records(spark, cfg.records_path))
+    records = R.read_records_in_order(spark, cfg.records_path)
     return prepare(records, cfg.prepare, cfg.examples_path, cfg.out_dir, cfg.generate)
 
 
 def export_documents(spark: SparkSession, records_path: str, out_dir: str,
                      max_len: int = 50) -> None:
-    """Read records, one text file per sanitised URL, last record wins."""
-    records = records_with_order(R.read_records(spark, records_path))
+    """Read records, one text file per sanitised URL, the last record in file order wins."""
+    records = R.read_records_in_order(spark, records_path)
     export.export_documents(records, out_dir, max_len)
 
 

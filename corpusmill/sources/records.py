@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusmill.schemas import EXAMPLE_DDL, RECORD_DDL
+from corpusmill.session import cut_lineage
 
 # Fixed value: url prefix of the document stand-in records.
 DOC_URL_PREFIX = "https://docs.example.com/"
@@ -29,6 +31,23 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(RECORD_DDL).option("mode", "FAILFAST").json(path)
 
 
+def read_records_in_order(spark: SparkSession, path: str) -> DataFrame:
+    """A1 with ``ord``: the record's number in file order (files by path, lines as they stand).
+
+    Each split of a file knows its path and first byte, and its rows come in line order, so
+    only the number of records per split has to be summed up: no text is sorted, and the
+    numbers don't depend on how files are cut into splits.
+    """
+    rows = read_records(spark, path).select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
+        F.monotonically_increasing_id().alias("_at"))
+    splits = cut_lineage(rows.groupBy("_file", "_start").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")))
+    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)    # a row per split, not per record
+    placed = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    return rows.join(placed.drop("_n"), ["_file", "_start"]).select(
+        (F.col("_before") + F.col("_at") - F.col("_first")).alias("ord"), "url", "text")
+
+
 def write_records(df: DataFrame, path: str, mode: str = "append") -> None:
     """A2/A3: one JSON object per record followed by a blank line.
 
@@ -61,10 +80,13 @@ def write_splits(df: DataFrame, out_dir: str, split_col: str = "split") -> None:
     One pass: the split column becomes the folder partition. A split without rows
     gets a folder without rows, so readers find all three.
     """
+    spark, out = df.sparkSession, out_dir.rstrip("/")
     rows = df.select("messages", F.col(split_col).alias("split"))
-    rows.write.mode("overwrite").partitionBy("split").json(out_dir)
-    there = {r["split"] for r in df.sparkSession.read.schema(rows.schema).json(out_dir).select("split").distinct().collect()}
+    rows.write.mode("overwrite").partitionBy("split").json(out)
     for split in SPLITS:
-        if split not in there:
-            df.sparkSession.createDataFrame([], rows.drop("split").schema).write.mode("overwrite").json(
-                f"{out_dir.rstrip('/')}/split={split}")
+        try:
+            spark.read.text(f"{out}/split={split}")                  # resolves the folder, reads nothing
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            spark.createDataFrame([], rows.drop("split").schema).write.mode("overwrite").json(f"{out}/split={split}")

@@ -3,9 +3,11 @@
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from helpers import SF_SMALL
+from corpusmill.session import session_conf
 from corpusmill.plans import catalog, workflows
 from corpusmill.sources import export, records as R
 
@@ -63,10 +65,42 @@ def test_export_last_wins_t5(spark, tmp_dir):
     assert tbl == {"a.b_x": "new", "a.b_y": "y"}
     out = os.path.join(tmp_dir, "files")
     export.export_documents(df, out)
-    body = open(os.path.join(out, "file_key=a.b_x",
-                             [f for f in os.listdir(os.path.join(out, "file_key=a.b_x"))
-                              if f.startswith("part-")][0])).read()
-    assert body == "new\n"
+    assert {f: open(os.path.join(out, f)).read() for f in os.listdir(out)} == {"a.b_x.txt": "new", "a.b_y.txt": "y"}
+    export.export_documents(df.where("ord = 1"), out)                # replaces the folder
+    assert os.listdir(out) == ["a.b_x.txt"] and os.listdir(tmp_dir) == ["files"]
+
+
+def test_export_failed_job_leaves_nothing(spark, tmp_dir):
+    out = os.path.join(tmp_dir, "files")
+    df = spark.createDataFrame([(i, f"https://a.b/{i}", "t") for i in range(20)], "ord long, url string, text string")
+    export.export_documents(df, out)
+    bad = df.withColumn("text", F.when(F.col("ord") == 13, F.raise_error(F.lit("broken"))).otherwise(F.col("text")))
+    with pytest.raises(Exception, match="broken"):
+        export.export_documents(bad, out)
+    assert len(os.listdir(out)) == 20 and os.listdir(tmp_dir) == ["files"]
+    with pytest.raises(Exception, match="overwrite"):
+        export.export_table(df).write.format("document_files").mode("append").save(out)
+    empty = os.path.join(tmp_dir, "empty")
+    export.export_documents(df.where("false"), empty)
+    assert os.listdir(empty) == []
+
+
+def test_records_in_order_across_splits(spark, tmp_dir):
+    """Two files, read in splits of a few hundred bytes: numbers follow the files, last record wins."""
+    path = os.path.join(tmp_dir, "recs")
+    os.makedirs(path)
+    rows = [{"url": f"https://a.b/{i % 7}", "text": f"text {i} " + "x" * (i % 50)} for i in range(400)]
+    for name, part in (("b.json", rows[250:]), ("a.json", rows[:250])):
+        with open(os.path.join(path, name), "w") as f:
+            f.write("\n\n".join(json.dumps(r) for r in part))
+    with session_conf(spark, {"spark.sql.files.maxPartitionBytes": "700", "spark.sql.files.openCostInBytes": "100"}):
+        small = {r.ord: (r.url, r.text) for r in R.read_records_in_order(spark, path).collect()}
+        out = os.path.join(tmp_dir, "files")
+        workflows.export_documents(spark, path, out)
+    assert small == {i: (r["url"], r["text"]) for i, r in enumerate(rows)}
+    assert {r.ord: (r.url, r.text) for r in R.read_records_in_order(spark, path).collect()} == small
+    want = {r["url"].replace("https://", "").replace("/", "_") + ".txt": r["text"] for r in rows}
+    assert {f: open(os.path.join(out, f)).read() for f in os.listdir(out)} == want
 
 
 def test_run_switches(spark, tmp_dir):
@@ -113,8 +147,7 @@ def test_export_documents_g4(spark, tmp_dir):
     R.write_records(df, recs_path, "overwrite")
     out = os.path.join(tmp_dir, "files")
     workflows.export_documents(spark, recs_path, out)
-    assert sorted(d for d in os.listdir(out) if d.startswith("file_key=")) == \
-        ["file_key=a.b_x", "file_key=a.b_y"]
+    assert sorted(os.listdir(out)) == ["a.b_x.txt", "a.b_y.txt"]
 
 
 def test_read_records_bad_json_fails_a1(spark, tmp_dir):
