@@ -20,6 +20,20 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def host(url: Column | str) -> Column:
+    """Lower-case host of an absolute URL, without user, port and final dot; null if there is none."""
+    authority = F.regexp_extract(_col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:@]+)", 1)
+    name = F.regexp_replace(F.lower(authority), r"\.$", "")
+    return F.when(name != "", name)
+
+
+def host_suffixes(name: Column | str) -> Column:
+    """The host and every parent domain: ``a.b.c`` gives ``a.b.c``, ``b.c``, ``c``."""
+    parts = F.split(_col(name), r"\.")
+    n = F.size(parts)
+    return F.transform(F.sequence(F.lit(1), n), lambda i: F.array_join(F.slice(parts, i, n), "."))
+
+
 def content_kind(content_type: Column | str) -> Column:
     """B1: ``pdf`` / ``html`` / ``other``; PDF is tested first, missing type is ``other``."""
     ct = F.coalesce(_col(content_type), F.lit(""))

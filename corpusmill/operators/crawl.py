@@ -37,16 +37,33 @@ def fetch_pages(frontier: DataFrame, pages: DataFrame, url_col: str = "url") ->
 
 def fetch_pages_with(frontier: DataFrame, fetch: Callable[[pd.DataFrame], pd.DataFrame],
                      schema: str = "url string, content_type string, body binary, status string",
-                     partitions: int | None = None) -> DataFrame:
+                     partitions: int | None = None, on_error: str = "raise") -> DataFrame:
     """A9 with a caller's fetcher: ``fetch`` maps a batch of URLs to fetched rows.
 
     Batching, retries and timeouts are the fetcher's business; Spark spreads
-    the frontier over ``partitions`` tasks.
+    the frontier over ``partitions`` tasks. With ``on_error="row"`` a batch that raises
+    is fetched again URL by URL, and a URL that raises gives a row with the URL,
+    ``status`` ``failed: <reason>`` and nulls, as one bad page must not end a crawl.
     """
+    if on_error not in ("raise", "row"):
+        raise ValueError("on_error must be 'raise' or 'row'")
     src = frontier.select("url")
     if partitions:
         src = src.repartition(partitions)
-    return src.mapInPandas(lambda it: (fetch(pdf) for pdf in it), schema)
+    if on_error == "raise":
+        return src.mapInPandas(lambda it: (fetch(pdf) for pdf in it), schema)
+    return src.mapInPandas(lambda it: (out for pdf in it for out in _fetch_each(fetch, pdf)), schema)
+
+
+def _fetch_each(fetch: Callable[[pd.DataFrame], pd.DataFrame], pdf: pd.DataFrame) -> Iterable[pd.DataFrame]:
+    try:
+        yield fetch(pdf)
+    except Exception as e:  # the caller's function: whatever it raises is that call's failure
+        if len(pdf) > 1:
+            for k in range(len(pdf)):
+                yield from _fetch_each(fetch, pdf.iloc[k:k + 1])
+        else:
+            yield pd.DataFrame({"url": pdf["url"], "content_type": None, "body": None, "status": f"failed: {e!r}"})
 
 
 def unvisited(frontier: DataFrame, visited: DataFrame) -> DataFrame:
@@ -66,7 +83,8 @@ def link_graph(pages: DataFrame, policy: UrlPolicy, mode: str = "resolve",
 def crawl(seeds: DataFrame, pages: DataFrame, policy: UrlPolicy, mode: str = "resolve",
           max_depth: int | None = None, url_col: str = "url", html_col: str = "html",
           edges: DataFrame | None = None, compact_every: int = 8,
-          num_partitions: int | None = None) -> DataFrame:
+          num_partitions: int | None = None,
+          on_round: Callable[[int, dict[str, int]], None] | None = None) -> DataFrame:
     """C4: every URL reachable from the seeds over allowed links: ``url, depth``.
 
     ``depth`` is the breadth-first level (seeds 0). URLs missing from ``pages``
@@ -74,7 +92,9 @@ def crawl(seeds: DataFrame, pages: DataFrame, policy: UrlPolicy, mode: str = "re
     ``num_partitions`` partitions the edge table and the visited set; by
     default it is the partition count AQE gives the edge table when sizing its
     partitions, at least the cluster's parallelism and at most
-    ``spark.sql.shuffle.partitions``.
+    ``spark.sql.shuffle.partitions``. ``on_round(depth, counts)`` is told what each
+    round met (``candidates``: distinct link targets) and kept (``new``), as observed
+    by the round's own job (G5).
     """
     if edges is None:
         edges = link_graph(pages, policy, mode, url_col, html_col)
@@ -87,20 +107,25 @@ def crawl(seeds: DataFrame, pages: DataFrame, policy: UrlPolicy, mode: str = "re
     # the candidate links. Visited = one compacted base + the recent rounds,
     # all partitioned and sorted alike, anti-joined in turn without a shuffle.
     edges = checkpoint_partitioned(edges, n, "src", sort=True)
+    met, found = Observation("crawl_seeds"), Observation("crawl_round_0")
     frontier = checkpoint_partitioned(
-        seeds.select("url").dropDuplicates(["url"]).withColumn("depth", F.lit(0)), n, "url",
-        sort=True)
+        seeds.select("url").observe(met, F.count(F.lit(1)).alias("n")).dropDuplicates(["url"])
+             .withColumn("depth", F.lit(0)).observe(found, F.count(F.lit(1)).alias("n")), n, "url", sort=True)
+    if on_round:
+        on_round(0, {"candidates": met.get["n"], "new": found.get["n"]})
     visited = _Visited(frontier, n, compact_every)
     depth = 0
     while max_depth is None or depth < max_depth:
         step = (frontier.select(F.col("url").alias("src"))
                 .join(edges, "src")
                 .select(F.col("dst").alias("url")).distinct())
-        found = Observation(f"crawl_round_{depth + 1}")
+        met, found = Observation(f"crawl_candidates_{depth + 1}"), Observation(f"crawl_round_{depth + 1}")
         new = checkpoint_partitioned(
-            visited.exclude(step).withColumn("depth", F.lit(depth + 1))
+            visited.exclude(step.observe(met, F.count(F.lit(1)).alias("n"))).withColumn("depth", F.lit(depth + 1))
                    .observe(found, F.count(F.lit(1)).alias("n")), n, "url", sort=True)
-        # the count rides on the checkpoint job: one job per round
+        # the counts ride on the checkpoint job: one job per round
+        if on_round:
+            on_round(depth + 1, {"candidates": met.get["n"], "new": found.get["n"]})
         if not found.get["n"]:
             break
         visited.add(new)
@@ -147,13 +172,13 @@ class _Visited:
 def crawl_fetching(seeds: DataFrame, fetch: Callable[[pd.DataFrame], pd.DataFrame],
                    policy: UrlPolicy, mode: str = "resolve", max_depth: int | None = None,
                    fetch_partitions: int | None = None,
-                   num_partitions: int | None = None) -> tuple[DataFrame, DataFrame]:
+                   num_partitions: int | None = None, on_error: str = "raise") -> tuple[DataFrame, DataFrame]:
     """C4 with live fetching: each round fetches its frontier through ``fetch``.
 
     ``fetch`` maps a batch of URLs to ``url, content_type, body (binary),
     status``. Every round's fetched pages are written with a reliable
     checkpoint before links are read from them, so a recomputation never
-    fetches again. Returns ``(visited: url, depth; fetched pages)``; the
+    fetches again. ``on_error`` as in ``fetch_pages_with``. Returns ``(visited: url, depth; fetched pages)``; the
     fetched pages feed ``crawl_records`` (with ``html_col="body"``).
     """
     spark = seeds.sparkSession
@@ -165,7 +190,7 @@ def crawl_fetching(seeds: DataFrame, fetch: Callable[[pd.DataFrame], pd.DataFram
     depth = 0
     while True:
         fetched = checkpoint_partitioned(
-            fetch_pages_with(frontier, fetch, partitions=fetch_partitions or n), n, "url")
+            fetch_pages_with(frontier, fetch, partitions=fetch_partitions or n, on_error=on_error), n, "url")
         fetched_all.append(fetched)
         if max_depth is not None and depth >= max_depth:
             break

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -20,36 +20,39 @@ from corpusmill.operators.rowindex import with_row_index
 WORK_KEYS = ("ord", "chunk_no", "question_no")
 
 
+#: Consecutive chunks that one look-back task holds.
+BLOCK_ROWS = 65536
+
+
 def lookback_context(chunks: DataFrame, k: int = 0, within: str | None = None,
                      order: Sequence[str] = ("ord", "chunk_no"), data: str = "data",
-                     name: str = "context") -> DataFrame:
+                     name: str = "context", block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Previous ``k`` chunks + the current one, joined without separator.
 
     ``within=None`` runs over the whole ordered chunk list (documents are
     crossed, as in the reference); ``within=<col>`` restarts per value of that
-    column, ordered by the last ``order`` column, which must be dense from 0.
-    Each chunk is sent to the ``k + 1`` targets that read it, then grouped by
-    target: every group holds at most ``k + 1`` rows, whatever the skew.
+    column, ordered by the last ``order`` column. Positions may have gaps: the
+    chunks before are those that come before in the order.
+
+    The order is cut into blocks of ``block_rows`` chunks whatever documents they
+    belong to, so no key makes a large one; the last ``k`` chunks of a block are
+    also sent to the next (a halo), the others only to their own.
     """
     if k < 0:
         raise ValueError("k must be >= 0")
     if k == 0:
         return chunks.withColumn(name, F.col(data))
-    cols = chunks.columns
-    if within is None:
-        base = with_row_index(chunks, list(order), "_lb_i")
-        part = []
-    else:
-        base = chunks.withColumn("_lb_i", F.col(order[-1]).cast("long"))
-        part = [within]
-    offsets = F.explode(F.sequence(F.lit(0), F.lit(k))).alias("_lb_j")
-    spread = base.select(*part, "_lb_i", F.struct(*cols).alias("_lb_row"), offsets)
-    grouped = (spread.groupBy(*part, (F.col("_lb_i") + F.col("_lb_j")).alias("_lb_t"))
-               .agg(F.array_sort(F.collect_list(F.struct("_lb_i", f"_lb_row.{data}")))
-                    .alias("_lb_parts"),
-                    F.max(F.when(F.col("_lb_j") == 0, F.col("_lb_row"))).alias("_lb_me")))
-    return (grouped.where(F.col("_lb_me").isNotNull())
-            .select("_lb_me.*", F.array_join(F.col(f"_lb_parts.{data}"), "").alias(name)))
+    by = list(order) if within is None else [within, order[-1]]
+    placed = with_row_index(chunks, by, "_lb_i")
+    own = F.floor(F.col("_lb_i") / block_rows)
+    halo = F.explode(F.sequence(own, F.floor((F.col("_lb_i") + k) / block_rows)))
+    frame = Window.partitionBy("_lb_b").orderBy("_lb_i").rowsBetween(-k, 0)
+    group = F.col(within) if within is not None else F.lit(0)
+    read = placed.withColumn("_lb_b", halo).withColumn("_lb_g", group).withColumn(
+        "_lb_f", F.collect_list(F.struct(F.col("_lb_g").alias("g"), F.col(data).alias("d"))).over(frame))
+    same = F.filter("_lb_f", lambda x: x["g"].eqNullSafe(F.col("_lb_g")))
+    return read.where(F.col("_lb_b") == own).select(
+        *chunks.columns, F.array_join(F.transform(same, lambda x: x["d"]), "").alias(name))
 
 
 def expand_questions(df: DataFrame, n: int = 2) -> DataFrame:

@@ -11,12 +11,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusmill.functions.web import decode_html
-from corpusmill.operators import blocks as B, chunking, crawl as C, qa
+from corpusmill.functions.web import decode_html, host, host_suffixes
+from corpusmill.operators import blocks as B, chunking, crawl as C, links, qa
 from corpusmill.plans import catalog, workflows
 from corpusmill.session import ensure_checkpoint_dir, read_table
 from corpusmill.sources import export, records as R
 from corpusmill.streaming import records as S
+from corpusmill.streaming.counters import BatchCounters
 
 
 def _folder(spark: SparkSession) -> str:
@@ -228,8 +229,45 @@ def chunks_decimal(spark, sf_dir):
     return chunking.chunk_records(_records(spark, sf_dir).withColumn("text", text))
 
 
+# ------------------------------------------------------------------ B10, E1, G5
+
+def links_by_rules(spark, sf_dir):
+    """B10 with a rule table: hosts of every third page and all their parents, denied where their name's length is odd."""
+    pages = read_table(spark, sf_dir, "pages")
+    named = pages.where(F.col("page_id") % 3 == 0).select(F.explode(host_suffixes(host("url"))).alias("host")).distinct()
+    rules = named.withColumn("allow", F.length("host") % 2 == 0)
+    return links.classify_by_hosts(catalog.links_resolved(spark, sf_dir), rules).select("src", "pos", "dst", "allowed")
+
+
+def lookback_gaps(spark, sf_dir):
+    """E1 within conversations of which every third turn is missing."""
+    turns = read_table(spark, sf_dir, "conversations").where(F.col("turn") % 3 != 1)
+    chunks = turns.select(F.col("conv_id").alias("ord"), F.col("turn").alias("chunk_no"), F.col("text").alias("data"))
+    out = qa.lookback_context(chunks, k=2, within="ord", block_rows=1000)
+    return out.select(F.col("ord").alias("conv_id"), F.col("chunk_no").alias("turn"), "context")
+
+
+def crawl_rounds(spark, sf_dir):
+    """What each round of the crawl met and kept, as its job observed it."""
+    pages, rows = catalog.linked_pages(spark, sf_dir), []
+    seeds = pages.orderBy("page_id").limit(1).select("url")
+    C.crawl(seeds, pages, catalog.TEST_POLICY, mode="resolve",
+            on_round=lambda depth, n: rows.append((depth, n["candidates"], n["new"])))
+    return spark.createDataFrame(rows, "round bigint, candidates bigint, new bigint")
+
+
+def stream_counters(spark, sf_dir):
+    """The counters of the two batches of ``stream_first_records``."""
+    path, records = _folder(spark), _shared_urls(spark, sf_dir)
+    with BatchCounters(spark) as counters:
+        for k in (0, 1):
+            records.where(_half(k)).write.mode("append").json(f"{path}/in")
+            counters.finish(S.first_records(spark, f"{path}/in", f"{path}/store", f"{path}/checkpoint"))
+    return counters.table().select("batch", "counter", "value")
+
+
 def queries() -> dict:
     return {f.__name__: f for f in (
         commit_resume, commit_status, stream_first_records, stream_generate, records_roundtrip, record_positions, export_last_record,
         export_files, examples_roundtrip, splits_roundtrip, crawl_and_save, run_backup, decode_bodies, blocks_dropped,
-        crawl_records_typed, chunks_decimal)}
+        crawl_records_typed, chunks_decimal, links_by_rules, lookback_gaps, crawl_rounds, stream_counters)}

@@ -73,13 +73,15 @@ def first_records(spark: SparkSession, source_dir: str, store_dir: str, checkpoi
 
     Batches come first to last; within one the least ``ord`` decides, then (and where
     records have none) the place in the files: modification time, path, position. A null
-    URL is a URL like any other. Read the result from ``record_store(...).read("records")``.
+    URL is a URL like any other. The counters ``records.read`` and ``records.without_text``
+    of each batch reach ``BatchCounters``. Read the result from ``record_store(...).read("records")``.
     """
     reader = spark.readStream.schema(STREAM_RECORD_DDL)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
     stream = reader.json(source_dir).select("*", "_metadata.file_modification_time", "_metadata.file_path",
                                             "_metadata.file_block_start")
+    stream = stream.observe("records", F.count(F.lit(1)).alias("read"), F.count_if(F.col("text").isNull()).alias("without_text"))
 
     def each(batch: DataFrame, batch_id: int) -> None:
         store = record_store(batch.sparkSession, store_dir)
