@@ -6,6 +6,10 @@ partition, and adds the exclusive prefix sum of those counts to each row's
 position inside its partition. Only the counts (one row per partition) reach
 the driver, so what is collected is bounded by the partition count.
 
+``rows_at_hash_ranks`` finds the rows at a few ranks of an order by a hash, without
+sorting or writing anything: histograms over ever longer hash prefixes narrow each rank
+down to a few rows.
+
 ``rows_at_ranks`` finds the rows at a few given ranks the same way, but reads
 only the ordering columns and returns the boundary values, so callers can
 label the full table with a comparison instead of carrying it through a sort.
@@ -93,3 +97,66 @@ def rows_at_ranks(df: DataFrame, order_cols: Sequence[str],
              for r in tagged.where(cond).select(*order_cols, _PID,
                                                 _local_pos().alias("_rx_pos")).collect()}
     return [found.get(wanted[r]) if r in wanted else None for r in ranks]
+
+
+def rows_at_hash_ranks(df: DataFrame, hash_col: str, key_col: str,
+                       ranks: Sequence[int] | Callable[[int], Sequence[int]], digits: int = 3,
+                       few: int = 10_000) -> list[tuple[str, str] | None]:
+    """``(hash, key)`` at the given 0-based ranks of the order by hash, then key (None past the end).
+
+    ``hash_col`` holds hex digits of one length that are spread evenly, as a digest's. A
+    pass counts rows by the next ``digits`` digits within the prefixes still wanted, and
+    rows are fetched once no such prefix has more than ``few`` of them: two or three
+    passes for 10^11 rows, each a partial aggregate of at most 16 ** digits counts a prefix.
+    """
+    h, length = F.coalesce(F.col(hash_col), F.lit("!")), digits      # a null hash comes first
+    counts = _prefix_counts(df, h, length)
+    total = sum(counts.values())
+    wanted = list(ranks(total) if callable(ranks) else ranks)
+    # rank within the rows of a prefix, which only gets longer
+    where = {r: _locate(counts, r) for r in wanted if 0 <= r < total}
+    sizes = {p: counts[p] for p, _ in where.values()}
+    whole = _hash_length(df, h) if sizes else 0
+    while sizes and max(sizes.values()) > few and length < whole:
+        length += digits
+        counts = _prefix_counts(df.where(_has_prefix(h, sizes)), h, length)
+        for r, (p, rest) in where.items():
+            where[r] = _locate({q: n for q, n in counts.items() if q.startswith(p)}, rest)
+        sizes = {p: counts[p] for p, _ in where.values()}
+    found = {}
+    if sizes:
+        rows = df.where(_has_prefix(h, sizes)).select(h.alias("h"), F.col(key_col).alias("k"))
+        if length >= whole:                                          # equal hashes are equal keys
+            rows = rows.distinct()
+        for r in rows.collect():
+            found.setdefault(r["h"][:length], []).append((r["h"], r["k"]))
+    out = []
+    for r in wanted:
+        own = sorted(found.get(where[r][0], [])) if r in where else []
+        out.append(own[min(where[r][1], len(own) - 1)] if own else None)
+    return out
+
+
+def _prefix_counts(df: DataFrame, h: Column, length: int) -> dict[str, int]:
+    rows = df.groupBy(F.substring(h, 1, length).alias("p")).agg(F.count(F.lit(1)).alias("n")).collect()
+    return {r["p"]: r["n"] for r in sorted(rows, key=lambda r: r["p"])}
+
+
+def _locate(counts: dict[str, int], rank: int) -> tuple[str, int]:
+    """The prefix that holds the row of this rank, and the rank within it."""
+    for prefix in sorted(counts):
+        if rank < counts[prefix]:
+            return prefix, rank
+        rank -= counts[prefix]
+    raise IndexError(rank)
+
+
+def _has_prefix(h: Column, prefixes: dict[str, int]) -> Column:
+    cond = F.lit(False)
+    for p in sorted(prefixes):
+        cond = cond | h.startswith(p)
+    return cond
+
+
+def _hash_length(df: DataFrame, h: Column) -> int:
+    return df.agg(F.max(F.length(h))).first()[0] or 0

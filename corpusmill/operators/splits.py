@@ -5,8 +5,8 @@ to the same ranking in SQL. Exact sizes follow the reference's ceilings:
 test+valid = ceil(0.2 n), valid = ceil(that / 3), computed in doubles as the
 reference's splitter does.
 
-The splits never sort the full rows: only (hash, key) is ranked to find the
-two boundary values, and every row is labelled by comparing with them.
+The splits sort nothing: histograms over hash prefixes narrow down the two boundary
+values, and every row is labelled by comparing with them.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.operators.rowindex import rows_at_ranks, with_row_index
+from corpusmill.operators.rowindex import rows_at_hash_ranks, rows_at_ranks, with_row_index
 
 # The reference's split fractions.
 HOLDOUT_FRACTION = 0.2
@@ -53,7 +53,7 @@ def _label(df: DataFrame, h: Column, k: Column, probe: DataFrame, name: str) ->
     ``probe`` holds one ``(_sh, _sk)`` row per ranked unit (row or group); the
     unit count comes from the ranking pass itself.
     """
-    b_train, b_test = rows_at_ranks(probe, ["_sh", "_sk"], _boundary_ranks)
+    b_train, b_test = rows_at_hash_ranks(probe, "_sh", "_sk", _boundary_ranks)
     label = (F.when(_below(h, k, b_train), F.lit("train"))
               .when(_below(h, k, b_test), F.lit("test"))
               .otherwise(F.lit("valid")))
@@ -73,8 +73,8 @@ def split_exact(df: DataFrame, key: str, seed: int = 0, fraction: float = HOLDOU
                 name: str = "split") -> DataFrame:
     """two-way split, ``ceil(fraction * n)`` rows in ``test``."""
     h, k = split_hash(F.col(key), seed), F.col(key).cast("string")
-    (b_train,) = rows_at_ranks(df.select(h.alias("_sh"), k.alias("_sk")), ["_sh", "_sk"],
-                               lambda n: [n - math.ceil(n * fraction)])
+    (b_train,) = rows_at_hash_ranks(df.select(h.alias("_sh"), k.alias("_sk")), "_sh", "_sk",
+                                    lambda n: [n - math.ceil(n * fraction)])
     return df.withColumn(name, F.when(_below(h, k, b_train), "train").otherwise("test"))
 
 
@@ -130,13 +130,14 @@ def assign_batches(df: DataFrame, order_cols: list[str], num_batches: int,
         size = math.ceil(n / num_batches) if n else 1
         return list(range(size, n, size))
 
-    if df.groupBy(*order_cols).count().where("count > 1").limit(1).count():
-        # equal keys can't be told apart by a boundary: number the rows themselves
-        total = "_batch_total"
+    # each boundary with the row before it: equal keys there can't be told apart by comparison
+    pairs = rows_at_ranks(df.select(*order_cols), order_cols, lambda n: [x for r in ranks(n) for x in (r - 1, r)])
+    if any(a == b for a, b in zip(pairs[::2], pairs[1::2])):
+        total = "_batch_total"                                       # number the rows themselves
         indexed = with_row_index(df, order_cols, "_batch_row", total)
         size = F.greatest(F.ceil(F.col(total) / F.lit(num_batches)), F.lit(1))
         return indexed.withColumn(name, F.floor(F.col("_batch_row") / size).cast("bigint")).drop("_batch_row", total)
-    bounds = [b for b in rows_at_ranks(df.select(*order_cols), order_cols, ranks) if b]
+    bounds = pairs[1::2]
     if not bounds:
         return df.withColumn(name, F.lit(0).cast("bigint"))
     key = F.struct(*[F.col(c).alias(c) for c in order_cols])

@@ -71,3 +71,31 @@ def test_hash_split_fractions_and_repeatable(spark):
     a = df.select("k", splits.hash_split(F.col("k"), 1).alias("s")).orderBy("k").collect()
     b = df.repartition(3).select("k", splits.hash_split(F.col("k"), 1).alias("s")).orderBy("k").collect()
     assert a == b
+
+
+@pytest.mark.parametrize("digits,few", [(1, 2), (2, 5), (3, 10_000)])
+def test_hash_ranks_equal_sorting(spark, digits, few):
+    from corpusmill.operators.rowindex import rows_at_hash_ranks
+
+    df = spark.range(700).select(F.md5(F.col("id").cast("string")).alias("h"), F.col("id").cast("string").alias("k"))
+    want = sorted((r.h, r.k) for r in df.collect())
+    ranks = [0, 1, 349, 350, 698, 699, 700, 5000]
+    got = rows_at_hash_ranks(df, "h", "k", ranks, digits, few)
+    assert got == [want[r] if r < 700 else None for r in ranks]
+    assert rows_at_hash_ranks(df.limit(0), "h", "k", lambda n: [n, 0]) == [None, None]
+    nulls = df.limit(5).unionByName(spark.createDataFrame([(None, None)], "h string, k string"))
+    assert rows_at_hash_ranks(nulls, "h", "k", [0, 1], digits, few) == [("!", None), min((r.h, r.k) for r in df.limit(5).collect())]
+    twice = df.where("k in ('1', '2')").unionByName(df.where("k = '1'"))
+    assert rows_at_hash_ranks(twice, "h", "k", [0, 1, 2], digits, 1) == sorted((r.h, r.k) for r in twice.collect())
+
+
+def test_splits_sort_nothing(spark, monkeypatch):
+    from corpusmill.operators import rowindex
+
+    def fail(*a, **k):
+        raise AssertionError("a split sorted its rows")
+
+    monkeypatch.setattr(rowindex, "_sorted_tagged", fail)
+    out = splits.split_three_way(spark.range(1000).withColumnRenamed("id", "k"), "k", seed=3)
+    assert {r.split: r["count"] for r in out.groupBy("split").count().collect()} == {"train": 800, "test": 133, "valid": 67}
+    assert "rangepartitioning" not in out._jdf.queryExecution().executedPlan().toString()
