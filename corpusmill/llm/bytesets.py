@@ -98,6 +98,15 @@ def take_ranges(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
     return data[index]
 
 
+def room(values: np.ndarray, need: int) -> np.ndarray:
+    """The array, grown to twice its length at least where ``need`` is beyond it."""
+    if need <= len(values):
+        return values
+    out = np.zeros(max(need, 2 * len(values)), values.dtype)
+    out[:len(values)] = values
+    return out
+
+
 def covered(n: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Boolean mask of the positions inside any of the ranges."""
     delta = np.bincount(starts, minlength=n + 1)[:n + 1] - np.bincount(ends, minlength=n + 1)[:n + 1]

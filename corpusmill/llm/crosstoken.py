@@ -14,9 +14,9 @@ never cross a shuffle one by one.
 
 from __future__ import annotations
 
+import itertools
 import os
-from collections.abc import Iterator, Mapping
-from dataclasses import dataclass, field
+from collections.abc import Iterator
 from hashlib import sha256
 
 import numpy as np
@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.bytesets import column_bytes, take_ranges
+from corpusmill.llm.bytesets import column_bytes, room, take_ranges
 from corpusmill.session import cut_lineage
 
 #: Text bytes of one group of documents.
@@ -83,90 +83,124 @@ class Pieces:
         return [own if len(t) > 1 else [self._space] for own, t in zip(ids, texts)]
 
 
-def align(ids_a: list[int], ids_b: list[int], size_a: list[int], size_b: list[int]) -> tuple[list, list[tuple[int, int]]]:
-    """Groups ``(a ids, b ids)`` between common ends, and the links: token pairs whose byte ranges overlap."""
-    ends_a, ends_b = np.cumsum(size_a).tolist(), np.cumsum(size_b).tolist()
-    index_a, index_b = ({e: i for i, e in enumerate(ends)} for ends in (ends_a, ends_b))
-    groups, links, i0, j0 = [], [], 0, 0
-    for end in sorted(index_a.keys() & index_b.keys()):
-        i1, j1 = index_a[end] + 1, index_b[end] + 1
-        groups.append((ids_a[i0:i1], ids_b[j0:j1]))
-        i, j = i0, j0
-        while i < i1 and j < j1:
-            links.append((ids_a[i], ids_b[j]))
-            if ends_a[i] < ends_b[j]:
-                i += 1
-            elif ends_b[j] < ends_a[i]:
-                j += 1
-            else:
-                i, j = i + 1, j + 1
-        i0, j0 = i1, j1
-    return groups, links
-
-
-@dataclass
-class _Store:
-    """What is known of distinct stretches: counts, the groups' text, and pair keys in one flat array."""
+def align(size_a: np.ndarray, size_b: np.ndarray) -> tuple[list[int], list[int], list[int], np.ndarray, np.ndarray, np.ndarray]:
+    """Groups and links of two lists of tokens that spell the same bytes, from the tokens' byte sizes.
+
+    Returns the common ends in order, the number of A and of B tokens up to each (the
+    groups are the slices between), and the links in order: their last bytes' ends, A
+    token and B token. Two tokens share bytes exactly where one of the ends falls in both.
+    """
+    ends_a, ends_b = np.cumsum(size_a), np.cumsum(size_b)
+    index_a, index_b = (dict(zip(ends.tolist(), range(1, len(ends) + 1))) for ends in (ends_a, ends_b))
+    common = sorted(index_a.keys() & index_b.keys())
+    ends = _merged(ends_a, ends_b)
+    return (common, [index_a[e] for e in common], [index_b[e] for e in common],
+            ends, np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends))
+
+
+class _Vocabulary:
+    """A tokenizer's entries as bytes in one array, and its ids as text."""
 
-    number: dict[bytes, int] = field(default_factory=dict)
-    stats: list[tuple[int, int, int]] = field(default_factory=list)  # A ids, B ids, groups
-    groups: list[str | None] = field(default_factory=list)           # None: the bytes differ
-    keys: list[int] = field(default_factory=list)
-    edge: list[int] = field(default_factory=lambda: [0])
+    def __init__(self, entries: dict[int, bytes]):
+        n = max(entries) + 1
+        parts = [entries.get(i, b"") for i in range(n)]
+        self.size = np.array([len(p) for p in parts], np.int64)
+        self.at = np.cumsum(self.size) - self.size
+        self.data = np.frombuffer(b"".join(parts), np.uint8)
+        self.name = [str(i).encode() for i in range(n)]
+
+    def spell(self, ids: np.ndarray) -> np.ndarray:
+        return take_ranges(self.data, self.at[ids], self.size[ids])
+
+
+class _Store:
+    """Distinct stretches in the order they were met: counts, the groups' text, and pair keys in one flat array."""
+
+    def __init__(self):
+        self.number: dict[bytes, int] = {}
+        self.groups: list[bytes | None] = []                         # None: the tokens' bytes differ
+        self.stats = np.zeros((1 << 12, 3), np.int64)                # A ids, B ids, groups
+        self.edge, self.keys = np.zeros(1 << 12, np.int64), np.zeros(1 << 14, np.int64)
+
+    def add(self, stretches: list[bytes], groups: list[bytes | None], stats: np.ndarray, keys: np.ndarray, sizes: np.ndarray) -> None:
+        n = len(self.groups)
+        m, used = n + len(stretches), int(self.edge[n])
+        self.number.update(zip(stretches, range(n, m)))
+        self.groups += groups
+        if m > len(self.stats):
+            self.stats = np.concatenate([self.stats, np.zeros((max(m, len(self.stats)), 3), np.int64)])
+        self.stats[n:m] = stats
+        self.edge, self.keys = room(self.edge, m + 1), room(self.keys, used + len(keys))
+        self.edge[n + 1:m + 1] = used + np.cumsum(sizes)
+        self.keys[used:used + len(keys)] = keys
+
+    def spans(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = self.edge[numbers]
+        return at, self.edge[numbers + 1] - at
 
 
 class StretchAligner:
-    """Aligns whole texts, each distinct stretch once while it is remembered."""
+    """Aligns whole texts, each distinct stretch once while it is remembered.
 
-    _REMEMBERED = 400_000
+    Stretches of the last two generations are remembered; a generation ends after so many.
+    """
+
+    _REMEMBERED = 600_000
 
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = ByteLevel(path_a), Pieces(path_b)
+        self.tools = ByteLevel(path_a), Pieces(path_b)
+        self.vocabularies = [_Vocabulary(t.bytes) for t in self.tools]
         self._new, self._old = _Store(), _Store()
 
     def _learn(self, stretches: list[bytes]) -> None:
-        store = self._new
-        texts, odd = [], []
-        for s in stretches:
+        texts, good = [], np.ones(len(stretches), bool)
+        for k, s in enumerate(stretches):
             try:
                 texts.append(s.decode())
-                odd.append(False)
             except UnicodeDecodeError:                               # no tokenizer gives these bytes back
                 texts.append(" ")
-                odd.append(True)
-        for s, bad, a, b in zip(stretches, odd, self.a.encode(texts), self.b.encode(texts)):
-            parts_a, parts_b = [self.a.bytes[i] for i in a], [self.b.bytes[i] for i in b]
-            store.number[s] = len(store.stats)
-            if bad or b"".join(parts_a) != s or b"".join(parts_b) != s:
-                store.stats.append((0, 0, 0))
-                store.groups.append(None)
-            else:
-                groups, links = align(a, b, list(map(len, parts_a)), list(map(len, parts_b)))
-                store.stats.append((len(a), len(b), len(groups)))
-                store.groups.append(";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups))
-                store.keys += [x * _WIDE + y for x, y in links]
-            store.edge.append(len(store.keys))
+                good[k] = False
+        length = np.array([len(s) for s in stretches], np.int64)
+        ids, count = [], []
+        for tool, words in zip(self.tools, self.vocabularies):
+            own = tool.encode(texts)
+            count.append(np.array([len(x) for x in own], np.int64))
+            ids.append(np.fromiter(itertools.chain.from_iterable(own), np.int64, int(count[-1].sum())))
+            good &= _sums(words.size[ids[-1]], count[-1]) == length
+        # of the sizes that agree, compare the bytes; then only the stretches that agree are left
+        for k, words in enumerate(self.vocabularies):
+            raw = np.frombuffer(b"".join([s for s, g in zip(stretches, good.tolist()) if g]), np.uint8)
+            differs = words.spell(ids[k][np.repeat(good, count[k])]) != raw
+            good[np.flatnonzero(good)[_sums(differs, length[good]) > 0]] = False
+        ids = [x[np.repeat(good, n)] for x, n in zip(ids, count)]
+        a, b = (words.size[x] for words, x in zip(self.vocabularies, ids))
+        common, cut_a, cut_b, ends, i, j = align(a, b)
+        name_a, name_b = (list(map(words.name.__getitem__, x.tolist())) for words, x in zip(self.vocabularies, ids))
+        text = [b",".join(name_a[p:q]) + b"|" + b",".join(name_b[r:s])
+                for p, q, r, s in zip([0, *cut_a], cut_a, [0, *cut_b], cut_b)]
+        edges = np.cumsum(length[good])                              # a stretch's end is a common end
+        groups_to, links_to = np.searchsorted(common, edges, "right"), np.searchsorted(ends, edges, "right")
+        stats, sizes = np.zeros((len(stretches), 3), np.int64), np.zeros(len(stretches), np.int64)
+        stats[good] = np.stack([count[0][good], count[1][good], np.diff(groups_to, prepend=0)], axis=1)
+        sizes[good] = np.diff(links_to, prepend=0)
+        joined = iter([b";".join(text[p:q]) for p, q in zip([0, *groups_to[:-1].tolist()], groups_to.tolist())])
+        self._new.add(stretches, [next(joined) if g else None for g in good.tolist()], stats, ids[0][i] * _WIDE + ids[1][j], sizes)
 
     def _numbers(self, kinds: list[bytes]) -> np.ndarray:
-        if len(self._new.stats) > self._REMEMBERED:                  # two generations: what is still used comes back
+        if len(self._new.groups) > self._REMEMBERED:
             self._old, self._new = self._new, _Store()
         new, old = self._new, self._old
-        fresh = []
-        for s in kinds:
-            if s in new.number:
-                continue
-            k = old.number.get(s)
-            if k is None:
-                fresh.append(s)
-                continue
-            new.number[s] = len(new.stats)
-            new.stats.append(old.stats[k])
-            new.groups.append(old.groups[k])
-            new.keys += old.keys[old.edge[k]:old.edge[k + 1]]
-            new.edge.append(len(new.keys))
-        if fresh:
-            self._learn(fresh)
-        return np.array([new.number[s] for s in kinds], np.int64)
+        unmet = [s for s in kinds if s not in new.number]
+        if unmet and old.groups:                                     # stretches still in use come along
+            known = [s for s in unmet if s in old.number]
+            if known:
+                at = np.array([old.number[s] for s in known], np.int64)
+                lo, sizes = old.spans(at)
+                new.add(known, [old.groups[k] for k in at.tolist()], old.stats[at], take_ranges(old.keys, lo, sizes), sizes)
+                unmet = [s for s in unmet if s not in old.number]
+        if unmet:
+            self._learn(unmet)
+        return np.fromiter(map(new.number.__getitem__, kinds), np.int64, len(kinds))
 
     def read(self, data: np.ndarray, offs: np.ndarray):
         """Per text: A ids, B ids, groups, links, the groups' text; and its distinct pair keys with their occurrences.
@@ -175,34 +209,43 @@ class StretchAligner:
         """
         n = len(offs) - 1
         data, offs = _with_space(data, offs)
-        cuts = np.union1d(offs, _cuts(data))
-        length = np.diff(cuts)
-        coded = pa.Array.from_buffers(pa.large_binary(), len(length),
+        cuts = _merged(offs, _cuts(data))
+        coded = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1,
                                       [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
                                       ).dictionary_encode()
-        number = self._numbers(coded.dictionary.to_pylist())[coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)]
+        kinds = self._numbers(coded.dictionary.to_pylist())
+        which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         store = self._new
-        first = np.searchsorted(cuts, offs)
-        used, where = np.unique(number, return_inverse=True)
-        stats = np.array([store.stats[k] for k in used.tolist()], np.int64).reshape(len(used), 3)
-        good = np.array([store.groups[k] is not None for k in used.tolist()], bool)
-        lo = np.array([store.edge[k] for k in used.tolist()], np.int64)
-        size = np.array([store.edge[k + 1] for k in used.tolist()], np.int64) - lo
-        flat = np.array([x for a, b in zip(lo.tolist(), (lo + size).tolist()) for x in store.keys[a:b]], np.int64)
-        at = np.cumsum(size) - size
+        text = [store.groups[k] for k in kinds.tolist()]
+        whole = np.array([t is not None for t in text], bool)[which]
+        stats = store.stats[kinds][which]
+        at, size = (x[which] for x in store.spans(kinds))
+        first = np.searchsorted(cuts, offs).tolist()
         out = []
         for i in range(n):
-            own = where[first[i]:first[i + 1]]
-            if offs[i + 1] - offs[i] <= 1 or not good[own].all():    # the space alone: an empty text
-                out.append((0, 0, 0, 0, "", np.zeros(0, np.int64), np.zeros(0, np.int64)))
+            lo, hi = first[i], first[i + 1]
+            if offs[i + 1] - offs[i] <= 1 or not whole[lo:hi].all():  # the space alone: an empty text
+                out.append((0, 0, 0, 0, b"", np.zeros(0, np.int64), np.zeros(0, np.int64)))
                 continue
-            keys, times = np.unique(take_ranges(flat, at[own], size[own]), return_counts=True)
-            n_a, n_b, groups = stats[own].sum(axis=0).tolist()
-            text = ";".join([store.groups[k] for k in number[first[i]:first[i + 1]].tolist()])
-            out.append((n_a, n_b, groups, int(times.sum()), text, keys, times))
+            keys, times = np.unique(take_ranges(store.keys, at[lo:hi], size[lo:hi]), return_counts=True)
+            n_a, n_b, groups = stats[lo:hi].sum(axis=0).tolist()
+            out.append((n_a, n_b, groups, int(times.sum()), b";".join(map(text.__getitem__, which[lo:hi].tolist())), keys, times))
         return out
 
 
+def _merged(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The distinct values of two ascending arrays, ascending."""
+    both = np.sort(np.concatenate((a, b)), kind="stable")
+    return both[np.append(True, both[1:] != both[:-1])] if len(both) else both
+
+
+def _sums(values: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Sum of each run of ``counts`` consecutive values."""
+    total = np.concatenate(([0], np.cumsum(values, dtype=np.int64)))
+    edge = np.concatenate(([0], np.cumsum(counts)))
+    return total[edge[1:]] - total[edge[:-1]]
+
+
 def _with_space(data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Every text with a space in front."""
     n = len(offs) - 1
@@ -264,8 +307,8 @@ def _grouped(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: s
         for batch in batches:
             data, offs = column_bytes(batch.column(1))
             ids, at = batch.column(0).to_pylist(), 0
-            while at < len(ids):                                     # about 1 MB of text at a time
-                to = min(len(ids), max(at + 1, int(np.searchsorted(offs, offs[at] + (1 << 20)))))
+            while at < len(ids):                                     # about 2 MB of text at a time
+                to = min(len(ids), max(at + 1, int(np.searchsorted(offs, offs[at] + (2 << 20)))))
                 found = tool.read(data[offs[at]:offs[to]], offs[at:to + 1] - offs[at])
                 yield _rows(g, ids[at:to], found, digest)
                 held.append(np.unique(np.concatenate([f[5] for f in found]), return_counts=True))
@@ -288,7 +331,7 @@ def _batch(columns: list[list]) -> pa.RecordBatch:
 
 
 def _rows(g: int, ids: list, found: list, digest: bool) -> pa.RecordBatch:
-    groups = [sha256(f[4].encode()).hexdigest() if f[4] and digest else f[4] for f in found]
+    groups = [(sha256(f[4]).hexdigest() if f[4] else "") if digest else f[4].decode() for f in found]
     return _batch([[g] * len(ids), ids, *([f[k] for f in found] for k in range(4)), groups, [_squeeze(f[5], f[6]) for f in found]])
 
 

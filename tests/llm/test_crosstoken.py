@@ -93,6 +93,8 @@ def test_forgetting_changes_nothing(tools, monkeypatch):
 
 
 def test_align_by_hand():
-    groups, links = crosstoken.align([1, 2, 3], [7, 8, 9], [2, 1, 4], [1, 2, 4])
-    assert groups == [([1, 2], [7, 8]), ([3], [9])]
-    assert links == [(1, 7), (1, 8), (2, 8), (3, 9)]
+    import numpy as np
+
+    common, cut_a, cut_b, ends, i, j = crosstoken.align(np.array([2, 1, 4]), np.array([1, 2, 4]))
+    assert (common, cut_a, cut_b) == ([3, 7], [2, 3], [2, 3])
+    assert list(zip(ends.tolist(), i.tolist(), j.tolist())) == [(1, 0, 0), (2, 0, 1), (3, 1, 1), (7, 2, 2)]
