@@ -7,17 +7,25 @@
 3. Every page is read again: the elements on its host's winning path give the main
    text; a page without that path falls back on its own best container.
 
+Elements that never hold an article (menus, footers, scripts, hidden parts) are out. A
+class or id word such as ``sidebar`` and a form around it only make an element doubtful: it
+is out unless most of the page's text is in it and the article's title is too, or next to
+nothing would be left without it. So a layout wrapper of such a name keeps its article.
+
 The reader below handles broken markup: implied and missing end tags, comments, raw
-text elements. Pages are handled one by one and whole.
+text elements. Pages are handled one by one and whole, in time and memory that grow
+with their length, not with their depth.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +44,8 @@ summary table tbody td tfoot th thead tr ul caption colgroup""".split())
 _CONTAINER = frozenset("article body div main section td html center".split())
 _HEADING = frozenset("h1 h2 h3 h4 h5 h6".split())
 _NOT_TEXT = frozenset("""nav footer aside form button select option datalist dialog menu object embed canvas audio video
-map head script style noscript template iframe textarea title xmp noembed noframes svg math fieldset search""".split())
+map head script style noscript template iframe textarea title xmp noembed noframes svg math fieldset search""".split()) - {"form"}
+_COMMENTS = frozenset("comments commentlist disqus reply replies respond".split())
 _NOT_CLASS = frozenset("""nav navbar navigation menu submenu breadcrumb breadcrumbs sidebar aside footer masthead banner ad
 ads adv advert adverts advertisement advertising adsense sponsor sponsored sponsors promo promotion cookie cookies consent
 gdpr notice notices alert popup modal overlay newsletter subscribe subscription signup login share sharing social related
@@ -58,11 +67,21 @@ _DIGITS = re.compile(r"\d+")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "path", "out", "heading", "link", "score")
+    """An open element. What it has from its ancestors is set when it opens, so nothing walks up to the root."""
+
+    __slots__ = ("tag", "parent", "own", "key", "hard", "doubt", "heading", "level", "link", "article", "box", "near",
+                 "score", "out", "inside")
+
+    def __init__(self, tag: str, parent: _Node | None):
+        self.tag, self.parent = tag, parent
+        self.own, self.key, self.hard, self.doubt, self.heading = tag, 0, False, "", False
+        self.level, self.link, self.article, self.box, self.near = "", False, False, None, None
+        self.score, self.out, self.inside = 0.0, False, False
 
-    def __init__(self, tag, parent, path, out, heading, link):
-        self.tag, self.parent, self.path, self.out = tag, parent, path, out
-        self.heading, self.link, self.score = heading, link, 0.0
+    @property
+    def path(self) -> str:
+        """The tag-class path from the root, as its hash, and its last step."""
+        return f"{self.key:016x} {self.own}"
 
 
 def _attributes(raw: str) -> dict[str, str]:
@@ -72,61 +91,82 @@ def _attributes(raw: str) -> dict[str, str]:
     return out
 
 
-def _open(tag: str, raw: str, parent: _Node | None) -> _Node:
-    classes, out, headings = "", parent.out if parent else False, parent.heading if parent else False
+def _open(tag: str, raw: str, parent: _Node) -> _Node:
+    node = _Node(tag, parent)
+    node.hard, node.heading = parent.hard, parent.heading
     if raw and not raw.isspace():
         attrs = _attributes(raw)
         names = attrs.get("class", "").lower().split()
-        classes = "".join("." + _DIGITS.sub("#", c) for c in sorted(names)[:4])
-        if tag not in ("html", "body", "main") and not out:
+        node.own = tag + "".join("." + _DIGITS.sub("#", c) for c in sorted(names))
+        if tag not in ("html", "body", "main") and not node.hard:
             for name in [*names, attrs.get("id", "").lower()]:
                 parts = [x for x in _SPLIT.split(name) if x]
                 hit = _NOT_CLASS.intersection(parts)
                 if not hit or parts[0] in _NEGATION:
                     continue
                 if hit == {"header"} and {"article", "post", "entry", "story"} & set(parts):
-                    headings = True
+                    node.heading = True
                 elif tag != "article" or hit & {"comment", "comments", "reply", "related", "ad", "ads", "advert", "promo"}:
-                    out = True
-            out = out or attrs.get("role", "").lower() in _ROLES or "hidden" in attrs \
-                or attrs.get("aria-hidden") == "true" or "display:none" in attrs.get("style", "").replace(" ", "").lower()
+                    node.doubt = "comments" if hit & _COMMENTS or node.doubt == "comments" else "words"
+            node.hard = attrs.get("role", "").lower() in _ROLES or "hidden" in attrs or attrs.get("aria-hidden") == "true" \
+                or "display:none" in attrs.get("style", "").replace(" ", "").lower()
     if tag in _NOT_TEXT:
-        out = True
-    elif tag == "header" and not out:
-        if parent is not None and ("article" in parent.path or parent.tag == "main"):
-            headings = True                                          # an article's own header: its title stays
+        node.hard = True
+    elif tag == "form" and not node.doubt:
+        node.doubt = "words"
+    elif tag == "header" and not node.hard and not node.doubt:
+        if parent.article or parent.tag == "main":
+            node.heading = True                                      # an article's own header: its title stays
         else:
-            out = True
-    path = (parent.path + ">" if parent else "") + tag + classes
-    return _Node(tag, parent, path, out, headings, tag == "a" or (parent is not None and parent.link))
+            node.hard = True
+    node.key = xxhash.xxh64_intdigest(node.own, parent.key)
+    node.article = parent.article or "article" in node.own
+    node.level = tag if tag in _HEADING else parent.level
+    node.link = tag == "a" or parent.link
+    node.box = node if tag in _CONTAINER else parent.box
+    node.near = node if node.doubt else parent.near
+    return node
 
 
 def read(html: str) -> tuple[list[_Node], list[tuple[str, _Node, int]]]:
-    """Container elements in page order, and (text, innermost element, characters in links) of each text block."""
-    root = _Node("", None, "", False, False, False)
-    node, nodes, blocks = root, [], []
-    pieces: list[str] = []
-    owner, links, at, n = root, 0, 0, len(html)
+    """Elements in page order, and (text, innermost element, characters in links) of each text block that may count."""
+    nodes, pieces = _elements(html)
+    _settle(nodes, [p for block in pieces for p in block])
+    blocks = []
+    for block in pieces:
+        kept = [(raw, node) for raw, node in block if not node.out]
+        joined = " ".join("".join(raw for raw, _ in kept).split())
+        if joined:
+            owner = next(node for raw, node in kept if raw.strip())
+            blocks.append((joined, owner, sum(len(raw.strip()) for raw, node in kept if node.link)))
+    return nodes, blocks
+
+
+def _elements(html: str) -> tuple[list[_Node], list[list[tuple[str, _Node]]]]:
+    """All elements, and the pieces of text of every block with the element they stand in."""
+    root = _Node("", None)
+    node, nodes, blocks = root, [root], []
+    pieces: list[tuple[str, _Node]] = []
+    open_tags: Counter = Counter()
+    at, n = 0, len(html)
 
     def text(raw: str) -> None:
-        nonlocal owner, links
-        if node.out or (node.heading and not _in_heading(node)):
-            return
-        raw = unescape(raw) if "&" in raw else raw
-        if not pieces and raw.strip():
-            owner = node
-        if node.link:
-            links += len(raw.strip())
-        pieces.append(raw)
+        if not node.hard and (not node.heading or node.level):
+            pieces.append((unescape(raw) if "&" in raw else raw, node))
 
     def flush() -> None:
-        nonlocal links
         if pieces:
-            joined = " ".join("".join(pieces).split())
-            if joined:
-                blocks.append((joined, owner, links))
+            blocks.append(pieces.copy())
             pieces.clear()
-        links = 0
+
+    def close(last: _Node) -> _Node:
+        """End ``last`` and all that is open in it."""
+        up = node
+        while up is not last:
+            open_tags[up.tag] -= 1
+            up = up.parent
+        open_tags[last.tag] -= 1
+        return last.parent
 
     while at < n:
         m = _TOKEN.search(html, at)
@@ -143,24 +183,24 @@ def read(html: str) -> tuple[list[_Node], list[tuple[str, _Node, int]]]:
         if m[1]:
             if tag in _BLOCK:
                 flush()
-            up = node
-            while up is not root and up.tag != tag:
-                if up.tag in ("td", "th", "table") and tag not in ("td", "th", "tr", "table", "tbody", "thead", "tfoot"):
-                    up = root                                        # a cell's end tags don't close what is around the table
-                    break
-                up = up.parent
-            if up is not root:
-                node = up.parent
+            if open_tags[tag]:
+                up = node
+                while up.tag != tag:
+                    if up.tag in ("td", "th", "table") and tag not in ("td", "th", "tr", "table", "tbody", "thead", "tfoot"):
+                        break                                        # a cell's end tags don't close what is around the table
+                    up = up.parent
+                if up.tag == tag:
+                    node = close(up)
             continue
         if tag == "br":
-            pieces.append(" ")
+            pieces.append((" ", node))
             continue
         if tag in _BLOCK:
             flush()
             up = node                                                # elements that this start tag ends
             while up is not root:
                 if tag in _CLOSED_BY.get(up.tag, ()):
-                    node = up.parent
+                    node = close(up)
                     if up.tag in ("td", "th", "tr"):
                         up = node
                         continue
@@ -174,77 +214,86 @@ def read(html: str) -> tuple[list[_Node], list[tuple[str, _Node, int]]]:
             end = re.compile(rf"</{tag}\s*[^>]*>", re.I).search(html, at)
             at = end.end() if end else n
             continue
-        node = _open(tag, m[3], node if node is not root else None)
-        if node.parent is None:
-            node.parent = root
-        if tag in _CONTAINER and not node.out:
-            nodes.append(node)
+        node = _open(tag, m[3], node)
+        open_tags[tag] += 1
+        nodes.append(node)
     flush()
     return nodes, blocks
 
 
-def _in_heading(node: _Node) -> bool:
-    while node is not None and node.tag:
-        if node.tag in _HEADING:
-            return True
-        node = node.parent
-    return False
+def _settle(nodes: list[_Node], pieces: list[tuple[str, _Node]]) -> None:
+    """Decide which doubtful elements are out: ``out`` of every element."""
+    chars, titles = Counter(), Counter()                             # by the nearest doubtful element; None: outside all
+    for raw, node in pieces:
+        if not node.link:
+            chars[node.near] += len(raw.strip())
+    for node in nodes:
+        if not node.hard and not node.doubt and node.tag in ("h1", "main", "article"):
+            titles[node.near] += 1
+    doubtful = [x for x in nodes if x.doubt]
+    total = sum(chars.values())
+    held, named = {}, {}                                             # with the doubtful elements inside
+    for x in reversed(doubtful):
+        held[x] = held.get(x, 0) + chars[x]
+        named[x] = named.get(x, 0) + titles[x]
+        up = x.parent.near
+        if up is not None:
+            held[up] = held.get(up, 0) + held[x]
+            named[up] = named.get(up, 0) + named[x]
+    kept, title = chars[None], titles[None]
+    lifted = set()
+    for x in doubtful:                                               # outer ones first
+        if 2 * held[x] > total and (named[x] and not title or 10 * kept < held[x] and x.doubt != "comments"):
+            lifted.add(x)
+            kept, title = kept + chars[x], title + titles[x]
+    for x in nodes:
+        x.out = x.hard or (x.parent is not None and x.parent.out) or bool(x.doubt and x not in lifted)
 
 
 def score_containers(nodes: list[_Node], blocks: list[tuple[str, _Node, int]]) -> list[_Node]:
     """Containers by falling score: a block's text without links counts in full for the nearest, then by halves."""
     for text, owner, links in blocks:
         worth = max(0, len(text) - 3 * links)
-        node = owner
-        while worth >= 1 and node is not None:
-            if node.tag in _CONTAINER and not node.out:
-                node.score += worth * (1.25 if node.tag in ("article", "main") else 1.0)
-                worth /= 2
-            node = node.parent
+        box = owner.box
+        while worth >= 1 and box is not None:
+            box.score += worth * (1.25 if box.tag in ("article", "main") else 1.0)
+            worth /= 2
+            box = box.parent.box
     return sorted((x for x in nodes if x.score > 0), key=lambda x: -x.score)
 
 
 def extract(html: str, path: str | None) -> tuple[str, str | None]:
     """Main text on ``path``, or in the page's own best container; and the path used."""
     nodes, blocks = read(html)
-    chosen = {id(x) for x in nodes if x.path == path} if path else set()
-    if not chosen or not any(_inside(owner, chosen) for _, owner, _ in blocks):
+    if not path or not _mark(nodes, blocks, path):
         best = score_containers(nodes, blocks)
         if not best:
             return "\n".join(t for t, _, _ in blocks), None          # text outside all containers
         path = best[0].path
-        chosen = {id(x) for x in nodes if x.path == path}
-    inside = [_inside(owner, chosen) for _, owner, _ in blocks]
+        _mark(nodes, blocks, path)
+    inside = [owner.inside for _, owner, _ in blocks]
     first = inside.index(True) if True in inside else 0
-    if first and not any(k and _in_heading(o) and _level(o) == "h1" for (_, o, _), k in zip(blocks, inside)):
+    if first and not any(k and o.level == "h1" for (_, o, _), k in zip(blocks, inside)):
         # a title that stands right before the container belongs to it
-        if _level(blocks[first - 1][1]) in ("h1", "h2"):
+        if blocks[first - 1][1].level in ("h1", "h2"):
             inside[first - 1] = True
     return "\n".join(t for (t, _, _), k in zip(blocks, inside) if k), path
 
 
-def _level(node: _Node) -> str:
-    while node is not None and node.tag:
-        if node.tag in _HEADING:
-            return node.tag
-        node = node.parent
-    return ""
-
-
-def _inside(node: _Node, chosen: set[int]) -> bool:
-    while node is not None:
-        if id(node) in chosen:
-            return True
-        node = node.parent
-    return False
+def _mark(nodes: list[_Node], blocks: list[tuple[str, _Node, int]], path: str) -> bool:
+    """Mark the elements on the path and all inside them; is there any text?"""
+    key, own = int(path[:16], 16), path[17:]
+    for x in nodes:
+        x.inside = x.parent is not None and x.parent.inside or x.key == key and x.own == own and x.box is x
+    return any(owner.inside for _, owner, _ in blocks)
 
 
 def host_of(url):
     return F.coalesce(F.regexp_extract(F.lower(url), r"^[a-z][a-z0-9+.\-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1), F.lit(""))
 
 
-def vote(pages: DataFrame, *, html_col: str = "html", url_col: str = "url", most: int = 3) -> DataFrame:
-    """``host, path, votes, pages``: each page's ``most`` best containers vote, the best with 1."""
+def vote(pages: DataFrame, *, html_col: str = "html", url_col: str = "url") -> DataFrame:
+    """``host, path, votes, pages``: each page's containers vote by their score, the best with 1."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -252,7 +301,7 @@ def vote(pages: DataFrame, *, html_col: str = "html", url_col: str = "url", most
                 part = batch.slice(at, 500)
                 host, path, votes = [], [], []
                 for h, html in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    best = score_containers(*read(html or ""))[:most]
+                    best = score_containers(*read(html or ""))
                     for x in best:
                         host.append(h)
                         path.append(x.path)
