@@ -78,23 +78,45 @@ def split_quotas(quotas: np.ndarray, shards: int, lo: int, hi: int, seed: int) -
     return out
 
 
+#: numpy's sampler takes populations below this.
+_SAMPLER_LIMIT = 1_000_000_000
+
+
 def _hypergeometric(have: np.ndarray, take: int, rng: np.random.Generator) -> np.ndarray:
     out, rest = np.zeros(len(have), np.int64), int(have.sum())
     for i, n in enumerate(have.tolist()):
         rest -= n
         if n and take:
-            # numpy's sampler holds below 10^9; beyond that the normal limit is exact to a rounding
-            if n + rest < 1_000_000_000:
-                x = int(rng.hypergeometric(n, rest, take)) if rest else take
+            if not rest:
+                x = take
+            elif n + rest < _SAMPLER_LIMIT:
+                x = int(rng.hypergeometric(n, rest, take))
             else:
-                p, all_ = n / (n + rest), n + rest
-                spread = math.sqrt(take * p * (1 - p) * max(0.0, (all_ - take) / max(1, all_ - 1)))
-                x = min(n, take, max(take - rest, round(take * p + spread * float(rng.standard_normal()))))
+                x = _inverted(n, rest, take, float(rng.random()))
             out[i] = x
             take -= x
     return out
 
 
+def _inverted(n: int, rest: int, take: int, u: float) -> int:
+    """Hypergeometric draw of any size by inverting the distribution function at ``u``.
+
+    Weights come from the ratios of neighbouring probabilities, over all values within 13
+    standard deviations of the mean: what lies beyond is less than a double resolves.
+    """
+    whole = n + rest
+    mean = take * n / whole
+    spread = math.sqrt(mean * (rest / whole) * (whole - take) / max(1, whole - 1))
+    low, high = max(0, take - rest), min(n, take)
+    lo = max(low, math.floor(mean - 13 * spread) - 30)
+    hi = min(high, math.ceil(mean + 13 * spread) + 30)
+    x = np.arange(lo, hi, dtype=np.float64)                          # exact: below 2 ** 53
+    ratio = np.log(n - x) + np.log(take - x) - np.log(x + 1) - np.log(rest - take + x + 1)
+    log = np.concatenate(([0.0], np.cumsum(ratio)))
+    weight = np.cumsum(np.exp(log - log.max()))
+    return min(hi, lo + int(np.searchsorted(weight, u * weight[-1], side="right")))
+
+
 def permuted(index: np.ndarray, n: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Rank of each index in a seeded permutation of [0, n): a Feistel network, walked until it lands inside."""
     bits = np.maximum(2, np.ceil(np.log2(np.maximum(n, 2))).astype(np.int64))
