@@ -3,7 +3,7 @@
 Lines are compared as word sequences, edits are counted in words. A line goes if an
 earlier line (by document id, then line number) has the same words, or, where both
 have at least ``min_words`` words, is one word edit away (a word changed, added or
-removed).
+removed). From 5 words on, lines one edit apart are alike to 0.8 or more.
 
 1. Exact: lines are hashed (128 bits), each distinct one keeps its first place.
 2. Who can have a partner: lines one edit apart share their first or their last half,
@@ -123,7 +123,7 @@ def _near_duplicates(cells: DataFrame) -> DataFrame:
     return spot.where("i > 0 and abs(na - nb) <= 1").where(rest_a == rest_b).select("at").distinct()
 
 
-def dedup_lines(docs: DataFrame, *, min_words: int = 10, id_col: str = "doc_id", text_col: str = "text",
+def dedup_lines(docs: DataFrame, *, min_words: int = 5, id_col: str = "doc_id", text_col: str = "text",
                 counts: bool = True) -> DataFrame:
     """Every input row with ``text_col`` reduced to its kept lines; all other columns stay.
 

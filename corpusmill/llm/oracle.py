@@ -26,19 +26,12 @@ WITH lines AS (
   SELECT doc_id, l, line, {_WORDS.format("line")} AS w FROM lines
 ), firsts AS (
   SELECT w, min((doc_id, l)) AS place, len(w) AS n FROM cut WHERE len(w) > 0 GROUP BY w
-), half AS (
-  SELECT place, w, n, unnest([array_to_string(w[1:n // 2], ' ') || '|p', array_to_string(w[n - n // 2 + 1:], ' ') || '|s',
-    array_to_string(w[1:(n + 1) // 2], ' ') || '|p', array_to_string(w[n - (n + 1) // 2 + 1:], ' ') || '|s']) AS k
-  FROM firsts WHERE n >= 10
-), pairs AS (
-  SELECT DISTINCT a.place, a.w AS v, b.w, a.n AS nv, b.n AS nw FROM half a JOIN half b ON a.k = b.k AND b.place < a.place AND abs(a.n - b.n) <= 1
-), run AS (
-  SELECT place, nv, nw,
-    coalesce(list_position(list_transform(range(1, least(nv, nw) + 1), lambda i: v[i] = w[i]), false) - 1, least(nv, nw)) AS p,
-    coalesce(list_position(list_transform(range(1, least(nv, nw) + 1), lambda i: v[nv + 1 - i] = w[nw + 1 - i]), false) - 1, least(nv, nw)) AS s
-  FROM pairs
+), less AS (
+  SELECT place, n, i, w[1:i - 1] || w[i + 1:] AS v FROM firsts, range(1, n + 1) r(i) WHERE n >= 4
 ), near AS (
-  SELECT DISTINCT place FROM run WHERE p + s >= greatest(nv, nw) - 1
+  SELECT b.place FROM less a JOIN less b ON a.v = b.v AND a.i = b.i AND a.n = b.n AND a.n >= 5 AND a.place < b.place
+  UNION
+  SELECT greatest(l.place, f.place) FROM less l JOIN firsts f ON f.w = l.v WHERE f.n >= 5
 ), kept AS (
   SELECT c.doc_id, c.l, c.line FROM cut c LEFT JOIN firsts f ON f.w = c.w
   WHERE len(c.w) = 0 OR (f.place = (c.doc_id, c.l) AND f.place NOT IN (SELECT place FROM near))
