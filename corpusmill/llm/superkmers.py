@@ -31,14 +31,25 @@ def _word_hashes(data, starts, ends, base):
     return range_hash(mix(data.astype(np.uint64) + np.uint64(base & 0xFFFF) + np.uint64(1)), starts, ends, base)
 
 
-def _smallest(keys: list[np.ndarray], doc: np.ndarray) -> np.ndarray:
-    """Smallest ``doc`` among the rows that have equal keys."""
+def _smallest(words: np.ndarray, starts: np.ndarray, ends: np.ndarray, doc: np.ndarray) -> np.ndarray:
+    """Smallest ``doc`` among the stretches ``words[start:end]`` that are equal; hashes only bring them together.
+
+    Of unequal stretches with equal hashes, equal ones may stay apart: those are then settled elsewhere.
+    """
+    mixed = mix(words.astype(np.uint64) + np.uint64(5))
+    size = ends - starts
+    keys = [size, *(range_hash(mixed, starts, ends, b) for b in _BASES)]
     order = np.lexsort(keys)
     new = np.zeros(len(doc), bool)
     new[:1] = True
     for k in keys:
         s = k[order]
         new[1:] |= s[1:] != s[:-1]
+    pair = np.flatnonzero(~new)
+    if len(pair):
+        this, before, n = starts[order[pair]], starts[order[pair - 1]], size[order[pair]]
+        same = take_ranges(words, this, n) == take_ranges(words, before, n)
+        new[pair] = ~np.logical_and.reduceat(same, np.cumsum(n) - n)
     at = np.flatnonzero(new)
     low = np.minimum.reduceat(doc[order], at) if len(at) else doc[:0]
     out = np.empty(len(doc), doc.dtype)
@@ -46,16 +57,26 @@ def _smallest(keys: list[np.ndarray], doc: np.ndarray) -> np.ndarray:
     return out
 
 
+def _word_ids(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Exact number of each word among the distinct words."""
+    length = ends - starts
+    words = pa.Array.from_buffers(
+        pa.large_binary(), len(starts),
+        [None, pa.py_buffer(np.concatenate(([0], np.cumsum(length))).astype(np.int64)),
+         pa.py_buffer(take_ranges(data, starts, length))])
+    return words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+
+
 def _scatter(text: X.GroupText, buckets: int, k: int, m: int):
     none = np.zeros(0, np.int64)
     starts, ends, first = word_bounds(text.data, text.offs)
     n = len(starts)
     if n < k:
         return [], [], (none, none)
-    hashes = [_word_hashes(text.data, starts, ends, b) for b in _BASES]
-    gram = hashes[0][:n - m + 1].copy()
+    hashes = _word_hashes(text.data, starts, ends, _BASES[0])
+    gram = hashes[:n - m + 1].copy()
     for j in range(1, m):
-        gram += hashes[0][j:n - m + 1 + j] * np.uint64(2 * j + 3)
+        gram += hashes[j:n - m + 1 + j] * np.uint64(2 * j + 3)
     least = sliding_min(mix(gram), k - m + 1)                       # of the window that starts at each word
     doc = np.repeat(np.arange(len(first) - 1), np.diff(first))[:n - k + 1]
     ok = (np.arange(n - k + 1) + k <= first[doc + 1]) & text.known[doc]
@@ -69,7 +90,7 @@ def _scatter(text: X.GroupText, buckets: int, k: int, m: int):
     w1 = np.flatnonzero(stop) + k                                   # last word + 1
     d = doc[s0]
     ids = text.id[d]
-    low = _smallest([range_hash(h, s0, w1, b) for h, b in zip(hashes, _BASES)], ids)
+    low = _smallest(_word_ids(text.data, starts, ends), s0, w1, ids)
     travel = ids == low
     done = X.settled_runs(n, first, s0[~travel], w1[~travel])
     s0, w1, ids = s0[travel], w1[travel], ids[travel]
@@ -117,12 +138,7 @@ def _settle(blobs: list[bytes], k: int):
     doc_id, pos, size, data = (np.concatenate([p[j] for p in parts]) for j in range(4))
     offs = np.concatenate(([0], np.cumsum(size.astype(np.int64))))
     starts, ends, first = word_bounds(data, offs)
-    length = ends - starts
-    words = pa.Array.from_buffers(
-        pa.large_binary(), len(starts),
-        [None, pa.py_buffer(np.concatenate(([0], np.cumsum(length))).astype(np.int64)),
-         pa.py_buffer(take_ranges(data, starts, length))])
-    ids = words.dictionary_encode().indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    ids = _word_ids(data, starts, ends)
     nwin = np.diff(first) - (k - 1)
     piece = np.repeat(np.arange(len(nwin)), nwin)
     rel = np.arange(len(piece)) - np.repeat(np.cumsum(nwin) - nwin, nwin)

@@ -98,3 +98,12 @@ def test_loser_tree_is_a_stable_merge_with_its_prefix_array():
     merged = [flat[k] for k in order]
     assert merged == sorted(items)
     assert share[1:] == [common(x, y) for x, y in zip(merged, merged[1:])]
+
+
+def test_words_with_colliding_hashes_stay(documents):
+    """Thue-Morse words and their complements: polynomial hashes modulo 2^64 are equal for every odd base."""
+    bits = [bin(i).count("1") & 1 for i in range(1 << 11)]
+    word, other = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    rows = [(i, " ".join([word if i % 2 else other] * 16) + f" end{i}", "s") for i in range(1, 25)]
+    got = {r.doc_id: r.n_removed for r in dedup_windows(documents(rows), group_bytes=1 << 22).collect()}
+    assert got == {i: 16 if i > 2 else 0 for i in range(1, 25)}
