@@ -10,6 +10,8 @@ A block ends at its end tag or at the next block start, so no text repeats.
 
 from __future__ import annotations
 
+import json
+from html import unescape
 from html.entities import html5
 
 from pyspark.sql import Column
@@ -41,7 +43,10 @@ ENTITIES = (
 OPEN_MARK, CLOSE_MARK, NAME_MARK, ESCAPE = "\u0001", "\u0002", "\u0003", "\u0004"
 _CONTROL = "[\u0001-\u0004]"
 _USUAL = "|".join(ref[1:] for ref, _ in ENTITIES)
-_REFERENCE = r"^(#[0-9]{1,7};|#[xX][0-9a-fA-F]{1,6};|[A-Za-z][A-Za-z0-9]*;)"
+_NUMBER = r"^(?:#([0-9]+)|#[xX]([0-9a-fA-F]+));?"
+_NAME = r"^[^\t\n\f <&#;]{1,32};?"
+# names that hold without a semicolon, too, longest first
+_OPEN_NAMES = "^(?:" + "|".join(sorted((k for k in html5 if not k.endswith(";")), key=lambda k: (-len(k), k))) + ")"
 
 
 def _col(c: Column | str) -> Column:
@@ -54,36 +59,45 @@ def decode_entities(c: Column | str) -> Column:
     usual = c
     for ref, ch in ENTITIES:
         usual = F.replace(usual, F.lit(ref), F.lit(ch))
-    other = c.rlike(f"&(?!{_USUAL})(?:#[0-9xX]|[A-Za-z][A-Za-z0-9]*;)")
+    other = c.rlike(f"&(?!{_USUAL})(?:#[0-9xX]|[A-Za-z])")
     return F.when(other, _decode_any(c)).otherwise(usual)
 
 
 def _decode_any(c: Column) -> Column:
-    """Each "&" starts a piece; a known reference at its head becomes its character."""
-    names = F.from_json(F.lit(_names_json()), "map<string,string>")
+    """Each "&" starts a piece; a reference at its head becomes its characters, as the HTML standard reads it.
+
+    Numbers of any length, a missing semicolon, the numbers that stand for other characters
+    or for none, and names that hold without a semicolon as the longest that fits.
+    """
+    names = F.from_json(F.lit(json.dumps(html5)), "map<string,string>")
+    odd = F.from_json(F.lit(json.dumps(_odd_numbers())), "map<string,string>")
 
     def piece(p: Column) -> Column:
-        ref = F.regexp_extract(p, _REFERENCE, 1)
-        digits = F.regexp_extract(ref, r"^#[xX]?([0-9a-fA-F]+);$", 1)
-        hexed = F.when(ref.rlike("^#[xX]"), digits).otherwise(F.conv(digits, 10, 16))
-        code = F.conv(hexed, 16, 10).cast("long")
-        valid = code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
-        number = F.when(valid, F.decode(F.unhex(F.lpad(hexed, 8, "0")), "UTF-32")).otherwise(F.lit("\ufffd"))
-        char = F.when(ref.startswith("#"), number).otherwise(F.try_element_at(names, ref))
-        whole = F.concat(F.lit("&"), p)
-        return F.when((ref == "") | char.isNull(), whole).otherwise(
-            F.concat(char, F.substring(p, F.length(ref) + 1, F.length(p))))
+        decimal, hexed = (F.regexp_replace(F.regexp_extract(p, _NUMBER, k), "^0+(?=.)", "") for k in (1, 2))
+        low = (F.length(decimal) <= 7) & (F.length(hexed) <= 6)      # longer ones are no code points
+        code = F.when(low, F.when(decimal != "", decimal.cast("long")).otherwise(F.conv(hexed, 16, 10).cast("long")))
+        valid = (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        plain = F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
+        char = F.when(valid, F.coalesce(F.try_element_at(odd, code.cast("string")), plain)).otherwise(F.lit("\ufffd"))
+        number, name = F.regexp_extract(p, _NUMBER, 0), F.regexp_extract(p, _NAME, 0)
+        short = F.regexp_extract(p, _OPEN_NAMES, 0)
+        known = F.try_element_at(names, name)
+
+        def then(head: Column, text: Column) -> Column:
+            return F.concat(text, F.substring(p, F.length(head) + 1, F.length(p)))
+
+        return (F.when(number != "", then(number, char)).when(known.isNotNull(), then(name, known))
+                .when(short != "", then(short, F.try_element_at(names, short))).otherwise(F.concat(F.lit("&"), p)))
 
     pieces = F.split(c, "&", -1)
     return F.concat(F.get(pieces, F.lit(0)), F.array_join(
         F.transform(F.slice(pieces, 2, F.greatest(F.size(pieces) - 1, F.lit(1))), piece), ""))
 
 
-def _names_json() -> str:
-    """Python's table of named references, those that end in a semicolon."""
-    import json
-
-    return json.dumps({k: v for k, v in html5.items() if k.endswith(";")})
+def _odd_numbers() -> dict[str, str]:
+    """Numbers that don't stand for the code point of that number: control and non-characters."""
+    codes = [*range(0xA0), *range(0xFDD0, 0xFDF0), *(plane << 16 | low for plane in range(17) for low in (0xFFFE, 0xFFFF))]
+    return {str(n): out for n in codes if (out := unescape(f"&#{n};")) != chr(n)}
 
 
 def _escape(c: Column) -> Column:

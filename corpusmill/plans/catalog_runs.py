@@ -207,6 +207,29 @@ def blocks_dropped(spark, sf_dir):
     return B.drop_blocks(B.extract_blocks(pages, mode="leaf"))
 
 
+# References that are written in other ways than the usual, and what they stand for (oracle_runs).
+REFERENCES = ("&#65;&#x42;&#67", "&copy 2020 &copyx", "&notit; &notin;", "&#128;&#150;", "&#00000000000000000065;", "&#x110000;|&#0;",
+              "&AMP;&ampersand;", "AT&T & &nosuch;", "&frac12;&Eacute &eacute;", "&amp;lt;")
+
+
+def references(spark, sf_dir):
+    """B3b on pages that begin with a paragraph of unusual character references, in both forms."""
+    text = F.element_at(F.array(*[F.lit(t) for t in REFERENCES]), (F.col("page_id") % len(REFERENCES) + 1).cast("int"))
+    pages = read_table(spark, sf_dir, "pages").withColumn("html", F.concat(F.lit("<p>"), text, F.lit("</p>"), F.col("html")))
+    leaf, nested = (B.extract_blocks(pages, mode=m).where("pos = 0") for m in B.MODES[::-1])
+    return (leaf.select("url", F.col("text").alias("leaf")).join(nested.select("url", F.col("text").alias("nested")), "url")
+            .join(pages.select("url", "page_id"), "url").select("page_id", "leaf", "nested"))
+
+
+def links_attributes(spark, sf_dir):
+    """B7 on pages that begin with anchors whose other attributes look like a link."""
+    page = F.col("page_id").cast("string")
+    extra = F.concat(F.lit("<a data-href='/no' href='/one"), page, F.lit("'>x</a><a data-href=/no>y</a><a title=\"href='/no'\" HREF = /two"), page,
+                     F.lit(">z</a><!-- <a href=/no> --><template><a href=\"/three&amp;"), page, F.lit("\"></a></template><a href=''>e</a><abbr href=/no>"))
+    pages = read_table(spark, sf_dir, "pages").withColumn("html", F.concat(extra, F.col("html")))
+    return links.extract_links(pages).where("pos < 4")
+
+
 def crawl_records_typed(spark, sf_dir):
     """C5 over all content types: HTML, HTML that doesn't decode, PDF with and without page texts, others."""
     pages = catalog.linked_pages(spark, sf_dir)
@@ -269,5 +292,5 @@ def stream_counters(spark, sf_dir):
 def queries() -> dict:
     return {f.__name__: f for f in (
         commit_resume, commit_status, stream_first_records, stream_generate, records_roundtrip, record_positions, export_last_record,
-        export_files, examples_roundtrip, splits_roundtrip, crawl_and_save, run_backup, decode_bodies, blocks_dropped,
+        export_files, examples_roundtrip, splits_roundtrip, crawl_and_save, run_backup, decode_bodies, blocks_dropped, references, links_attributes,
         crawl_records_typed, chunks_decimal, links_by_rules, lookback_gaps, crawl_rounds, stream_counters)}
