@@ -19,7 +19,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusmill.session import cut_lineage
@@ -71,6 +71,21 @@ def with_row_index(df: DataFrame, order_cols: Sequence[str | Column], name: str
     return out.select(*cols)
 
 
+def with_total_before(df: DataFrame, order_cols: Sequence[str], value: str, name: str) -> DataFrame:
+    """Sum of ``value`` over all rows before each one in ``order_cols`` order (make the order total).
+
+    Sums per sorted partition reach the driver; within a partition a window adds up.
+    """
+    tagged = _sorted_tagged(df, order_cols).drop(_MID)
+    sums = dict(tagged.groupBy(_PID).agg(F.sum(value).alias(_CNT)).collect())
+    offsets = [0]
+    for p in range(max(sums, default=-1) + 1):
+        offsets.append(offsets[-1] + int(sums.get(p) or 0))
+    inside = Window.partitionBy(_PID).orderBy(*order_cols).rowsBetween(Window.unboundedPreceding, -1)
+    base = F.element_at(F.lit(offsets).cast("array<bigint>"), F.col(_PID) + 1)
+    return tagged.withColumn(name, base + F.coalesce(F.sum(value).over(inside), F.lit(0))).drop(_PID)
+
+
 def rows_at_ranks(df: DataFrame, order_cols: Sequence[str],
                   ranks: Sequence[int] | Callable[[int], Sequence[int]]) -> list:
     """Values of ``order_cols`` at the given 0-based ranks (None past the end).

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusmill.operators.rowindex import with_total_before
 from corpusmill.schemas import EXAMPLE_DDL, RECORD_DDL
 from corpusmill.session import cut_lineage
 
@@ -42,8 +43,7 @@ def read_records_in_order(spark: SparkSession, path: str) -> DataFrame:
         "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_start"),
         F.monotonically_increasing_id().alias("_at"))
     splits = cut_lineage(rows.groupBy("_file", "_start").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")))
-    before = Window.orderBy("_file", "_start").rowsBetween(Window.unboundedPreceding, -1)    # a row per split, not per record
-    placed = splits.withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    placed = with_total_before(splits, ["_file", "_start"], "_n", "_before")         # a row per split, not per record
     return rows.join(placed.drop("_n"), ["_file", "_start"]).select(
         (F.col("_before") + F.col("_at") - F.col("_first")).alias("ord"), "url", "text")
 
