@@ -98,6 +98,13 @@ def take_ranges(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np
     return data[index]
 
 
+def byte_list(col: pa.Array) -> list[bytes]:
+    """The values of a large binary array without nulls: one copy of the data, then slices."""
+    data, offs = column_bytes(col)
+    raw, edge = data.tobytes(), offs.tolist()
+    return [raw[a:b] for a, b in zip(edge, edge[1:])]
+
+
 def room(values: np.ndarray, need: int) -> np.ndarray:
     """The array, grown to twice its length at least where ``need`` is beyond it."""
     if need <= len(values):

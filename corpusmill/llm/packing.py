@@ -3,7 +3,7 @@
 1. Documents are tokenised and cut into pieces where only the document's own length
    decides: full windows, and a remainder in pieces of at most a quarter window. Piece
    checksums are made there; token ids never cross a shuffle.
-2. Remainders are hashed to blocks of a bounded number of tokens. In a block every
+2. Full windows are sequences as they are. Remainders are hashed to blocks of a bounded number of tokens. In a block every
    piece starts as a partial partition of k windows, one of which holds it. The two
    partitions with the largest imbalance merge, the fullest window of one with the
    emptiest of the other, until one partition is left: near-equal windows. If one
@@ -15,6 +15,7 @@ from __future__ import annotations
 import heapq
 import math
 import os
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -23,33 +24,73 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusmill.llm.bytesets import column_bytes, take_ranges, word_bounds
+from corpusmill.llm.bytesets import byte_list, column_bytes, room, take_ranges, word_bounds
+from corpusmill.llm.crosstoken import byte_level_letters
 
 PIECE = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long"
 OUT = PIECE + ", sequence_id long, offset long"
+#: Sequences of one full window are numbered from here on, packed ones by block below.
+FULL_WINDOWS = 1 << 62
 
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[ord("A"):ord("Z") + 1] += 32
+#: Marks that the tokenizer parts from a letter before them.
+_ENDS = frozenset((b".", b",", b";", b":", b"!", b"?"))
+
+
+_IS_END, _IS_LETTER = np.zeros(256, bool), np.zeros(256, bool)
+_IS_END[[b[0] for b in _ENDS]] = True
+_IS_LETTER[ord("a"):ord("z") + 1] = _IS_LETTER[ord("A"):ord("Z") + 1] = True
+_LETTERS = {byte: letter for letter, byte in byte_level_letters().items()}
+
+
+def _plain(word: str) -> bool:
+    """Lower-case letters of Latin, Greek or Cyrillic, composed: the tokenizer's normaliser leaves them alone."""
+    return word.isalpha() and max(word) < "\u0500" and word.lower() == word and unicodedata.is_normalized("NFC", word)
+
+
+class _Words:
+    """Distinct words in the order they were met, and their ids in one flat array."""
+
+    def __init__(self):
+        self.number: dict[bytes, int] = {}
+        self._ids, self._edge = np.zeros(1 << 16, np.uint32), np.zeros(1 << 14, np.int64)
+
+    def add(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        n, used = len(self.number), int(self._edge[len(self.number)])
+        self.number.update(zip(words, range(n, n + len(words))))
+        self._ids = room(self._ids, used + len(ids))
+        self._edge = room(self._edge, n + len(words) + 1)
+        self._ids[used:used + len(ids)] = ids
+        self._edge[n + 1:n + len(words) + 1] = used + np.cumsum(sizes)
+
+    def spans(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = self._edge[numbers]
+        return at, self._edge[numbers + 1] - at
+
+    def ids(self, at: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        return take_ranges(self._ids, at, sizes)
 
 
 class WordEncoder:
     """Ids of whole texts from a tokenizer that drops white space and never joins over it.
 
     The tokenizer lower-cases, too. A text's ids are then those of its words in turn, so each distinct word
-    is encoded once while it is remembered. New words go to the tokenizer many at a
+    is encoded once while it is remembered: words of the last two generations are, and a
+    generation ends after so many new words. New words go to the tokenizer many at a
     time, parted by a character of a single id that none of them has.
     """
 
-    _REMEMBERED = 300_000
-    _TOGETHER = 4096
+    _REMEMBERED = 500_000
+    _TOGETHER = 256
 
     def __init__(self, vocabulary: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"               # Spark already runs a task per core
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(vocabulary)
-        self._known: dict[bytes, np.ndarray] = {}
+        self._new, self._old = _Words(), _Words()
         self._mark, self._mark_id = "", -1
         for mark in "\u00a7\u00a3\u20ac\u00a9\u00b6":
             ids = self._ids([mark])[0]
@@ -61,47 +102,96 @@ class WordEncoder:
         return [np.array(e.ids, np.uint32) for e in self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[bytes]) -> None:
-        plain, other = [], []
+        """Plain words, of lower-case letters and perhaps one mark behind, go to the tokenizer's model as its
+        earlier steps would leave them; others take the whole tokenizer."""
+        model, other = self._tokenizer.model, []
+        plain, ids, sizes = [], [], []
         for w in words:
-            t = w.decode("utf-8", "replace")
-            (other if not self._mark or self._mark in t else plain).append((w, t))
-        for lo in range(0, len(plain), self._TOGETHER):
-            part = plain[lo:lo + self._TOGETHER]
-            ids = self._ids([f" {self._mark} ".join(t for _, t in part)])[0]
-            cut = np.flatnonzero(ids == self._mark_id)
+            body = w[:-1] if w[-1:] in _ENDS else w
+            if body.isalpha() and body.islower():
+                spelt = body.decode()
+            elif _plain(body.decode("utf-8", "replace")):
+                spelt = body.decode("latin-1").translate(_LETTERS)
+            else:
+                other.append((w, w.decode("utf-8", "replace")))
+                continue
+            own = [t.id for t in model.tokenize(spelt)]
+            if len(body) < len(w):
+                own += [t.id for t in model.tokenize(w[-1:].decode())]
+            plain.append(w)
+            ids += own
+            sizes.append(len(own))
+        self._new.add(plain, np.array(ids, np.uint32), np.array(sizes, np.int64))
+        odd = [x for x in other if not self._mark or self._mark in x[1]]
+        marked = [x for x in other if self._mark and self._mark not in x[1]]
+        for lo in range(0, len(marked), self._TOGETHER):
+            part = marked[lo:lo + self._TOGETHER]
+            found = self._ids([f" {self._mark} ".join(t for _, t in part)])[0]
+            mark = found == self._mark_id
+            cut = np.flatnonzero(mark)
             if len(cut) != len(part) - 1:
-                other += part
+                odd += part
                 continue
-            for (w, _), own in zip(part, np.split(ids, cut)):
-                self._known[w] = own                                 # all but the first begin with the mark
-            for w, _ in part[1:]:
-                self._known[w] = self._known[w][1:]
-        for lo in range(0, len(other), self._TOGETHER):
-            part = other[lo:lo + self._TOGETHER]
-            self._known.update(zip((w for w, _ in part), self._ids([t for _, t in part])))
+            self._new.add([w for w, _ in part], found[~mark], np.diff(np.concatenate(([-1], cut, [len(found)]))) - 1)
+        for lo in range(0, len(odd), self._TOGETHER):
+            part = odd[lo:lo + self._TOGETHER]
+            found = self._ids([t for _, t in part])
+            self._new.add([w for w, _ in part], np.concatenate(found), np.array([len(x) for x in found], np.int64))
+
+    def _numbers(self, kinds: list[bytes]) -> np.ndarray:
+        if len(self._new.number) > self._REMEMBERED:
+            self._old, self._new = self._new, _Words()
+        new, old = self._new.number, self._old.number
+        unmet = [w for w in kinds if w not in new]
+        if unmet and old:                                            # words still in use come along
+            known = [w for w in unmet if w in old]
+            if known:
+                at, sizes = self._old.spans(np.array([old[w] for w in known], np.int64))
+                self._new.add(known, self._old.ids(at, sizes), sizes)
+                unmet = [w for w in unmet if w not in old]
+        if unmet:
+            self._learn(unmet)
+        return np.fromiter(map(new.__getitem__, kinds), np.int64, len(kinds))
 
     def encode(self, data: np.ndarray, offs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, concatenated, and each text's offset in them."""
         starts, ends, first = word_bounds(data, offs)
         if b"<|" not in data.tobytes():                              # no special token, whose case would matter
             data = _LOWER[data]                                      # the tokenizer lower-cases: fewer words
+        starts, ends, first = _part_marks(data, starts, ends, first)
         length = ends - starts
         words = pa.Array.from_buffers(
             pa.large_binary(), len(starts),
             [None, pa.py_buffer(np.concatenate(([0], np.cumsum(length))).astype(np.int64)),
              pa.py_buffer(take_ranges(data, starts, length))]).dictionary_encode()
-        kinds = words.dictionary.to_pylist()
-        if len(self._known) > self._REMEMBERED:
-            self._known.clear()
-        self._learn([w for w in kinds if w not in self._known])
-        coded = [self._known[w] for w in kinds]
-        sizes = np.array([len(c) for c in coded], np.int64)
-        flat = np.concatenate(coded) if coded else np.zeros(0, np.uint32)
-        at = np.concatenate(([0], np.cumsum(sizes)))
-        which = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        ids = take_ranges(flat, at[which], sizes[which])
-        edge = np.concatenate(([0], np.cumsum(sizes[which])))
-        return ids, edge[first]
+        numbers = self._numbers(byte_list(words.dictionary))
+        at, sizes = self._new.spans(numbers[words.indices.to_numpy(zero_copy_only=False).astype(np.int64)])
+        edge = np.concatenate(([0], np.cumsum(sizes)))
+        return self._new.ids(at, sizes), edge[first]
+
+
+def _part_marks(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, first: np.ndarray):
+    """Words that end in a mark after an ASCII letter, as two: the tokenizer parts them there, too."""
+    mark = np.flatnonzero((ends - starts > 1) & _IS_END[data[ends - 1]])
+    mark = mark[_IS_LETTER[data[ends[mark] - 2]]]
+    times = np.ones(len(starts), np.int64)
+    times[mark] = 2
+    more = np.concatenate(([0], np.cumsum(times)))
+    new_starts, new_ends = np.repeat(starts, times), np.repeat(ends, times)
+    at = more[mark]
+    new_ends[at] -= 1
+    new_starts[at + 1] = new_ends[at]
+    return new_starts, new_ends, more[first]
+
+
+_ENCODERS: dict[str, WordEncoder] = {}
+
+
+def encoder(vocabulary: str) -> WordEncoder:
+    """One encoder per worker process: the words it has met serve the tasks that follow."""
+    if vocabulary not in _ENCODERS:
+        _ENCODERS[vocabulary] = WordEncoder(vocabulary)
+    return _ENCODERS[vocabulary]
 
 
 def piece_lengths(n: int, capacity: int) -> list[int]:
@@ -120,15 +210,15 @@ def pieces(docs: DataFrame, *, vocabulary: str, capacity: int = 4096, end_id: in
     """One row per piece: ``doc_id, start, length, ids_crc32, doc_tokens``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = WordEncoder(vocabulary)
+        tool = encoder(vocabulary)
         for batch in batches:
             done = 0
             sizes = np.diff(column_bytes(batch.column(1))[1])
-            while done < batch.num_rows:                             # about 2 MB of text at a time
-                take = int(np.searchsorted(np.cumsum(sizes[done:]), 2 << 20)) + 1
+            while done < batch.num_rows:                             # about 4 MB of text at a time
+                take = int(np.searchsorted(np.cumsum(sizes[done:]), 4 << 20)) + 1
                 part = batch.slice(done, take)
                 done += part.num_rows
-                ids, edge = encoder.encode(*column_bytes(part.column(1)))
+                ids, edge = tool.encode(*column_bytes(part.column(1)))
                 rows = []
                 for doc, a, b in zip(part.column(0).to_pylist(), edge[:-1].tolist(), edge[1:].tolist()):
                     own = np.append(ids[a:b], np.uint32(end_id)).astype("<u4")
@@ -212,18 +302,18 @@ def pack(docs: DataFrame, *, vocabulary: str, capacity: int = 4096, end_id: int
                              text_col=text_col))                     # 48 bytes a piece: texts are tokenised once
     total = cut.where(F.col("length") < capacity).agg(F.sum("length")).first()[0] or 0
     blocks = max(1, round(total / (capacity * block_windows)))
-    keyed = cut.withColumn("block", F.expr(f"pmod(xxhash64(doc_id, start, ids_crc32, doc_tokens), {blocks})"))
+    # rows are told apart by their place in the checkpoint, so equal ones spread over the blocks
+    placed = cut.withColumn("place", F.monotonically_increasing_id())
+    keyed = placed.where(F.col("length") < capacity).withColumn(
+        "block", F.expr(f"pmod(xxhash64(doc_id, start, ids_crc32, doc_tokens, place), {blocks})")).drop("place")
+    whole = placed.where(F.col("length") == capacity).select(      # a full window needs no company
+        *cut.columns, (F.col("place") + F.lit(FULL_WINDOWS)).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 
     def run(table: pa.Table) -> pa.Table:
         block = table["block"][0].as_py()
         table = table.sort_by([(c, "ascending") for c in ("doc_id", "start", "ids_crc32", "doc_tokens")])
         sizes = table["length"].to_pylist()
-        part = [i for i, s in enumerate(sizes) if s < capacity]
-        window = np.zeros(len(sizes), np.int64)
-        packed = pack_block([sizes[i] for i in part], capacity) if part else []
-        window[part] = packed
-        full = [i for i, s in enumerate(sizes) if s == capacity]
-        window[full] = (max(packed) + 1 if packed else 0) + np.arange(len(full))
+        window = np.array(pack_block(sizes, capacity), np.int64)
         offset, filled = [], {}
         for s, w in zip(sizes, window.tolist()):
             offset.append(filled.get(w, 0))
@@ -232,4 +322,4 @@ def pack(docs: DataFrame, *, vocabulary: str, capacity: int = 4096, end_id: int
                 .append_column("sequence_id", pa.array((block << 32) + window, pa.int64()))
                 .append_column("offset", pa.array(offset, pa.int64())))
 
-    return keyed.groupBy("block").applyInArrow(run, OUT)
+    return keyed.groupBy("block").applyInArrow(run, OUT).unionByName(whole)
