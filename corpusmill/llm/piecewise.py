@@ -130,16 +130,35 @@ def fingerprints(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         run, "doc_id long, fingerprint string")
 
 
+def _greatest(rows: DataFrame, cuts: list[int]) -> list[int]:
+    """The greatest value of each range that the falling cuts make, without ranges that hold none."""
+    rising = np.array(cuts[::-1], np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = batch.column(0).to_numpy()
+            own = np.searchsorted(rising, values)
+            order = np.lexsort((values, own))
+            last = np.flatnonzero(np.append(own[order][1:] != own[order][:-1], True)) if len(order) else order
+            yield pa.RecordBatch.from_arrays([pa.array(own[order][last].astype(np.int32)), pa.array(values[order][last])],
+                                             names=["k", "value"])
+
+    kept = rows.select("value").mapInArrow(run, "k int, value long").groupBy("k").agg(F.max("value").alias("value")).collect()
+    return sorted((r["value"] for r in kept), reverse=True)
+
+
 def compare_with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
                       ranges: int | None = None) -> DataFrame:
     """Fingerprint each text, its edited text, and the next document by descending id (after the last: the first).
 
     Returns one row per input row: ``doc_id, next_id, n_chars, edited, fingerprint,
     edited_fingerprint, near_edited, near_next``. Ids are cut into ranges at real ids (the
-    driver holds one id per range). A row goes to its range; the greatest id of a range
-    goes to the range above as well, so every row finds its successor without a
+    driver holds one id per range), rows without an id at hashes of their texts. A row goes to
+    its range; the first row of a range goes to the range above as well (one a batch of
+    rows at most), so every row finds its successor without a
     single-partition window and texts are exchanged once. Defined cases: null texts are
-    empty; rows that repeat an id follow each other by text; null ids come last, by text;
+    empty; rows that repeat an id follow each other by text; null ids come last, by
+    descending hash of the text, then by text;
     a table of one row is its own next; an empty table gives an empty result; other
     columns are not read and not returned.
     """
@@ -149,28 +168,40 @@ def compare_with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                        F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     points = [i / ranges for i in range(1, ranges + 1)]
-    found = rows.agg(F.percentile_approx("doc_id", points, 100 * ranges).alias("at"), F.max("doc_id").alias("top"),
-                     F.count_if(F.col("doc_id").isNull()).alias("none")).first()
-    tops = sorted({*(found["at"] or []), *([] if found["top"] is None else [found["top"]])}, reverse=True)
-    none = bool(found["none"])
-    # range k (0: greatest ids) holds ids above tops[k + 1] up to tops[k]; null ids are the range after all
-    count = len(tops) + none
-    ascending = np.array(tops[::-1], np.int64)
+    # 52 bits of the hash: percentiles are computed in doubles
+    rows = rows.select("doc_id", F.coalesce("doc_id", F.shiftright(F.xxhash64("text"), 12)).alias("value"), "text")
+    known, none = F.col("doc_id").isNotNull(), F.col("doc_id").isNull()
+
+    def cuts(which) -> list:
+        own = F.when(which, F.col("value"))
+        return [F.percentile_approx(own, points, 100 * ranges), F.max(own), F.min(own)]
+
+    found = rows.agg(*[c.alias(f"c{i}") for i, c in enumerate(cuts(known) + cuts(none))]).first()
+    # ranges by falling value, ids before null ids: range k holds values above tops[k + 1] up to tops[k]
+    tops, top_none = (sorted({*(found[i] or []), *([] if found[i + 1] is None else [found[i + 1]])}, reverse=True) for i in (0, 3))
+    if tops and max(abs(found[1]), abs(found[2])) >= 1 << 53:
+        tops = _greatest(rows.where(known), tops)                    # doubles have rounded them
+    count = len(tops) + len(top_none)
+    rising, rising_none = np.array(tops[::-1], np.int64), np.array(top_none[::-1], np.int64)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, 500):
                 part = batch.slice(lo, 500)
-                ids = part.column(0).to_pylist()
-                own = [count - 1 if i is None else len(tops) - 1 - int(np.searchsorted(ascending, i)) for i in ids]
+                ids, values, texts = (part.column(k).to_pylist() for k in range(3))
+                own = [count - 1 - int(np.searchsorted(rising_none, v)) if i is None else len(tops) - 1 - int(np.searchsorted(rising, v))
+                       for i, v in zip(ids, values)]
                 # a row that may head its range is also the last successor of the range above it
-                heads = [j for j, (i, k) in enumerate(zip(ids, own)) if i is None or i == tops[k]]
-                both = pa.array(list(range(len(ids))) + heads, pa.int64())
+                heads: dict[int, int] = {}
+                for j, (i, v, k) in enumerate(zip(ids, values, own)):
+                    if v == (top_none[k - len(tops)] if i is None else tops[k]) and (k not in heads or texts[j] < texts[heads[k]]):
+                        heads[k] = j
+                both = pa.array([*range(len(ids)), *heads.values()], pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(own + [(own[j] - 1) % count for j in heads], pa.int32()),
+                    [pa.array(own + [(k - 1) % count for k in heads], pa.int32()),
                      pa.array([False] * len(ids) + [True] * len(heads)),
-                     part.column(0).take(both), part.column(1).take(both)],
-                    names=["range", "guest", "doc_id", "text"])
+                     *(part.column(k).take(both) for k in range(3))],
+                    names=["range", "guest", "doc_id", "value", "text"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows come by range, own rows first by descending id, then the guest that follows them."""
@@ -208,7 +239,6 @@ def compare_with_next(docs: DataFrame, *, id_col: str = "doc_id", text_col: str
                                 print_ or fingerprint(row["text"].encode()))
         yield flush()
 
-    placed = rows.mapInArrow(place, "range int, guest boolean, doc_id long, text string")
-    dealt = placed.repartition(parts, "range").sortWithinPartitions(
-        "range", "guest", F.col("doc_id").desc_nulls_last(), "text")
+    placed = rows.mapInArrow(place, "range int, guest boolean, doc_id long, value long, text string")
+    dealt = placed.repartition(parts, "range").sortWithinPartitions("range", "guest", F.col("value").desc(), "text")
     return dealt.mapInArrow(compare, PAIRS)

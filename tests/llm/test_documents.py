@@ -118,7 +118,9 @@ def test_mix_targets_and_limits(documents):
 
 def test_piecewise_next_and_edit(documents):
     rows = _rows()
-    order = sorted(rows, key=lambda r: (r[0] is None, -(r[0] or 0), (r[1] or "").encode()))
+    # null ids come last, by the falling upper 52 bits of the text's signed XXH64
+    place = {r: xxhash.xxh64_intdigest((r[1] or "").encode(), 42) if r[0] is None else r[0] for r in rows}
+    order = sorted(rows, key=lambda r: (r[0] is None, -(((place[r] + 2 ** 63) % 2 ** 64 - 2 ** 63) >> (12 if r[0] is None else 0)), (r[1] or "").encode()))
     got = piecewise.compare_with_next(documents(rows), ranges=5).collect()
     want = []
     for k, (i, t, _) in enumerate(order):

@@ -83,3 +83,24 @@ def test_likeness_restated():
         x, y = piecewise.fingerprint(a), piecewise.fingerprint(b)
         assert piecewise.likeness(x, y) == pytest.approx(_likeness(x, y)) == piecewise.likeness(y, x)
         assert 0 <= piecewise.likeness(x, y) <= 1
+
+
+@pytest.mark.parametrize("huge", [100, (1 << 63) - 50, -(1 << 63)])
+@pytest.mark.parametrize("ranges", [1, 3, 40])
+def test_rows_without_ids_spread_and_chain(documents, ranges, huge):
+    """Many null ids, equal rows among them, and a repeated id: every row's next is the row behind it in the order."""
+    import xxhash
+
+    rows = [(None, f"text {i % 40} é", "s") for i in range(120)] + [(None, None, "s")] * 30 + [(i, f"id {i}", "s") for i in range(9)]
+    rows += [(4, t, "s") for t in ("b", "a", "a")] + [(huge + i, f"huge {i}", "s") for i in range(40)]
+
+    def key(r):
+        text = (r[1] or "").encode()
+        value = xxhash.xxh64_intdigest(text, 42) if r[0] is None else r[0]
+        return r[0] is None, -(((value + 2 ** 63) % 2 ** 64 - 2 ** 63) >> (12 if r[0] is None else 0)), text
+
+    order = sorted(rows, key=key)
+    want = sorted(str((r[0], order[(k + 1) % len(order)][0], piecewise.edit(r[1] or "", order[(k + 1) % len(order)][1] or "")))
+                  for k, r in enumerate(order))
+    got = piecewise.compare_with_next(documents(rows).repartition(7), ranges=ranges).collect()
+    assert sorted(str((r.doc_id, r.next_id, r.edited)) for r in got) == want
