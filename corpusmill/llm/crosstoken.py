@@ -25,7 +25,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusmill.llm.bytesets import column_bytes, room, take_ranges
+from corpusmill.llm.bytesets import byte_list, column_bytes, room, take_ranges
 from corpusmill.session import cut_lineage
 
 #: Text bytes of one group of documents.
@@ -145,7 +145,7 @@ class StretchAligner:
     Stretches of the last two generations are remembered; a generation ends after so many.
     """
 
-    _REMEMBERED = 600_000
+    _REMEMBERED = 500_000
 
     def __init__(self, path_a: str, path_b: str):
         self.tools = ByteLevel(path_a), Pieces(path_b)
@@ -213,7 +213,7 @@ class StretchAligner:
         coded = pa.Array.from_buffers(pa.large_binary(), len(cuts) - 1,
                                       [None, pa.py_buffer(cuts.astype(np.int64)), pa.py_buffer(np.ascontiguousarray(data))]
                                       ).dictionary_encode()
-        kinds = self._numbers(coded.dictionary.to_pylist())
+        kinds = self._numbers(byte_list(coded.dictionary))
         which = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
         store = self._new
         text = [store.groups[k] for k in kinds.tolist()]
@@ -307,8 +307,8 @@ def _grouped(docs: DataFrame, path_a: str, path_b: str, id_col: str, text_col: s
         for batch in batches:
             data, offs = column_bytes(batch.column(1))
             ids, at = batch.column(0).to_pylist(), 0
-            while at < len(ids):                                     # about 2 MB of text at a time
-                to = min(len(ids), max(at + 1, int(np.searchsorted(offs, offs[at] + (2 << 20)))))
+            while at < len(ids):                                     # about 4 MB of text at a time
+                to = min(len(ids), max(at + 1, int(np.searchsorted(offs, offs[at] + (4 << 20)))))
                 found = tool.read(data[offs[at]:offs[to]], offs[at:to + 1] - offs[at])
                 yield _rows(g, ids[at:to], found, digest)
                 held.append(np.unique(np.concatenate([f[5] for f in found]), return_counts=True))
