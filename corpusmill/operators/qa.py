@@ -63,14 +63,35 @@ def expand_questions(df: DataFrame, n: int = 2) -> DataFrame:
                          F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
 
 
-def generate_qa(df: DataFrame, generator: Callable[[pd.DataFrame], pd.DataFrame] | None = None,
+def open_slots(chunks: DataFrame, done: DataFrame, n: int = 2) -> DataFrame:
+    """E2 + E7 a chunk at a time: adds ``questions``, the slots 0 to ``n - 1`` whose key is not done.
+
+    Chunks without an open slot vanish. A context is carried once for all slots of its
+    chunk until ``expand_slots`` makes the work items.
+    """
+    if n < 1:
+        raise ValueError("n must be >= 1")
+    made = done.groupBy(*WORK_KEYS[:2]).agg(F.collect_set(WORK_KEYS[2]).alias("_made"))
+    slots = F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))
+    left = F.filter(slots, lambda q: ~F.coalesce(F.array_contains("_made", q), F.lit(False)))
+    rows = chunks.join(made, list(WORK_KEYS[:2]), "left").withColumn("questions", left)
+    return rows.where(F.size("questions") > 0).drop("_made")
+
+
+def expand_slots(df: DataFrame) -> DataFrame:
+    """One work item per open slot: ``question_no`` from ``questions``."""
+    return df.withColumn("question_no", F.explode("questions")).drop("questions")
+
+
+def generate_qa(df: DataFrame, generator: Callable[[pd.DataFrame], pd.DataFrame | dict[str, list]] | None = None,
                 context: str = "context", partitions: int | None = None, on_error: str = "raise",
                 call_rows: int = 1) -> DataFrame:
     """E5: add ``question`` and ``answer``.
 
     Without a generator, the deterministic extractive stub runs as column
     expressions. A generator receives pandas batches (all input columns) and
-    returns ``question, answer`` per row in order; it runs in
+    returns ``question, answer`` per row in order, as a frame or as a dict of lists
+    (a frame costs a call about a millisecond); it runs in
     ``mapInPandas`` over ``partitions`` tasks. Calls may repeat on task retry,
     so outputs stay keyed by the work keys.
 
@@ -98,14 +119,17 @@ def generate_qa(df: DataFrame, generator: Callable[[pd.DataFrame], pd.DataFrame]
                 out = generator(pdf)
                 yield pdf.assign(question=list(out["question"]), answer=list(out["answer"]))
             else:
+                # one frame a batch: a frame per call costs far more than a cheap call
+                out = {c: [] for c in added}
                 for at in range(0, len(pdf), call_rows):
-                    part = pdf.iloc[at:at + call_rows]
-                    yield part.assign(**_call(generator, part))
+                    for c, values in _call(generator, pdf.iloc[at:at + call_rows]).items():
+                        out[c] += values
+                yield pdf.assign(**out)
 
     return src.mapInPandas(run, schema)
 
 
-def _call(generator: Callable[[pd.DataFrame], pd.DataFrame], part: pd.DataFrame) -> dict[str, list]:
+def _call(generator: Callable[[pd.DataFrame], pd.DataFrame | dict[str, list]], part: pd.DataFrame) -> dict[str, list]:
     """One call's columns; an exception or a missing reply becomes a failed row."""
     n = len(part)
     try:

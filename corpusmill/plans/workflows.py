@@ -54,7 +54,8 @@ def example_parts(work: DataFrame, cfg: PrepareConfig) -> dict[str, DataFrame]:
     rows = qa.generate_qa(work, cfg.generator, partitions=cfg.generator_partitions, on_error=cfg.on_error)
     if cfg.on_error == "raise":
         rows = rows.withColumn("status", F.lit("ok")).withColumn("error", F.lit(None).cast("string"))
-    rows = cut_lineage(rows.select(*qa.WORK_KEYS, "url", "context", "question", "answer", "status", "error"))
+    context = F.when(F.col("status") != "ok", F.col("context")).alias("context")         # only failed calls need it again
+    rows = cut_lineage(rows.select(*qa.WORK_KEYS, "url", context, "question", "answer", "status", "error"))
     ok = rows.where(F.col("status") == "ok")
     return {"examples": ok.withColumn("messages", chat_messages(F.col("question"), F.col("answer"))),
             "keys": ok, "failed": rows.where(F.col("status") != "ok")}
@@ -89,11 +90,15 @@ def example_key() -> F.Column:
     return F.concat_ws(":", *[F.col(k).cast("string") for k in qa.WORK_KEYS])
 
 
+def chunk_contexts(records: DataFrame, cfg: PrepareConfig) -> DataFrame:
+    """D5 + E1: one row per chunk with its context."""
+    chunks = chunking.chunk_records(records, cfg.size, cfg.overlap)
+    return qa.lookback_context(chunks, cfg.look_back)
+
+
 def chunk_work(records: DataFrame, cfg: PrepareConfig) -> DataFrame:
     """D5 + E1 + E2: one row per (chunk, question slot) with its context."""
-    chunks = chunking.chunk_records(records, cfg.size, cfg.overlap)
-    ctx = qa.lookback_context(chunks, cfg.look_back)
-    return qa.expand_questions(ctx, cfg.questions)
+    return qa.expand_questions(chunk_contexts(records, cfg), cfg.questions)
 
 
 def generate_examples(work: DataFrame, cfg: PrepareConfig,

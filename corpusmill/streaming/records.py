@@ -118,8 +118,11 @@ def generate_stream(spark: SparkSession, source_dir: str, store_dir: str, checkp
         name = _slice_name(batch.sparkSession, checkpoint_dir, batch_id)
         if name in store.entries(COMMIT):
             return
-        work = workflows.chunk_work(batch, cfg).select(*qa.WORK_KEYS, "url", "context").dropDuplicates(list(qa.WORK_KEYS))
-        store.commit(name, workflows.example_parts(qa.pending(work, store.read("keys")), cfg))
+        # a chunk at a time up to the generator: its context is shuffled once, not once per question
+        chunks = (workflows.chunk_contexts(batch, cfg).select(*qa.WORK_KEYS[:2], "url", "context")
+                  .dropDuplicates(list(qa.WORK_KEYS[:2])))
+        work = qa.expand_slots(qa.open_slots(chunks, store.read("keys"), cfg.questions))
+        store.commit(name, workflows.example_parts(work, cfg))
 
     return _start(record_stream(spark, source_dir, max_files_per_trigger), each, checkpoint_dir, available_now)
 

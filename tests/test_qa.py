@@ -2,6 +2,7 @@
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from helpers import SF_SMALL
 from corpusmill.functions import prompts as P
@@ -95,3 +96,44 @@ def test_chat_generator_two_dependent_calls(spark):
                                "ord long, chunk_no long, question_no long, context string")
     r = qa.generate_qa(df, qa.chat_generator(chat)).first()
     assert (r.question, r.answer) == ("Q(ctx.)", "A(Q(ctx.) ctx.)")
+
+
+def test_cheap_calls_cost_no_frame_each():
+    """A call per row, but one frame per batch: a frame per call made a cheap generator's job some hundred times longer."""
+    class Rows:                                                      # hands out what generate_qa would run in the tasks
+        schema = StructType([StructField("ord", LongType()), StructField("context", StringType())])
+
+        def mapInPandas(self, run, schema):
+            return run
+
+    calls = []
+
+    def generate(part):
+        calls.append(len(part))
+        if part["context"].iloc[0] == "c3":
+            raise ConnectionError("down")
+        return {"question": ["Q " + c for c in part["context"]], "answer": [None if c == "c5" else "A" for c in part["context"]]}
+
+    pdf = pd.DataFrame({"ord": range(300), "context": [f"c{i}" for i in range(300)]})
+    run = qa.generate_qa(Rows(), generate, on_error="row")
+    (out,) = run(iter([pdf]))
+    assert calls == [1] * 300 and list(out["ord"]) == list(range(300))
+    assert list(out["question"])[2:7] == ["Q c2", None, "Q c4", None, "Q c6"]
+    assert list(out["error"])[2:7] == [None, "ConnectionError('down')", None, "no reply", None]
+    calls.clear()
+    (by_seven,) = qa.generate_qa(Rows(), generate, on_error="row", call_rows=7)(iter([pdf]))
+    assert calls == [7] * 42 + [6] and list(by_seven["status"])[:7] == ["ok"] * 5 + ["failed", "ok"]
+
+
+def test_open_slots_equal_pending_work(spark):
+    chunks = _chunks(spark, [(1, 0, "u", "a"), (1, 1, "u", "b"), (1, 1, "u", "b"), (2, 0, None, "c"), (None, 0, "w", "d")])
+    done = spark.createDataFrame([(1, 0, 0), (1, 0, 1), (1, 1, 1), (1, 1, 1), (None, 0, 0), (2, 0, 7), (2, 0, None)],
+                                 "ord long, chunk_no long, question_no long")
+
+    def rows(df):
+        return sorted(map(str, df.select(*qa.WORK_KEYS, "url", "data").collect()))
+
+    for made in (done, done.limit(0)):
+        slots = qa.open_slots(chunks, made, 2)
+        assert rows(qa.expand_slots(slots)) == rows(qa.pending(qa.expand_questions(chunks, 2), made))
+    assert qa.open_slots(chunks, done, 2).count() == 4               # one row per chunk with work left, copies included
