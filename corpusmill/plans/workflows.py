@@ -43,6 +43,11 @@ EXAMPLE_PARTS = {
 }
 
 
+# Staged work: a chunk and the question slots it still needs; runs and retries go on with each other's.
+_CHUNK = list(qa.WORK_KEYS[:2])
+_STAGED = [*_CHUNK, "url", "context", "questions"]
+
+
 def example_store(spark: SparkSession, path: str, max_records_per_file: int | None = None) -> SliceStore:
     """The committed examples of all runs: JSON lines (A5, with their keys), keys alone, and failed calls."""
     options = {"maxRecordsPerFile": str(max_records_per_file)} if max_records_per_file else {}
@@ -66,13 +71,15 @@ def generate_in_slices(records: DataFrame, store: SliceStore, cfg: PrepareConfig
     """E7 + E8: make the examples still pending, committing slice by slice; returns the slices committed.
 
     A run that ended early, by ``stop_after`` or by a crash, goes on where it ended; keys
-    that are committed are never generated again, failed ones are pending again.
+    that are committed are never generated again, failed ones are pending again. Work is
+    staged a chunk at a time with its open question slots, so a context is shuffled and
+    written once however many questions it gets.
     """
     def todo() -> DataFrame:
-        work = chunk_work(records, cfg).select(*qa.WORK_KEYS, "url", "context")
-        return qa.pending(work, store.read("keys"))
+        chunks = chunk_contexts(records, cfg).select(*_CHUNK, "url", "context")
+        return qa.open_slots(chunks, store.read("keys"), cfg.questions).select(*_STAGED)
 
-    return commit_in_slices(store, todo, qa.WORK_KEYS, cfg.slices, lambda work: example_parts(work, cfg), stop_after)
+    return commit_in_slices(store, todo, _CHUNK, cfg.slices, lambda rows: example_parts(qa.expand_slots(rows), cfg), stop_after)
 
 
 def failed_calls(store: SliceStore) -> DataFrame:
@@ -82,8 +89,10 @@ def failed_calls(store: SliceStore) -> DataFrame:
 
 def retry_failed(store: SliceStore, cfg: PrepareConfig, stop_after: int | None = None) -> list[str]:
     """Call the generator again for failed work alone, from the stored contexts."""
-    return commit_in_slices(store, lambda: failed_calls(store).drop("error"), qa.WORK_KEYS, cfg.slices,
-                            lambda work: example_parts(work, cfg), stop_after)
+    def todo() -> DataFrame:
+        return failed_calls(store).withColumn("questions", F.array("question_no")).select(*_STAGED)
+
+    return commit_in_slices(store, todo, _CHUNK, cfg.slices, lambda rows: example_parts(qa.expand_slots(rows), cfg), stop_after)
 
 
 def example_key() -> F.Column:

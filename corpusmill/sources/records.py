@@ -44,7 +44,8 @@ def read_records_in_order(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("_at"))
     splits = cut_lineage(rows.groupBy("_file", "_start").agg(F.min("_at").alias("_first"), F.count(F.lit(1)).alias("_n")))
     placed = with_total_before(splits, ["_file", "_start"], "_n", "_before")         # a row per split, not per record
-    return rows.join(placed.drop("_n"), ["_file", "_start"]).select(
+    # so few that every task gets them all: records stay where they were read
+    return rows.join(F.broadcast(placed.drop("_n")), ["_file", "_start"]).select(
         (F.col("_before") + F.col("_at") - F.col("_first")).alias("ord"), "url", "text")
 
 

@@ -85,17 +85,17 @@ def commit_in_slices(store: SliceStore, pending: Callable[[], DataFrame], keys:
                      make: Callable[[DataFrame], Mapping[str, DataFrame]], stop_after: int | None = None) -> list[str]:
     """Do the pending work in ``slices`` commits and return the names committed by this call.
 
-    ``pending()`` is asked only when no staged work is left over from an earlier run;
-    its rows are written once, cut by a hash of ``keys``, so neither a slice nor a
-    restart computes them again. ``make`` turns the rows of a slice into the store's
+    The rows of ``pending()`` are computed only when no staged work is left over from an
+    earlier run; they are written once, cut by a hash of ``keys``, so neither a slice nor
+    a restart computes them again. ``make`` turns the rows of a slice into the store's
     parts. ``stop_after`` ends the call after so many commits.
     """
     staged = store.entries(STAGE)
     done = store.entries(COMMIT)
     left = [(g, n) for g, n in sorted(staged.items()) if any(f"{g}-{k}" not in done for k in range(n))]
+    todo = pending()
     if not left:
         name = f"g{len(staged):06d}"
-        todo = pending()
         rows = todo.withColumn("slice_no", F.pmod(F.xxhash64(*keys), F.lit(slices)).cast("int"))
         # sorted ranges of (slice, hash): a slice spans as many tasks as its size needs, a task few slices
         (rows.repartitionByRange(F.col("slice_no"), F.xxhash64(*keys)).write.mode("overwrite")
@@ -105,7 +105,7 @@ def commit_in_slices(store: SliceStore, pending: Callable[[], DataFrame], keys:
         left = [(name, n)]
     out = []
     for g, n in left:
-        rows = _staged(store, g, pending())
+        rows = _staged(store, g, todo)
         for k in range(n):
             if f"{g}-{k}" in done:
                 continue

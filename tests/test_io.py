@@ -176,3 +176,37 @@ def test_session_conf_restores(spark):
             assert spark.conf.get("spark.sql.shuffle.partitions") == "3"
             raise RuntimeError("boom")
     assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_work_is_staged_once_per_chunk(spark, tmp_dir):
+    """However many questions a chunk gets, its context is shuffled and written once; only failed calls keep it."""
+    recs = spark.createDataFrame([(1, "u", "A. B."), (2, "v", " ".join(f"S{i}." for i in range(1, 17)))], "ord long, url string, text string")
+    cfg = workflows.PrepareConfig(questions=5, slices=2)
+    store = workflows.example_store(spark, f"{tmp_dir}/store")
+    workflows.generate_in_slices(recs, store, cfg)
+    staged = spark.read.parquet(f"{tmp_dir}/store/work/g000000")
+    assert staged.count() == 3 and store.read("keys").distinct().count() == 15
+    # a run with more questions makes just the open slots, also of work that an ended run left staged
+    more = workflows.PrepareConfig(questions=6, slices=2)
+    workflows.generate_in_slices(recs, store, more, stop_after=0)
+    workflows.retry_failed(store, more)
+    assert sorted(r.question_no for r in store.read("keys").collect()) == sorted([*range(6)] * 3)
+
+    def refuse(pdf):
+        raise RuntimeError("down")
+
+    work = workflows.chunk_work(recs, cfg)
+    parts = workflows.example_parts(work, workflows.PrepareConfig(generator=refuse, on_error="row"))
+    assert {r.context for r in parts["failed"].collect()} == {r.context for r in work.collect()}
+    made = workflows.example_parts(work, workflows.PrepareConfig(on_error="row"))["keys"]
+    assert made.count() == 15 and made.where("context IS NOT NULL").count() == 0
+
+
+def test_numbered_records_stay_where_they_are_read(spark, tmp_dir):
+    """A split's first number reaches its records without an exchange of the records."""
+    R.write_records(spark.range(60).selectExpr("concat('u', id) AS url", "'t' AS text").repartition(3), tmp_dir + "/r")
+    with session_conf(spark, {"spark.sql.autoBroadcastJoinThreshold": "-1"}):     # as where the records are many
+        out = R.read_records_in_order(spark, tmp_dir + "/r")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "hashpartitioning(_file" not in plan
+    assert sorted(r.ord for r in out.collect()) == list(range(60))
